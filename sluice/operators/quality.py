@@ -9,6 +9,11 @@ Plan shape (independent of the number of columns N):
   (partial) group-by on the key. Both read the same exchange, which Spark reuses.
 * with it off, one wide aggregate over the table and one key group-by.
 
+``quality_report`` (the default) runs the same checks as a few eager jobs and skips the whole-row shuffle
+whenever it can prove the answer: a unique key means no two rows are equal; otherwise only rows whose key
+repeats can be copies, and when the repeated keys are few (counted, so the bound is proven) they are
+broadcast to filter the table map-side, so only those rows are shuffled.
+
 The result is a long DataFrame (``REPORT_COLUMNS``) so it can be stored, unioned over tables and queried.
 """
 
@@ -94,13 +99,17 @@ def schema_checks(df: DataFrame, spec: TableSpec) -> list[tuple]:
     return rows
 
 
-def quality_report(
+def quality_report_plan(
     df: DataFrame,
     spec: TableSpec,
     thresholds: Thresholds = Thresholds(),
     check_duplicates: bool | None = None,
 ) -> DataFrame:
-    """DQ-1: every check of ``spec`` as one long report DataFrame (lazy; one action evaluates it)."""
+    """DQ-1 as one lazy plan: every check of ``spec`` in a single DataFrame that one action evaluates.
+
+    With the duplicate check on, this always shuffles every full row once; ``quality_report`` avoids that
+    shuffle when the key proves rows distinct, at the price of running its jobs eagerly.
+    """
     t = spec.name
     present = set(df.columns)
     schema_rows = schema_checks(df, spec)
@@ -175,6 +184,105 @@ def quality_report(
     return out
 
 
+# Largest number of repeated keys broadcast to narrow the duplicate check (a counted, proven bound).
+MAX_BROADCAST_KEYS = 2_000_000
+
+
+def _pct(n: int, rows: int) -> float:
+    return n * 100.0 / rows if rows else 0.0
+
+
+def quality_report(
+    df: DataFrame,
+    spec: TableSpec,
+    thresholds: Thresholds = Thresholds(),
+    check_duplicates: bool | None = None,
+    lazy: bool = False,
+    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+) -> DataFrame:
+    """DQ-1: every check of ``spec`` as a long report DataFrame.
+
+    Job 1 evaluates one wide aggregate over the table (row count, NULLs per column, allowed values, signs)
+    and, with a key, a partial-aggregated group-by on the key columns only (repeated-key statistics).
+    Job 2, the whole-row duplicate count, runs only when job 1 does not imply it: it is skipped for a
+    unique key; when few keys repeat and they hold a minority of rows, those keys (their count is known, so
+    the broadcast is bounded) filter the table map-side and only those rows are shuffled; otherwise it is a
+    full group-by. Only scalars reach the driver.
+    """
+    if lazy:
+        return quality_report_plan(df, spec, thresholds, check_duplicates)
+    spark = df.sparkSession
+    t = spec.name
+    present = set(df.columns)
+    rows_out = list(schema_checks(df, spec))
+    data, _ = _positional(df)
+    cols = data.columns
+    profile_cols = [c for c in cols if not c.startswith("_")] if spec.check_nulls else []
+    key = [k for k in spec.key if k in present]
+    key_ok = bool(spec.key) and len(key) == len(spec.key)
+    allowed = {c: v for c, v in spec.allowed_values.items() if c in present}
+    nonneg = [c for c in spec.non_negative if c in present]
+    dup = (spec.check_duplicates if check_duplicates is None else check_duplicates) and bool(cols)
+
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(profile_cols)]
+    aggs += [F.count_if(~F.col(c).isin(list(v))).alias(f"a{i}") for i, (c, v) in enumerate(allowed.items())]
+    aggs += [F.count_if(F.col(c) < 0).alias(f"g{i}") for i, c in enumerate(nonneg)]
+    labels = ["rows"] + [f"n{i}" for i in range(len(profile_cols))] + [f"a{i}" for i in range(len(allowed))] \
+        + [f"g{i}" for i in range(len(nonneg))]
+    # job 1: the wide aggregate and the key statistics, as one action (two branches of one plan)
+    scal = data.agg(*aggs).select(F.lit("s").alias("part"), F.array(*[F.col(x).cast("long") for x in labels]).alias("v"))
+    if key_ok:
+        per_key = data.groupBy(*key).agg(F.count(F.lit(1)).alias("kn"))
+        kst = per_key.agg(F.coalesce(F.sum(F.col("kn") - 1), F.lit(0)).cast("long").alias("extra"),
+                          F.count_if(F.col("kn") > 1).cast("long").alias("repeated"))
+        scal = scal.unionByName(kst.select(F.lit("k").alias("part"), F.array("extra", "repeated").alias("v")))
+    got = {r.part: r.v for r in scal.collect()}
+    one = dict(zip(labels, got["s"]))
+    rows = int(one["rows"] or 0)
+    extra, repeated = (int(got["k"][0]), int(got["k"][1])) if key_ok else (None, 0)
+
+    if dup:
+        if key_ok and extra == 0:
+            dup_rows = 0  # a unique key: no two rows can be equal
+        else:
+            cand = data
+            covered = (extra or 0) + repeated  # rows whose key repeats
+            if key_ok and repeated <= max_broadcast_keys and covered * 2 < rows:
+                # few repeated keys holding a minority of rows: broadcast them (count proven above) and
+                # filter map-side, so only those rows are shuffled by the whole-row group-by
+                keys = per_key.filter(F.col("kn") > 1).select(*key)
+                cond = [data[k].eqNullSafe(keys[k]) for k in key]
+                cand = data.join(F.broadcast(keys), cond, "left_semi")
+            g = cand.groupBy(*cols).agg(F.count(F.lit(1)).alias(_WEIGHT))
+            dup_rows = int(g.agg(F.coalesce(F.sum(F.col(_WEIGHT) - 1), F.lit(0)).alias("d")).first()["d"])
+
+    rows_out.append((t, "record_count", None, "error", float(rows), 0.0, rows > 0, "ok" if rows > 0 else "table is empty"))
+    if dup:
+        rows_out.append((t, "distinct_rows", None, "metric", float(rows - dup_rows), None, True, "ok"))
+        rows_out.append((t, "duplicate_rows", None, "warning", float(dup_rows), 0.0, dup_rows == 0,
+                         "ok" if dup_rows == 0 else "duplicate rows found"))
+    for i, c in enumerate(profile_cols):
+        n = int(one[f"n{i}"] or 0)
+        pct = _pct(n, rows)
+        ok = pct <= float(thresholds.null_percent)
+        rows_out.append((t, "null_count", c, "metric", float(n), None, True, "ok"))
+        rows_out.append((t, "null_percent", c, "warning", pct, float(thresholds.null_percent), ok,
+                         "ok" if ok else "NULL share above threshold"))
+    for i, c in enumerate(allowed):
+        n = int(one[f"a{i}"] or 0)
+        rows_out.append((t, "allowed_values", c, "warning", float(n), 0.0, n == 0,
+                         "ok" if n == 0 else "values outside the allowed set"))
+    for i, c in enumerate(nonneg):
+        n = int(one[f"g{i}"] or 0)
+        rows_out.append((t, "non_negative", c, "warning", float(n), 0.0, n == 0,
+                         "ok" if n == 0 else "negative values found"))
+    if key_ok:
+        rows_out.append((t, "key_unique", ",".join(key), "error", float(extra), 0.0, extra == 0,
+                         "ok" if extra == 0 else "key is not unique"))
+    return spark.range(1).select(F.inline(F.array(*[_row(*r) for r in rows_out])))
+
+
 def failed_errors(report: DataFrame) -> DataFrame:
     """Rows that block a load: severity ``error`` and not passed."""
     return report.filter((F.col("severity") == "error") & ~F.col("passed"))

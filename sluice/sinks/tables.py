@@ -5,6 +5,7 @@ Row counts at write time come from ``observe`` on the write itself, so no second
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -43,13 +44,15 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; expected one of {MODES}")
     spark = df.sparkSession
-    obs = Observation("write_count")
+    obs = Observation(f"write_count_{uuid.uuid4().hex}")  # unique: a failed write never completes its own
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt is None:
         _run_sql(spark, pre_sql)
+        if path is None and mode == "overwrite" and spark.catalog.tableExists(table):
+            path = table_location(spark, table)  # keep an external table where it is
         if path:
             writer = writer.option("path", path)
         writer.saveAsTable(table)
@@ -69,6 +72,12 @@ def write_table(
     return int(obs.get.get("rows", 0) or 0)
 
 
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Storage location of a catalog table (from ``DESCRIBE TABLE EXTENDED``)."""
+    row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").first()
+    return row.data_type if row else None
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,

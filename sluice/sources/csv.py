@@ -17,6 +17,7 @@ Why the scan looks the way it does:
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -134,7 +135,7 @@ def scan_csv(
     """Parse once, stage, gate, quarantine. Raises ``CorruptRecordsError`` when the gate fails."""
     raw = read_raw_csv(spark, path, options=options)
     stage = staging_path(spark, "scan", table_name)
-    obs = Observation(f"scan_{table_name}")
+    obs = Observation(f"scan_{uuid.uuid4().hex}")
     raw.observe(
         obs, F.count(F.lit(1)).alias("total"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt")
     ).write.mode("overwrite").parquet(stage)

@@ -73,7 +73,7 @@ def table_exists(spark: SparkSession, name: str, default_db: str | None = None)
             db, table = name.split(".", 1)
         else:
             db, table = default_db, name
-        return bool(spark.catalog.tableExists(table, db) if db else spark.catalog.tableExists(table))
+        return bool(spark.catalog.tableExists(f"{db}.{table}" if db else table))
     except Exception as exc:  # noqa: BLE001 - existence checks never raise
         log.warning("table existence check failed for %s: %s", name, exc)
         return False
