@@ -36,6 +36,17 @@ def runs_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def trailing(runs: DataFrame, as_of, length: str = "24 hours", ts: str = "started_at",
+             column: str | None = None, value=None) -> DataFrame:
+    """FLT-7: rows with ``as_of - length <= ts < as_of`` (the dashboard's time range), optionally also
+    ``column == value`` (its environment selector). Pushed to the scan as a range filter."""
+    end = F.lit(as_of)
+    out = runs.filter((F.col(ts) >= end - F.expr(f"INTERVAL {length}")) & (F.col(ts) < end))
+    if column is not None:
+        out = out.filter(F.col(column) == F.lit(value))
+    return out
+
+
 def _win(runs: DataFrame, length: str, ts: str) -> Column:
     return F.window(F.col(ts), length)
 

@@ -12,6 +12,7 @@ import logging
 import traceback
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,6 +44,7 @@ class IngestConfig:
     enable_validation: bool = True
     registry: Mapping[str, TableSpec] = field(default_factory=lambda: dict(REGISTRY))
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
+    parallelism: int = 4  # tables ingested at once (Spark runs jobs from several driver threads concurrently)
 
 
 @dataclass
@@ -103,10 +105,17 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
     cfg = cfg or IngestConfig()
     tables = (file_inventory(spark, raw_root).select("entry", "table_name").distinct()
               .orderBy("entry").collect())
-    outcomes = []
-    for row in tables:
-        path = f"{raw_root.rstrip('/')}/{row.entry}"
-        outcomes.append(ingest_table(spark, path, row.table_name, cfg))
+    root = cfg.location or f"{checkpoint_root(spark)}/sluice/warehouse"
+    ensure_database(spark, cfg.database, f"{root}/{cfg.database}.db")
+
+    def one(row):
+        return ingest_table(spark, f"{raw_root.rstrip('/')}/{row.entry}", row.table_name, cfg)
+
+    if cfg.parallelism > 1 and len(tables) > 1:
+        with ThreadPoolExecutor(max_workers=cfg.parallelism, thread_name_prefix="ingest") as pool:
+            outcomes = list(pool.map(one, tables))
+    else:
+        outcomes = [one(r) for r in tables]
     run_log = spark.createDataFrame(
         [(cfg.run_id, cfg.env, "bronze_ingest", o.table_name, o.stage, o.status, o.record_count, o.error,
           o.started_at, o.ended_at) for o in outcomes],

@@ -250,6 +250,25 @@ ORACLE: dict[str, str] = {
         SELECT at_time, count(*) AS active_runs FROM (
             SELECT unnest(generate_series(first_, last_, INTERVAL '1 minute')) AS at_time FROM r WHERE first_ <= last_)
         GROUP BY at_time""",
+    "active_runs_at": f"""
+        SELECT count(*) FILTER (WHERE started_at <= TIMESTAMP '2024-01-15 02:00:00'
+                                  AND (ended_at IS NULL OR ended_at > TIMESTAMP '2024-01-15 02:00:00')) AS active_runs
+        FROM ({_RUNS})""",
+    "success_rate_last_24h": f"""
+        SELECT time_bucket(INTERVAL '1 hour', started_at) AS window_start,
+               time_bucket(INTERVAL '1 hour', started_at) + INTERVAL '1 hour' AS window_end,
+               count(*) AS runs, count(*) FILTER (WHERE status = 'success') AS succeeded,
+               {_pct("count(*) FILTER (WHERE status = 'success')", 'count(*)')} AS success_rate
+        FROM ({_RUNS}) WHERE started_at >= TIMESTAMP '2024-01-14 02:00:00' AND started_at < TIMESTAMP '2024-01-15 02:00:00'
+          AND job = 'purchase'
+        GROUP BY 1, 2""",
+    "stream_success_rate": f"""
+        SELECT time_bucket(INTERVAL '1 day', started_at) AS window_start,
+               time_bucket(INTERVAL '1 day', started_at) + INTERVAL '1 day' AS window_end,
+               count(*) AS runs, count(*) FILTER (WHERE status = 'success') AS succeeded,
+               CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS success_rate
+        FROM ({_RUNS}) GROUP BY 1, 2
+        HAVING time_bucket(INTERVAL '1 day', started_at) + INTERVAL '1 day' <= (SELECT max(ts) FROM events)""",
     "records_per_second": f"""
         SELECT time_bucket(INTERVAL '5 minutes', started_at) AS window_start, job, CAST(sum(records) AS BIGINT) AS records,
                CAST(sum(records) AS DOUBLE) / 300.0 AS records_per_second

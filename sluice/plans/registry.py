@@ -27,6 +27,10 @@ AS_OF = dt.datetime(2024, 1, 15, 2, 0, 0)
 DAY = dt.date(2024, 1, 15)
 BATCH = "20240115_020000"
 
+
+def _as_of_ntz():
+    return F.lit("2024-01-15 02:00:00").cast("timestamp_ntz")
+
 # Specs for the driver tables (the e-commerce specs live in ``sluice.specs``).
 ORDERS_SPEC = TableSpec("orders", key=("o_orderkey",), required=("o_orderkey", "o_custkey", "o_orderstatus"),
                         allowed_values={"o_orderstatus": ("F", "O")})
@@ -267,6 +271,22 @@ def q_active_runs(spark, sf):
     return metrics.active_runs(_runs(spark, sf), "1 minute")
 
 
+def q_active_runs_at(spark, sf):
+    return metrics.active_runs_at(_runs(spark, sf), _as_of_ntz())
+
+
+def q_success_rate_last_24h(spark, sf):
+    recent = metrics.trailing(_runs(spark, sf), _as_of_ntz(), "24 hours", column="job", value="purchase")
+    return metrics.success_rate(recent, "1 hour")
+
+
+def q_stream_success_rate(spark, sf):
+    from sluice.streaming.bronze_stream import stream_success_rate
+
+    events = spark.readStream.schema(_t(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
+    return stream_success_rate(spark, metrics.runs_from_events(events), "1 day", "0 seconds")
+
+
 def q_records_per_second(spark, sf):
     return metrics.records_per_second(_runs(spark, sf), "5 minutes")
 
@@ -401,6 +421,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "success_rate": q_success_rate,
     "status_band": q_status_band,
     "active_runs": q_active_runs,
+    "active_runs_at": q_active_runs_at,
+    "success_rate_last_24h": q_success_rate_last_24h,
+    "stream_success_rate": q_stream_success_rate,
     "records_per_second": q_records_per_second,
     "p95_value": q_p95_value,
     "failure_rate": q_failure_rate,
