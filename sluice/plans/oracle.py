@@ -127,6 +127,38 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """
 
 
+def _stream_quality_sql() -> str:
+    """The events report of one micro-batch (metadata columns included, NULL rows left out)."""
+    cols = ["event_id", "ts", "user_id", "event_type", "value", "props", "_ingestion_timestamp", "_source_file",
+            "_processing_date", "_batch_id", "_record_hash"]
+    head = (
+        "WITH s AS (SELECT count(*) AS rows_, count(*) FILTER (WHERE event_type NOT IN ('signup', 'purchase', 'view', 'click')) AS a0, "
+        "count(*) FILTER (WHERE value < 0) AS g0, "
+        + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n_{c}" for c in cols[:6]) + " FROM events), "
+        "k AS (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT event_id FROM events)) AS extra FROM events) "
+    )
+
+    def row(check, col, sev, metric, thr, passed, fail_msg, frm="s"):
+        col_sql = "CAST(NULL AS VARCHAR)" if col is None else f"'{col}'"
+        msg = "'ok'" if fail_msg is None else f"CASE WHEN {passed} THEN 'ok' ELSE '{fail_msg}' END"
+        return (f"SELECT 'EVENTS' AS table_name, '{check}' AS check_name, {col_sql} AS column_name, '{sev}' AS severity, "
+                f"CAST({metric} AS DOUBLE) AS metric, CAST({thr} AS DOUBLE) AS threshold, CAST({passed} AS BOOLEAN) AS passed, "
+                f"{msg} AS message FROM {frm}")
+
+    parts = [row("column_count", None, "error", len(cols), 0, "true", None),
+             row("duplicate_columns", None, "error", 0, 0, "true", None)]
+    parts += [row("required_column", c, "error", 1, 1, "true", None) for c in ("event_id", "ts", "event_type")]
+    for c in cols[:6]:
+        parts.append(row("null_count", c, "metric", f"n_{c}", "NULL", "true", None))
+        parts.append(row("null_percent", c, "warning", _pct(f"n_{c}", "rows_"), 10.0, f"({_pct(f'n_{c}', 'rows_')}) <= 10.0",
+                         "NULL share above threshold"))
+    parts += [row("record_count", None, "error", "rows_", 0, "rows_ > 0", "table is empty"),
+              row("allowed_values", "event_type", "warning", "a0", 0, "a0 = 0", "values outside the allowed set"),
+              row("non_negative", "value", "warning", "g0", 0, "g0 = 0", "negative values found"),
+              row("key_unique", "event_id", "error", "extra", 0, "extra = 0", "key is not unique", frm="k")]
+    return head + " UNION ALL ".join(parts)
+
+
 ORACLE: dict[str, str] = {
     "dq_report_orders": _DQ_ORDERS,
     "dq_rules_customer": _DQ_CUSTOMER,
@@ -333,6 +365,7 @@ ORACLE: dict[str, str] = {
     "partitioned_roundtrip": """
         SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS event_day
         FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",
+    "stream_quality": _stream_quality_sql(),
     "stream_bronze": """
         SELECT event_id, user_id, event_type, value, 'EVENTS' AS _source_file, DATE '2024-01-15' AS _processing_date,
                '20240115_020000' AS _batch_id,

@@ -392,6 +392,19 @@ def q_stream_bronze(spark, sf):
     return out.drop("_ingestion_timestamp", "ts", "props")
 
 
+EVENTS_SPEC = TableSpec("EVENTS", key=("event_id",), required=("event_id", "ts", "event_type"),
+                        allowed_values={"event_type": ("signup", "purchase", "view", "click")},
+                        non_negative=("value",), check_duplicates=False)
+
+
+def q_stream_quality(spark, sf):
+    from sluice.streaming.bronze_stream import stream_ingest_with_quality
+
+    _, reports = stream_ingest_with_quality(spark, f"{sf}/events*.parquet", _t(spark, sf, "events").schema,
+                                            EVENTS_SPEC, as_of=AS_OF, batch_id=BATCH)
+    return reports.drop("batch_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report_orders": q_dq_report_orders,
     "dq_rules_customer": q_dq_rules_customer,
@@ -439,4 +452,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mask_columns": q_mask_columns,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "stream_bronze": q_stream_bronze,
+    "stream_quality": q_stream_quality,
 }

@@ -91,3 +91,22 @@ def test_ingest_run_isolates_failures(spark, tmp_path):
     s = {r.status: (r.tables, r.records, r.table_names) for r in ingest_summary(log).collect()}
     assert s["success"] == (1, 2, "OLIST_CUSTOMERS_DATASET")
     assert reports.filter("check_name = 'key_unique' AND NOT passed").count() == 1
+
+
+def test_stream_quality_gates_each_batch(spark, tmp_path):
+    from sluice.streaming.bronze_stream import stream_ingest_with_quality
+
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    schema = "id int, s string"
+    spark.createDataFrame([(1, "a"), (2, "b")], schema).write.parquet(str(good))
+    spark.createDataFrame([(1, "a"), (1, "b")], schema).write.parquet(str(bad))
+    spec = TableSpec("T", key=("id",))
+    rows_ok, rep_ok = stream_ingest_with_quality(spark, str(good), spark.read.parquet(str(good)).schema, spec,
+                                                 output=str(tmp_path / "o1"), reports=str(tmp_path / "r1"),
+                                                 checkpoint=str(tmp_path / "c1"), as_of=dt.datetime(2024, 1, 1))
+    assert rows_ok.count() == 2 and rep_ok.filter("NOT passed AND severity = 'error'").count() == 0
+    rows_bad, rep_bad = stream_ingest_with_quality(spark, str(bad), spark.read.parquet(str(bad)).schema, spec,
+                                                   output=str(tmp_path / "o2"), reports=str(tmp_path / "r2"),
+                                                   checkpoint=str(tmp_path / "c2"), as_of=dt.datetime(2024, 1, 1))
+    assert rows_bad.count() == 0
+    assert rep_bad.filter("check_name = 'key_unique' AND NOT passed").count() == 1
