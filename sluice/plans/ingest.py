@@ -45,6 +45,8 @@ class IngestConfig:
     registry: Mapping[str, TableSpec] = field(default_factory=lambda: dict(REGISTRY))
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     parallelism: int = 4  # tables ingested at once (Spark runs jobs from several driver threads concurrently)
+    partition_by_date: bool = True  # Bronze tables partitioned by _processing_date, so day checks prune files
+    keep_history: bool = False  # True: a run replaces only its own day (dynamic overwrite); False: full replace
 
 
 @dataclass
@@ -87,8 +89,10 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
         stage = "write"
         root = cfg.location or f"{checkpoint_root(spark)}/sluice/warehouse"
         ensure_database(spark, cfg.database, f"{root}/{cfg.database}.db")
-        n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite",
-                        path=f"{root}/{cfg.database}.db/{table_name.lower()}")
+        parts = ("_processing_date",) if cfg.partition_by_date else None
+        opts = {"partitionOverwriteMode": "dynamic"} if (parts and cfg.keep_history) else None
+        n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite", options=opts,
+                        path=f"{root}/{cfg.database}.db/{table_name.lower()}", partition_by=parts)
         return TableOutcome(table_name, stage, "success", n, None, started, dt.datetime.now(), report)
     except Exception as exc:  # noqa: BLE001 - isolation: one table's failure never stops the others
         log.warning("failed to ingest %s at %s: %s", table_name, stage, exc)

@@ -252,6 +252,10 @@ ORACLE: dict[str, str] = {
                + (SELECT count(*) FROM region) + (SELECT count(*) FROM supplier) AS records,
                'CUSTOMER,NATION,PART,REGION,SUPPLIER' AS table_names
         UNION ALL SELECT 'failed', 1, 0, 'ORDERS'""",
+    "post_load_checks": """
+        SELECT 'CUSTOMER' AS table_name, count(*) AS record_count, count(*) > 0 AS passed, count(*) AS fresh_rows FROM customer
+        UNION ALL SELECT 'PART', count(*), count(*) > 0, count(*) FROM part
+        UNION ALL SELECT 'SUPPLIER', count(*), count(*) > 0, count(*) FROM supplier""",
     "file_inventory": """
         SELECT * FROM (VALUES ('customer.csv', 'CUSTOMER'), ('nation.csv', 'NATION'), ('orders.csv', 'ORDERS'),
             ('part.csv', 'PART'), ('region.csv', 'REGION'), ('supplier.csv', 'SUPPLIER')) t(entry, table_name)""",

@@ -244,6 +244,15 @@ def q_ingest_summary(spark, sf):
     return ingest_summary(run_log)
 
 
+def q_post_load_checks(spark, sf):
+    """AGG-8 over the tables the ingest run wrote to the catalog (day filter prunes partitions)."""
+    _ingest(spark, sf)
+    tables = {t: warehouse.read_table(spark, f"sluice_bronze.{t.lower()}") for t in ("CUSTOMER", "PART", "SUPPLIER")}
+    counts = checks.record_counts(tables, DAY, check_time=AS_OF).drop("check_time")
+    fresh = checks.freshness(tables, DAY).select("table_name", F.col("records_today").alias("fresh_rows"))
+    return counts.join(fresh, "table_name", "left")
+
+
 def q_file_inventory(spark, sf):
     inv = files.file_inventory(spark, drops.raw_drop(spark, sf))
     return inv.select("entry", "table_name").distinct()
@@ -429,6 +438,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "query_scan": q_query_scan,
     "ingest_run": q_ingest_run,
     "ingest_summary": q_ingest_summary,
+    "post_load_checks": q_post_load_checks,
     "file_inventory": q_file_inventory,
     "required_files": q_required_files,
     "success_rate": q_success_rate,
