@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints ONE JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_REPEAT (default 1),
-BENCH_WARMUP_SF_DIR (default /root/testdata/sf0.001; every query runs there once, untimed, first).
+BENCH_WARMUP_SF_DIR (default /root/testdata/sf0.001; every query runs there once, untimed, first),
+BENCH_EVENT_LOG_DIR (optional: write Spark's event log there for stage and task times).
 Each query is timed end to end (building the frame, including any staging it does, plus a full
 evaluation through the ``noop`` sink, which runs every row without collecting to the driver).
 ``ref_shaped_dq_orders`` times the same orders checks run the reference's way (one Spark action per
@@ -69,7 +70,10 @@ def main():
     from sluice.plans.registry import QUERIES
     from sluice.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="sluice-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage/task times for later reading, e.g. a mktemp -d folder
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="sluice-bench", extra_conf=extra)
     # warm-up, not timed: every headline query once on the smallest data set, so JIT and codegen caches
     # are warm and the timings below are steady-state
     warm = os.environ.get("BENCH_WARMUP_SF_DIR", "/root/testdata/sf0.001")
