@@ -83,7 +83,7 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
                                   batch_id=batch_id_for(cfg.as_of or started))
         stage = "validate"
         if cfg.enable_validation:
-            report = quality_report(bronze, spec, cfg.thresholds).cache()
+            report = quality_report(bronze, spec, cfg.thresholds)  # small local rows, no re-computation
             for w in gate(report):
                 log.warning("%s: %s", table_name, w)
         stage = "write"

@@ -98,7 +98,9 @@ def q_negative_values(spark, sf):
 
 def q_bronze_enrich(spark, sf):
     raw = drops.as_raw_strings(_customer_with_nulls(spark, sf))
-    return bronze_transform(raw, TableSpec("CUSTOMER"), as_of=AS_OF, batch_id=BATCH)
+    out = bronze_transform(raw, TableSpec("CUSTOMER"), as_of=AS_OF, batch_id=BATCH)
+    # compared zone-less, like the oracle's TIMESTAMP (the library column is a session-zone timestamp)
+    return out.withColumn("_ingestion_timestamp", F.col("_ingestion_timestamp").cast("timestamp_ntz"))
 
 
 def q_standardize_text(spark, sf):
@@ -194,7 +196,8 @@ def q_record_counts(spark, sf):
 
 
 def q_freshness(spark, sf):
-    return checks.freshness(_bronze_tables(spark, sf), DAY)
+    out = checks.freshness(_bronze_tables(spark, sf), DAY)
+    return out.withColumn("latest_ingestion", F.col("latest_ingestion").cast("timestamp_ntz"))
 
 
 def q_table_roundtrip(spark, sf):

@@ -140,7 +140,8 @@ def scan_csv(
         obs, F.count(F.lit(1)).alias("total"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt")
     ).write.mode("overwrite").parquet(stage)
     m = obs.get
-    scan = CsvScan(table_name, int(m.get("total", 0) or 0), int(m.get("corrupt", 0) or 0), spark.read.parquet(stage))
+    staged = spark.read.schema(raw.schema).parquet(stage)  # schema known: no footer-reading job
+    scan = CsvScan(table_name, int(m.get("total", 0) or 0), int(m.get("corrupt", 0) or 0), staged)
     if scan.corrupt > 0:
         if scan.corrupt_percent > thresholds.max_corrupt_percent:
             raise CorruptRecordsError(
