@@ -40,31 +40,50 @@ def apply_rules(df: DataFrame, rules: Mapping[str, str | Column]) -> tuple[DataF
     return kept, rejected
 
 
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` of them."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(ref: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast ``ref`` only when a cheap bounded count proves it has at most ``max_rows`` rows.
 
-    The count reads at most ``max_rows + 1`` rows. Otherwise the frame is returned as is and the join
-    stays a shuffle join (which AQE may still turn into a broadcast from runtime sizes).
+    Otherwise the frame is returned as is and the join stays a shuffle join (which AQE may still turn into
+    a broadcast from runtime sizes).
     """
-    n = ref.limit(max_rows + 1).count()
-    return F.broadcast(ref) if n <= max_rows else ref
+    return F.broadcast(ref) if row_count_at_most(ref, max_rows) else ref
+
+
+def keys_unique(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Proof that ``keys`` never repeat: a key-only, partial-aggregated count that stops at the first repeat."""
+    return df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count() == 0
 
 
 def enrich(df: DataFrame, ref: DataFrame, keys: Sequence[str] | Mapping[str, str], cols: Sequence[str],
-           fallback: Mapping[str, str] | None = None, max_broadcast_rows: int | None = 1_000_000) -> DataFrame:
-    """SILV-3: left lookup join adding ``cols`` from ``ref``.
+           fallback: Mapping[str, str] | None = None, max_broadcast_rows: int | None = 1_000_000,
+           ref_unique: bool | None = None) -> DataFrame:
+    """SILV-3: left lookup join adding ``cols`` from ``ref``; a lookup never multiplies fact rows.
 
-    ``keys`` is a list of shared names or a mapping fact column -> ref column. The reference side is
-    de-duplicated on its key first (so a lookup never multiplies fact rows). ``fallback`` maps an added
+    ``keys`` is a list of shared names or a mapping fact column -> ref column. ``fallback`` maps an added
     column to a fact column used when the lookup misses (``coalesce(english, original)``).
+
+    Plan choice:
+    * a reference proven small (bounded row count) is de-duplicated on its key and broadcast;
+    * a large one is joined by shuffle. If its key is unique (``ref_unique=True``, or proven by a key-only
+      aggregate when ``None``) it joins as is, so both join inputs are plain shuffles and AQE can split a
+      hot fact key over many tasks; only a reference whose keys do repeat is de-duplicated first.
     """
     pairs = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
-    r = ref.select(*[F.col(rc).alias(f"__k{i}") for i, rc in enumerate(pairs.values())], *cols)
-    r = r.dropDuplicates([f"__k{i}" for i in range(len(pairs))])
-    if max_broadcast_rows is not None:
-        r = broadcast_if_small(r, max_broadcast_rows)
-    cond = [df[fc] == r[f"__k{i}"] for i, fc in enumerate(pairs)]
-    out = df.join(r, cond, "left").drop(*[f"__k{i}" for i in range(len(pairs))])
+    knames = [f"__k{i}" for i in range(len(pairs))]
+    r = ref.select(*[F.col(rc).alias(k) for k, rc in zip(knames, pairs.values())], *cols)
+    if max_broadcast_rows is not None and row_count_at_most(r, max_broadcast_rows):
+        r = F.broadcast(r if ref_unique else r.dropDuplicates(knames))
+    else:
+        unique = ref_unique if ref_unique is not None else keys_unique(r, knames)
+        if not unique:
+            r = r.dropDuplicates(knames)
+    cond = [df[fc] == r[k] for fc, k in zip(pairs, knames)]
+    out = df.join(r, cond, "left").drop(*knames)
     for c, fb in (fallback or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(fb)))
     return out

@@ -44,11 +44,8 @@ def cluster_conf(total_cores: int, input_bytes: int | None = None, target_partit
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sluice",
                   extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A local session configured the way the tests and the bench expect."""
-    builder = SparkSession.builder
-    for k, v in (extra_conf or {}).items():
-        builder = builder.config(k, v)
-    spark = (
-        builder.master(f"local[{cores}]")
+    builder = (
+        SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -58,8 +55,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for k, v in (extra_conf or {}).items():  # applied last, so they override the defaults above
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
