@@ -84,6 +84,26 @@ _DQ_PART = dq_sql("part", "SELECT * FROM part", _PART_COLS, ["p_partkey"], ["p_p
                   nonneg=["p_size", "p_retailprice"])
 
 
+_META = ["_ingestion_timestamp", "_source_file", "_processing_date", "_batch_id", "_record_hash"]
+_STATUSES = ["delivered", "shipped", "processing", "canceled", "unavailable", "invoiced", "created", "approved"]
+# typed Bronze rows of the e-commerce tables fed from driver tables (the key is unique, so whole-row
+# distinctness equals business-column distinctness and the constant metadata can stay out of ``src``)
+_ECOM_CUSTOMERS = """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, upper(trim(' ' || lower(c_mktsegment) || ' ')) AS customer_city,
+    CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS customer_state,
+    lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix FROM customer"""
+_ECOM_ORDERS = """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
+    CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped' ELSE 'pending' END AS order_status,
+    o_orderdate AS order_purchase_timestamp,
+    CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderdate + INTERVAL 1 DAY END AS order_approved_at,
+    CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderdate + INTERVAL 3 DAY END AS order_delivered_carrier_date,
+    o_orderdate + INTERVAL 7 DAY AS order_delivered_customer_date,
+    CAST(o_orderdate + INTERVAL 30 DAY AS DATE) AS order_estimated_delivery_date FROM orders"""
+_ECOM_PRODUCTS = """SELECT CAST(p_partkey AS VARCHAR) AS product_id, CAST(p_size AS DOUBLE) AS product_weight_g,
+    CAST(CAST(p_retailprice AS DECIMAL(12,2)) - 950 AS DOUBLE) AS product_length_cm,
+    CASE WHEN p_brand = 'Brand#1' THEN NULL ELSE CAST(p_size AS DOUBLE) END AS product_height_cm,
+    CAST(p_size * 2 AS DOUBLE) AS product_width_cm FROM part"""
+
+
 def _null_profile_sql() -> str:
     parts = [f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count, "
              f"{_pct(f'count(*) FILTER (WHERE {c} IS NULL)', 'count(*)')} AS null_percent, "
@@ -163,6 +183,20 @@ ORACLE: dict[str, str] = {
     "dq_report_orders": _DQ_ORDERS,
     "dq_rules_customer": _DQ_CUSTOMER,
     "dq_rules_part": _DQ_PART,
+    "ecommerce_customers_report": dq_sql(
+        "OLIST_CUSTOMERS_DATASET", _ECOM_CUSTOMERS,
+        ["customer_id", "customer_city", "customer_state", "customer_zip_code_prefix"] + _META,
+        ["customer_id"], ["customer_id", "customer_city", "customer_state"]),
+    "ecommerce_orders_report": dq_sql(
+        "OLIST_ORDERS_DATASET", _ECOM_ORDERS,
+        ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at",
+         "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date"] + _META,
+        ["order_id"], ["order_id", "customer_id", "order_status"], {"order_status": _STATUSES}),
+    "ecommerce_products_report": dq_sql(
+        "OLIST_PRODUCTS_DATASET", _ECOM_PRODUCTS,
+        ["product_id", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"] + _META,
+        ["product_id"], ["product_id"],
+        nonneg=["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]),
     "null_profile": _null_profile_sql(),
     "duplicate_profile": """
         SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_count

@@ -21,7 +21,7 @@ from sluice.session import staging_path
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import csv as csvsrc
 from sluice.sources import files, warehouse
-from sluice.specs import PRESETS, TableSpec, Thresholds
+from sluice.specs import CUSTOMERS, ORDERS, PRESETS, PRODUCTS, TableSpec, Thresholds
 
 AS_OF = dt.datetime(2024, 1, 15, 2, 0, 0)
 DAY = dt.date(2024, 1, 15)
@@ -404,6 +404,68 @@ def q_stream_bronze(spark, sf):
     return out.drop("_ingestion_timestamp", "ts", "props")
 
 
+# --- the e-commerce source tables, fed from driver tables (customer -> customers, orders -> orders,
+# part -> products), typed and validated with the source's own fixed specs ------------------------------
+
+
+def ecommerce_customers_raw(spark, sf):
+    c = _t(spark, sf, "customer")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" ")).alias("customer_city"),
+        F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_nationkey").cast("string")).alias("customer_state"),
+        F.lpad(F.col("c_custkey").cast("string"), 5, "0").alias("customer_zip_code_prefix"),
+    )
+
+
+def ecommerce_orders_raw(spark, sf):
+    o = _t(spark, sf, "orders")
+    d = F.col("o_orderdate")
+
+    def plus(days):
+        return (d + F.expr(f"INTERVAL {days} DAYS")).cast("string")
+
+    status = (F.when(F.col("o_orderstatus") == "F", "delivered").when(F.col("o_orderstatus") == "O", "shipped")
+              .otherwise("pending"))
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        status.alias("order_status"),
+        d.cast("string").alias("order_purchase_timestamp"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(plus(1)).alias("order_approved_at"),
+        F.when(F.col("o_orderstatus") == "O", F.lit("not yet")).otherwise(plus(3)).alias("order_delivered_carrier_date"),
+        plus(7).alias("order_delivered_customer_date"),
+        plus(30).alias("order_estimated_delivery_date"),
+    )
+
+
+def ecommerce_products_raw(spark, sf):
+    p = _t(spark, sf, "part")
+    return p.select(
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_size").cast("string").alias("product_weight_g"),
+        (F.col("p_retailprice").cast("decimal(12,2)") - F.lit(950)).cast("string").alias("product_length_cm"),
+        F.when(F.col("p_brand") == "Brand#1", F.lit("n/a")).otherwise(F.col("p_size").cast("string")).alias("product_height_cm"),
+        (F.col("p_size") * 2).cast("string").alias("product_width_cm"),
+    )
+
+
+def _source_report(raw, spec):
+    return quality.quality_report(bronze_transform(raw, spec, as_of=AS_OF, batch_id=BATCH), spec)
+
+
+def q_ecommerce_customers_report(spark, sf):
+    return _source_report(ecommerce_customers_raw(spark, sf), CUSTOMERS)
+
+
+def q_ecommerce_orders_report(spark, sf):
+    return _source_report(ecommerce_orders_raw(spark, sf), ORDERS)
+
+
+def q_ecommerce_products_report(spark, sf):
+    return _source_report(ecommerce_products_raw(spark, sf), PRODUCTS)
+
+
 EVENTS_SPEC = TableSpec("EVENTS", key=("event_id",), required=("event_id", "ts", "event_type"),
                         allowed_values={"event_type": ("signup", "purchase", "view", "click")},
                         non_negative=("value",), check_duplicates=False)
@@ -421,6 +483,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report_orders": q_dq_report_orders,
     "dq_rules_customer": q_dq_rules_customer,
     "dq_rules_part": q_dq_rules_part,
+    "ecommerce_customers_report": q_ecommerce_customers_report,
+    "ecommerce_orders_report": q_ecommerce_orders_report,
+    "ecommerce_products_report": q_ecommerce_products_report,
     "null_profile": q_null_profile,
     "duplicate_profile": q_duplicate_profile,
     "key_uniqueness": q_key_uniqueness,
