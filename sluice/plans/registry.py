@@ -21,7 +21,7 @@ from sluice.session import staging_path
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import csv as csvsrc
 from sluice.sources import files, warehouse
-from sluice.specs import CUSTOMERS, ORDERS, PRESETS, PRODUCTS, TableSpec, Thresholds
+from sluice.specs import CUSTOMERS, ORDERS, PRESETS, PRODUCTS, TableSpec
 
 AS_OF = dt.datetime(2024, 1, 15, 2, 0, 0)
 DAY = dt.date(2024, 1, 15)
@@ -296,7 +296,10 @@ def q_stream_success_rate(spark, sf):
     from sluice.streaming.bronze_stream import stream_success_rate
 
     events = spark.readStream.schema(_t(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
-    return stream_success_rate(spark, metrics.runs_from_events(events), "1 day", "0 seconds")
+    out = stream_success_rate(spark, metrics.runs_from_events(events), "1 day", "0 seconds")
+    # watermarks need session-zone time; compare the window bounds zone-less, like the source column
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.startswith("window_") else F.col(c)
+                        for c in out.columns])
 
 
 def q_records_per_second(spark, sf):

@@ -1,7 +1,4 @@
-import os
-
 import pytest
-from pyspark.sql import functions as F
 
 from sluice.sources import csv as csvsrc
 from sluice.sources import files

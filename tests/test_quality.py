@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from sluice.operators import quality
 from sluice.specs import TableSpec, Thresholds

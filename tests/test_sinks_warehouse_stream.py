@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.plans.ingest import IngestConfig, exit_code, ingest_all, ingest_summary
-from sluice.session import staging_path
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import warehouse
 from sluice.specs import PRESETS, TableSpec
