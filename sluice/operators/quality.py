@@ -285,6 +285,17 @@ def quality_report(
     return spark.createDataFrame(rows_out, REPORT_DDL)
 
 
+def validate(df: DataFrame, spec: TableSpec, thresholds: Thresholds = Thresholds(), **kwargs) -> DataFrame:
+    """DQ-1 as a never-raising call: a check that fails to run becomes a ``validation_error`` error row
+    (so the gate blocks the load) instead of an exception."""
+    try:
+        return quality_report(df, spec, thresholds, **kwargs)
+    except Exception as exc:  # noqa: BLE001 - reported, not raised
+        msg = f"Validation error: {type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+        return df.sparkSession.createDataFrame(
+            [(spec.name, "validation_error", None, "error", None, None, False, msg)], REPORT_DDL)
+
+
 def failed_errors(report: DataFrame) -> DataFrame:
     """Rows that block a load: severity ``error`` and not passed."""
     return report.filter((F.col("severity") == "error") & ~F.col("passed"))

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.operators.bronze import batch_id_for, bronze_transform
-from sluice.operators.quality import REPORT_DDL, gate, quality_report
+from sluice.operators.quality import REPORT_DDL, gate, validate
 from sluice.session import checkpoint_root
 from sluice.sinks.tables import write_table
 from sluice.sources.csv import scan_csv
@@ -83,7 +83,7 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
                                   batch_id=batch_id_for(cfg.as_of or started))
         stage = "validate"
         if cfg.enable_validation:
-            report = quality_report(bronze, spec, cfg.thresholds)  # small local rows, no re-computation
+            report = validate(bronze, spec, cfg.thresholds)  # a check that cannot run blocks the load
             for w in gate(report):
                 log.warning("%s: %s", table_name, w)
         stage = "write"
@@ -133,11 +133,12 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
 
 
 def ingest_summary(run_log: DataFrame) -> DataFrame:
-    """AGG-10: per status: tables, rows loaded, table names (sorted), and the first error text."""
+    """AGG-10: per status: tables, rows loaded, table names (sorted) and one error text (the smallest)."""
     return run_log.groupBy("status").agg(
         F.count(F.lit(1)).cast("long").alias("tables"),
         F.coalesce(F.sum("record_count"), F.lit(0)).cast("long").alias("records"),
         F.array_join(F.sort_array(F.collect_list("table_name")), ",").alias("table_names"),
+        F.min("error").alias("first_error"),  # deterministic pick among the error texts
     )
 
 

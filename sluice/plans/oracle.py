@@ -284,8 +284,12 @@ ORACLE: dict[str, str] = {
         SELECT 'success' AS status, CAST(5 AS BIGINT) AS tables,
                (SELECT count(*) FROM customer) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM part)
                + (SELECT count(*) FROM region) + (SELECT count(*) FROM supplier) AS records,
-               'CUSTOMER,NATION,PART,REGION,SUPPLIER' AS table_names
-        UNION ALL SELECT 'failed', 1, 0, 'ORDERS'""",
+               'CUSTOMER,NATION,PART,REGION,SUPPLIER' AS table_names, CAST(NULL AS VARCHAR) AS first_error
+        UNION ALL SELECT 'failed', 1, 0, 'ORDERS',
+            printf('Corrupt records exceed threshold: %.2f%% > 5.0%%',
+                   (SELECT CAST(count(*) FILTER (WHERE ((o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
+                           OR (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice < 100000))) AS DOUBLE)
+                           * 100.0 / CAST(count(*) AS DOUBLE) FROM orders))""",
     "post_load_checks": """
         SELECT 'CUSTOMER' AS table_name, count(*) AS record_count, count(*) > 0 AS passed, count(*) AS fresh_rows FROM customer
         UNION ALL SELECT 'PART', count(*), count(*) > 0, count(*) FROM part

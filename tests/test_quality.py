@@ -110,3 +110,12 @@ def test_gate_returns_warnings_and_raises_on_errors(spark):
     with pytest.raises(quality.QualityGateError, match="key_unique"):
         quality.gate(quality.quality_report(df, TableSpec("T", key=("k",))))
     assert quality.gate(quality.quality_report(df, TableSpec("T", key=("k",))), enabled=False) == []
+
+
+def test_validate_turns_a_broken_check_into_an_error_row(spark):
+    df = spark.createDataFrame([([1, 2],)], "xs array<int>")
+    rep = quality.validate(df, TableSpec("T", non_negative=("xs",)))  # an array cannot be compared with 0
+    r = rep.collect()
+    assert len(r) == 1 and r[0].check_name == "validation_error" and not r[0].passed
+    with pytest.raises(quality.QualityGateError, match="validation_error"):
+        quality.gate(rep)
