@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.operators.bronze import batch_id_for, bronze_transform
+from sluice.operators.ops import schema_drift
 from sluice.operators.quality import REPORT_DDL, gate, validate
 from sluice.session import checkpoint_root
 from sluice.sinks.tables import write_table
@@ -29,7 +30,7 @@ log = logging.getLogger(__name__)
 
 RUN_LOG_DDL = (
     "run_id string, env string, job string, table_name string, stage string, status string, "
-    "record_count long, error string, started_at timestamp, ended_at timestamp"
+    "record_count long, error string, started_at timestamp, ended_at timestamp, schema_changes string"
 )
 
 
@@ -59,6 +60,7 @@ class TableOutcome:
     started_at: dt.datetime
     ended_at: dt.datetime
     report: DataFrame | None = None
+    schema_changes: str | None = None
 
 
 def ensure_database(spark: SparkSession, name: str, location: str) -> None:
@@ -89,11 +91,18 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
         stage = "write"
         root = cfg.location or f"{checkpoint_root(spark)}/sluice/warehouse"
         ensure_database(spark, cfg.database, f"{root}/{cfg.database}.db")
+        changes = None
+        if spark.catalog.tableExists(f"{cfg.database}.{table_name}"):
+            old = spark.read.table(f"{cfg.database}.{table_name}").schema
+            drift = schema_drift(spark, old, bronze.schema).filter(F.col("change") != "moved").collect()
+            if drift:  # bounded by the column count
+                changes = ",".join(f"{r.change}:{r.column_name}" for r in sorted(drift))
+                log.warning("%s: schema drift %s", table_name, changes)
         parts = ("_processing_date",) if cfg.partition_by_date else None
         opts = {"partitionOverwriteMode": "dynamic"} if (parts and cfg.keep_history) else None
         n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite", options=opts,
                         path=f"{root}/{cfg.database}.db/{table_name.lower()}", partition_by=parts)
-        return TableOutcome(table_name, stage, "success", n, None, started, dt.datetime.now(), report)
+        return TableOutcome(table_name, stage, "success", n, None, started, dt.datetime.now(), report, changes)
     except Exception as exc:  # noqa: BLE001 - isolation: one table's failure never stops the others
         log.warning("failed to ingest %s at %s: %s", table_name, stage, exc)
         log.debug("%s", traceback.format_exc())
@@ -122,7 +131,7 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
         outcomes = [one(r) for r in tables]
     run_log = spark.createDataFrame(
         [(cfg.run_id, cfg.env, "bronze_ingest", o.table_name, o.stage, o.status, o.record_count, o.error,
-          o.started_at, o.ended_at) for o in outcomes],
+          o.started_at, o.ended_at, o.schema_changes) for o in outcomes],
         RUN_LOG_DDL,
     )
     reports = [o.report for o in outcomes if o.report is not None]

@@ -109,3 +109,16 @@ def test_stream_quality_gates_each_batch(spark, tmp_path):
                                                    checkpoint=str(tmp_path / "c2"), as_of=dt.datetime(2024, 1, 1))
     assert rows_bad.count() == 0
     assert rep_bad.filter("check_name = 'key_unique' AND NOT passed").count() == 1
+
+
+def test_ingest_records_schema_drift_between_runs(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "things.csv").write_text("id,name\n1,a\n2,b\n")
+    cfg = IngestConfig(as_of=dt.datetime(2024, 1, 15, 2), database="sluice_drift", location=str(tmp_path / "wh"))
+    log1, _ = ingest_all(spark, str(raw), cfg)
+    assert log1.first().schema_changes is None
+    (raw / "things.csv").write_text("id,label,size\n1,a,3\n")
+    log2, _ = ingest_all(spark, str(raw), cfg)
+    r = log2.first()
+    assert r.status == "success" and r.schema_changes == "added:label,removed:name,added:size"  # ordered by column name
