@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from sluice.session import staging_path
+from sluice.session import session_key, staging_path
 from sluice.sinks.tables import write_lines
 
 SHORT_LINE = "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
@@ -62,7 +62,7 @@ def write_table_csv(df: DataFrame, folder: str, name: str, short_when=None, long
 def raw_drop(spark: SparkSession, sf_dir: str, tables=("region", "nation", "customer", "supplier", "part", "orders"),
              corrupt_orders: bool = True) -> str:
     """Write (once per session and input) a raw drop folder and return its path."""
-    key = (spark.sparkContext.applicationId, sf_dir, tuple(tables), corrupt_orders)
+    key = (session_key(spark), sf_dir, tuple(tables), corrupt_orders)
     if key in _cache:
         return _cache[key]
     folder = staging_path(spark, "raw")

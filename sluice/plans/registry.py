@@ -17,7 +17,7 @@ from sluice.functions.casts import try_cast_to
 from sluice.operators.bronze import bronze_transform, standardize
 from sluice.plans import drops
 from sluice.plans.ingest import IngestConfig, ingest_all, ingest_summary
-from sluice.session import staging_path
+from sluice.session import session_key, staging_path
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import csv as csvsrc
 from sluice.sources import files, warehouse
@@ -228,7 +228,7 @@ _ingest_cache: dict = {}
 
 
 def _ingest(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
+    key = (session_key(spark), sf)
     if key not in _ingest_cache:
         folder = drops.raw_drop(spark, sf)
         cfg = IngestConfig(env="base", thresholds=PRESETS["base"], as_of=AS_OF, database="sluice_bronze",

@@ -81,6 +81,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def session_key(spark: SparkSession) -> str:
+    """A stable id of the running application (works for classic and Connect sessions)."""
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def staging_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared folder (nothing is created yet)."""
     return "/".join([checkpoint_root(spark), "sluice", *parts, uuid.uuid4().hex])
@@ -102,4 +107,4 @@ def cut_lineage(df, spark: SparkSession | None = None, name: str = "stage"):
     return spark.read.parquet(path)
 
 
-__all__ = ["cluster_conf", "local_session", "checkpoint_root", "staging_path", "cut_lineage", "local_fs_path"]
+__all__ = ["cluster_conf", "local_session", "session_key", "checkpoint_root", "staging_path", "cut_lineage", "local_fs_path"]
