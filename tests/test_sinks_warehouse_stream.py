@@ -122,3 +122,26 @@ def test_ingest_records_schema_drift_between_runs(spark, tmp_path):
     log2, _ = ingest_all(spark, str(raw), cfg)
     r = log2.first()
     assert r.status == "success" and r.schema_changes == "added:label,removed:name,added:size"  # ordered by column name
+
+
+def test_stream_success_rate_drops_events_behind_the_watermark(spark, tmp_path):
+    import time
+
+    src = tmp_path / "runs"
+    schema = "ts timestamp, status string"
+    # one file per micro-batch. Spark drops a row as late when it is behind the watermark of the previous
+    # batch: p1 moves it to 02:30, p2 keeps it there, so the 00:10 run in p3 is late and not counted.
+    files = [
+        [(dt.datetime(2024, 1, 1, 0, 5), "success"), (dt.datetime(2024, 1, 1, 3, 0), "failed")],
+        [(dt.datetime(2024, 1, 1, 3, 10), "success")],
+        [(dt.datetime(2024, 1, 1, 0, 10), "failed"), (dt.datetime(2024, 1, 1, 4, 0), "success")],
+    ]
+    for i, rows_ in enumerate(files, 1):
+        spark.createDataFrame(rows_, schema).coalesce(1).write.parquet(str(src / f"p{i}"))
+        time.sleep(1.1)  # distinct modification times: the file source reads files in that order
+    runs = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true")
+            .parquet(str(src)).select(F.col("ts").alias("started_at"), "status"))
+    out = stream_success_rate(spark, runs, "1 hour", "30 minutes", output=str(tmp_path / "o"), checkpoint=str(tmp_path / "c"))
+    got = {r.window_start.replace(tzinfo=None).hour: (r.runs, r.succeeded) for r in out.collect()}
+    assert got[0] == (1, 1)  # the late 00:10 failure is not counted
+    assert 4 not in got  # the newest window is still open: no later event moved the watermark past it
