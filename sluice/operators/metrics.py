@@ -47,6 +47,22 @@ def trailing(runs: DataFrame, as_of, length: str = "24 hours", ts: str = "starte
     return out
 
 
+def runs_from_run_log(run_log: DataFrame) -> DataFrame:
+    """Read ingest ``run_log`` rows (``plans.ingest``) as run rows, so the dashboard metrics can watch the
+    pipeline itself: one run per table load, the job is the table, the DAG the run id."""
+    secs = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("ended_at")).cast("double") / F.lit(1e6)
+    return run_log.select(
+        F.concat_ws(":", "run_id", "table_name").alias("run_id"),
+        F.col("table_name").alias("job"),
+        F.col("run_id").alias("dag_id"),
+        F.when(F.col("status") == "success", F.lit("success")).otherwise(F.lit("failed")).alias("status"),
+        "started_at",
+        "ended_at",
+        secs.alias("duration_s"),
+        F.coalesce(F.col("record_count"), F.lit(0)).cast("long").alias("records"),
+    )
+
+
 def _win(runs: DataFrame, length: str, ts: str) -> Column:
     return F.window(F.col(ts), length)
 

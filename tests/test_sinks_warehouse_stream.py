@@ -145,3 +145,21 @@ def test_stream_success_rate_drops_events_behind_the_watermark(spark, tmp_path):
     got = {r.window_start.replace(tzinfo=None).hour: (r.runs, r.succeeded) for r in out.collect()}
     assert got[0] == (1, 1)  # the late 00:10 failure is not counted
     assert 4 not in got  # the newest window is still open: no later event moved the watermark past it
+
+
+def test_dashboard_metrics_over_the_ingest_run_log(spark, tmp_path):
+    from sluice.operators import metrics
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.csv").write_text("id\n1\n2\n")
+    (raw / "b.csv").write_text("id\n1\n")
+    (raw / "c.csv").write_text("id,x\n1\n2\n")  # every line short: gated at read
+    log, _ = ingest_all(spark, str(raw), IngestConfig(database="sluice_mon", location=str(tmp_path / "wh")))
+    runs = metrics.runs_from_run_log(log)
+    day = metrics.status_bands(metrics.success_rate(runs, "1 day")).collect()
+    assert sum(r.runs for r in day) == 3 and sum(r.succeeded for r in day) == 2
+    assert {r.band for r in day} <= {"red", "yellow", "green"}
+    rps = metrics.records_per_second(runs, "1 day").agg(F.sum("records")).first()[0]
+    assert rps == 3
+    assert metrics.duration_quantile(runs, 0.95, "1 day", by="dag_id").count() >= 1
