@@ -5,11 +5,14 @@ Row counts at write time come from ``observe`` on the write itself, so no second
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from sluice.session import cut_lineage
+
 MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
 
@@ -44,6 +47,9 @@ def write_table(
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; expected one of {MODES}")
     spark = df.sparkSession
+    if fmt is None and mode == "overwrite" and table and _reads_table(df, table):
+        # Spark refuses to overwrite a table the same plan reads: stage to the shared folder, then swap
+        df = cut_lineage(df, spark, name="overwrite_stage")
     obs = Observation(f"write_count_{uuid.uuid4().hex}")  # unique: a failed write never completes its own
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode(mode).options(**(options or {}))
@@ -72,6 +78,27 @@ def write_table(
     return int(obs.get.get("rows", 0) or 0)
 
 
+def _reads_table(df: DataFrame, table: str) -> bool:
+    """Does ``df`` read files of catalog table ``table``? (compares the table's location with the plan's
+    input files; False when the table does not exist)."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        return False
+    loc = _norm_uri(table_location(spark, table) or "").rstrip("/")
+    if not loc:
+        return False
+    try:
+        files = df.inputFiles()
+    except Exception:  # noqa: BLE001 - not a file-based plan
+        return False
+    return any(_norm_uri(f).startswith(loc + "/") for f in files)
+
+
+def _norm_uri(p: str) -> str:
+    """'file:///x' and 'file:/x' name the same local path."""
+    return re.sub(r"^file:/+", "file:/", p)
+
+
 def table_location(spark: SparkSession, table: str) -> str | None:
     """Storage location of a catalog table (from ``DESCRIBE TABLE EXTENDED``)."""
     row = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == "Location").first()

@@ -163,3 +163,14 @@ def test_dashboard_metrics_over_the_ingest_run_log(spark, tmp_path):
     rps = metrics.records_per_second(runs, "1 day").agg(F.sum("records")).first()[0]
     assert rps == 3
     assert metrics.duration_quantile(runs, 0.95, "1 day", by="dag_id").count() >= 1
+
+
+def test_overwrite_a_table_read_by_the_same_plan(spark, tmp_path):
+    from sluice.operators import silver
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sluice_inplace LOCATION '{tmp_path}/db'")
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], "k int, ts int, v string")
+    write_table(df, "sluice_inplace.t", path=str(tmp_path / "db" / "t"))
+    latest = silver.dedup_latest(spark.read.table("sluice_inplace.t"), ["k"], ["ts"])
+    assert write_table(latest, "sluice_inplace.t", mode="overwrite") == 2
+    assert rows(spark.read.table("sluice_inplace.t")) == [(1, 2, "b"), (2, 1, "c")]
