@@ -390,6 +390,10 @@ ORACLE: dict[str, str] = {
         SELECT l_returnflag, l_linestatus, count(*) AS rows, CAST(sum(quantity) AS DOUBLE) AS sum_qty,
                CAST(sum(revenue) AS DOUBLE) AS revenue
         FROM ({_FACT}) GROUP BY ROLLUP (l_returnflag, l_linestatus)""",
+    "daily_kpis": f"""
+        SELECT CAST(o_orderdate AS DATE) AS order_day, count(*) AS lines, count(DISTINCT l_orderkey) AS orders,
+               CAST(sum(revenue) AS DOUBLE) AS revenue
+        FROM ({_FACT}) GROUP BY 1""",
     "count_trend": """
         SELECT event_type, day, record_count, previous_count,
                CASE WHEN previous_count IS NULL OR previous_count = 0 THEN NULL

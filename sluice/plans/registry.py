@@ -382,6 +382,14 @@ def q_kpi_rollup(spark, sf):
                     F.col("revenue").cast("double").alias("revenue"))
 
 
+def q_daily_kpis(spark, sf):
+    f = _fact(spark, sf).withColumn("order_day", F.to_date("o_orderdate"))
+    s = gold.summarize(f, ["order_day"], {"lines": F.count(F.lit(1)).cast("long"),
+                                          "orders": F.count_distinct("l_orderkey").cast("long"),
+                                          "revenue": F.sum("revenue")})
+    return s.select("order_day", "lines", "orders", F.col("revenue").cast("double").alias("revenue"))
+
+
 def q_count_trend(spark, sf):
     return ops.count_trend(_t(spark, sf, "events"), "event_type", "ts")
 
@@ -529,6 +537,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sales": q_fact_sales,
     "dim_customer": q_dim_customer,
     "kpi_rollup": q_kpi_rollup,
+    "daily_kpis": q_daily_kpis,
     "count_trend": q_count_trend,
     "mask_columns": q_mask_columns,
     "partitioned_roundtrip": q_partitioned_roundtrip,
