@@ -244,6 +244,7 @@ ORACLE: dict[str, str] = {
                CAST(l_quantity AS INTEGER) AS installments_legacy
         FROM lineitem""",
     "corrupt_split": f"SELECT {_RAW['orders']} FROM orders WHERE NOT {_CORRUPT}",
+    "stream_csv_ingest": f"SELECT {_RAW['orders']} FROM orders WHERE NOT {_CORRUPT}",
     "corrupt_rate_gate": f"""
         WITH s AS (SELECT count(*) AS total, count(*) FILTER (WHERE {_CORRUPT}) AS corrupt FROM orders),
         p AS (SELECT * FROM (VALUES ('base', 5.0), ('dev', 10.0), ('staging', 3.0), ('prod', 1.0)) t(env, max_percent))

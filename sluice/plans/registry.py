@@ -477,6 +477,15 @@ def q_ecommerce_products_report(spark, sf):
     return _source_report(ecommerce_products_raw(spark, sf), PRODUCTS)
 
 
+def q_stream_csv_ingest(spark, sf):
+    from sluice.streaming.bronze_stream import stream_ingest_csv
+
+    cols = _t(spark, sf, "orders").columns
+    rows_, _, _ = stream_ingest_csv(spark, _orders_scan(spark, sf), cols, TableSpec("ORDERS"), PRESETS["dev"],
+                                    as_of=AS_OF, batch_id=BATCH)
+    return rows_.select(*cols)
+
+
 EVENTS_SPEC = TableSpec("EVENTS", key=("event_id",), required=("event_id", "ts", "event_type"),
                         allowed_values={"event_type": ("signup", "purchase", "view", "click")},
                         non_negative=("value",), check_duplicates=False)
@@ -543,4 +552,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "stream_bronze": q_stream_bronze,
     "stream_quality": q_stream_quality,
+    "stream_csv_ingest": q_stream_csv_ingest,
 }

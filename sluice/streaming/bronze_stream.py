@@ -132,3 +132,92 @@ def stream_ingest_with_quality(
 
     rows_schema = StructType(bronze.schema.fields).add("batch_id", "long")
     return read_or_empty(output, rows_schema), read_or_empty(reports, REPORT_DDL + ", batch_id long")
+
+
+def stream_ingest_csv(
+    spark: SparkSession,
+    source: str,
+    columns: list[str],
+    spec: TableSpec,
+    thresholds=None,
+    output: str | None = None,
+    reports: str | None = None,
+    quarantine_root: str | None = None,
+    checkpoint: str | None = None,
+    as_of: dt.datetime | None = None,
+    batch_id: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The CSV ingest as a stream: raw ``*.csv`` files arriving under ``source`` (header line per file).
+
+    Per micro-batch (its size bounded by ``max_files_per_trigger``) in ``foreachBatch``:
+    persist the parsed batch once (which also makes the corrupt column readable on its own); gate on the
+    batch's corrupt share; quarantine corrupt lines; Bronze projection; DQ report; write rows only when
+    no error failed. Every write targets the batch's own ``batch_id`` partition with dynamic overwrite,
+    so a replayed batch replaces its output (exactly-once with the checkpoint). A gated batch leaves a
+    report row ``corrupt_share`` and no data. Returns (Bronze rows, reports, quarantined lines).
+    """
+    from pyspark import StorageLevel
+    from pyspark.sql.types import StringType, StructField
+
+    from sluice.operators.quality import REPORT_DDL, failed_errors, quality_report
+    from sluice.sources.csv import CORRUPT
+    from sluice.specs import Thresholds
+
+    th = thresholds or Thresholds()
+    output = output or staging_path(spark, "stream", spec.name, "rows")
+    reports = reports or staging_path(spark, "stream", spec.name, "reports")
+    quarantine_root = quarantine_root or staging_path(spark, "stream", spec.name, "quarantine")
+    checkpoint = checkpoint or staging_path(spark, "stream", spec.name, "csvckpt")
+    schema = StructType([StructField(c, StringType()) for c in columns] + [StructField(CORRUPT, StringType())])
+    reader = (spark.readStream.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false")
+              .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    raw = reader.csv(source)
+
+    def write_part(df: DataFrame, path: str, epoch: int) -> None:
+        (df.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    def per_batch(batch: DataFrame, epoch: int) -> None:
+        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            st = b.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT).isNotNull()).alias("bad")).first()
+            share = st.bad * 100.0 / st.n if st.n else 0.0
+            gate_ok = st.bad == 0 or share <= th.max_corrupt_percent
+            gate_row = spark.createDataFrame(
+                [(spec.name, "corrupt_share", None, "error", share, float(th.max_corrupt_percent), gate_ok,
+                  "ok" if gate_ok else "corrupt records exceed threshold")], REPORT_DDL)
+            if not gate_ok:
+                write_part(gate_row, reports, epoch)
+                return
+            if st.bad:
+                write_part(b.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line")),
+                           quarantine_root, epoch)
+            clean = b.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+            bronze = bronze_transform(clean, spec, as_of=as_of, batch_id=batch_id)
+            rep = gate_row.unionByName(quality_report(bronze, spec, th)).cache()
+            write_part(rep, reports, epoch)
+            if failed_errors(rep).limit(1).count() == 0:
+                write_part(bronze, output, epoch)
+            rep.unpersist()
+        finally:
+            b.unpersist()
+
+    q = raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+    def read_or_empty(path: str, ddl):
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - nothing written yet
+            return spark.createDataFrame([], ddl)
+
+    rows_schema = StructType(bronze_transform(spark.createDataFrame([], StructType(schema.fields[:-1])), spec,
+                                              as_of=as_of, batch_id=batch_id).schema.fields).add("batch_id", "long")
+    return (read_or_empty(output, rows_schema), read_or_empty(reports, REPORT_DDL + ", batch_id long"),
+            read_or_empty(quarantine_root, "line string, batch_id long"))

@@ -174,3 +174,20 @@ def test_overwrite_a_table_read_by_the_same_plan(spark, tmp_path):
     latest = silver.dedup_latest(spark.read.table("sluice_inplace.t"), ["k"], ["ts"])
     assert write_table(latest, "sluice_inplace.t", mode="overwrite") == 2
     assert rows(spark.read.table("sluice_inplace.t")) == [(1, 2, "b"), (2, 1, "c")]
+
+
+def test_stream_csv_ingest_gates_quarantines_and_loads(spark, tmp_path):
+    from sluice.streaming.bronze_stream import stream_ingest_csv
+
+    src = tmp_path / "drop"
+    src.mkdir()
+    (src / "a.csv").write_text("id,v\n1,x\n2,y\n3\n4,z\n5,w\n6,q\n7,r\n8,s\n9,t\n10,u\n11,v\n12,w\n13,x\n14,y\n15,z\n16,a\n17,b\n18,c\n19,d\n20,e\n21,f\n")
+    (src / "b.csv").write_text("id,v\n30\n31\n32,x\n")  # 2 of 3 lines corrupt: this batch is gated
+    rows_, reps, bad = stream_ingest_csv(spark, str(src), ["id", "v"], TableSpec("T", key=("id",)),
+                                         output=str(tmp_path / "o"), reports=str(tmp_path / "r"),
+                                         quarantine_root=str(tmp_path / "q"), checkpoint=str(tmp_path / "c"),
+                                         as_of=dt.datetime(2024, 1, 1), max_files_per_trigger=1)
+    assert rows_.count() == 20 and set(rows_.columns) >= {"_record_hash", "batch_id"}
+    assert [r.line for r in bad.collect()] == ["3"]
+    gates = {r.batch_id: r.passed for r in reps.filter("check_name = 'corrupt_share'").collect()}
+    assert sorted(gates.values()) == [False, True]
