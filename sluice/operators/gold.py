@@ -12,7 +12,7 @@ from sluice.operators.silver import enrich
 def build_dim(df: DataFrame, key: Sequence[str], cols: Sequence[str],
               lookups: Sequence[tuple[DataFrame, Mapping[str, str], Sequence[str]]] = ()) -> DataFrame:
     """GOLD-1 dimension: one row per natural ``key`` (latest duplicates are the caller's job: ``dedup_latest``),
-    widened by lookups ``(ref, {dim col: ref col}, ref cols)`` applied in order (snowflake -> star)."""
+    widened by lookups ``(ref, {dim col: ref col}, ref cols)`` applied in order (normalised lookups folded into one wide dimension)."""
     out = df.select(*key, *cols)
     for ref, keys, rcols in lookups:
         out = enrich(out, ref, keys, rcols)

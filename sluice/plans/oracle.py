@@ -268,9 +268,9 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT 'SUPPLIER', _ingestion_timestamp FROM sup WHERE _processing_date = DATE '2024-01-15'
         ) GROUP BY table_name""",
     "table_roundtrip": """
-        SELECT n.n_nationkey, n.n_name, r.r_name, (SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey) AS rows_written,
-               true AS table_exists
-        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+        SELECT c.c_custkey, c.c_name, n.n_name,
+               (SELECT count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey) AS rows_written, true AS table_exists
+        FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "query_scan": """
         SELECT n.n_name, count(*) AS customers, CAST(sum(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""",

@@ -201,15 +201,15 @@ def q_freshness(spark, sf):
 
 
 def q_table_roundtrip(spark, sf):
+    c = _t(spark, sf, "customer")
     n = _t(spark, sf, "nation")
-    r = _t(spark, sf, "region")
-    joined = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    joined = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "c_name", "n_name")
     db = "sluice_rt"
     root = staging_path(spark, "warehouse")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}.db'")
-    written = write_table(joined, f"{db}.nation_region", mode="overwrite", path=f"{root}/{db}.db/nation_region")
-    exists = warehouse.table_exists(spark, f"{db}.NATION_REGION")
-    back = warehouse.read_table(spark, f"{db}.nation_region")
+    written = write_table(joined, f"{db}.customer_nation", mode="overwrite", path=f"{root}/{db}.db/customer_nation")
+    exists = warehouse.table_exists(spark, f"{db}.CUSTOMER_NATION")
+    back = warehouse.read_table(spark, f"{db}.customer_nation")
     return back.select("*", F.lit(written).cast("long").alias("rows_written"), F.lit(exists).alias("table_exists"))
 
 
