@@ -119,3 +119,21 @@ def test_validate_turns_a_broken_check_into_an_error_row(spark):
     assert len(r) == 1 and r[0].check_name == "validation_error" and not r[0].passed
     with pytest.raises(quality.QualityGateError, match="validation_error"):
         quality.gate(rep)
+
+
+@pytest.mark.parametrize("case", ["none", "some", "zero_sign", "nulls", "all_same"])
+def test_count_duplicate_rows_is_exact(spark, case):
+    if case == "none":
+        data = [(i, float(i), f"s{i}") for i in range(200)]
+    elif case == "some":
+        data = [(i % 50, float(i % 7), "x") for i in range(200)]
+    elif case == "zero_sign":  # -0.0 and 0.0 group together, so they are copies
+        data = [(1, -0.0, "a"), (1, 0.0, "a"), (2, float("nan"), "b"), (2, float("nan"), "b")]
+    elif case == "nulls":  # (NULL, a) and (a, NULL) must not be taken for copies
+        data = [(None, 1.0, "a"), (1, None, "a"), (None, 1.0, "a")]
+    else:
+        data = [(7, 7.0, "z")] * 50
+    df = spark.createDataFrame(data, "a int, b double, c string")
+    want = df.count() - df.distinct().count()
+    assert quality.count_duplicate_rows(df) == want
+    assert quality.count_duplicate_rows(df, max_broadcast=0) == want
