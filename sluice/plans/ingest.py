@@ -47,7 +47,7 @@ class IngestConfig:
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     parallelism: int = 4  # tables ingested at once (Spark runs jobs from several driver threads concurrently)
     partition_by_date: bool = True  # Bronze tables partitioned by _processing_date, so day checks prune files
-    keep_history: bool = False  # True: a run replaces only its own day (dynamic overwrite); False: full replace
+    keep_history: bool = False  # True: a run replaces only its own day's partition; False: full replace
 
 
 @dataclass
@@ -92,15 +92,18 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
         root = cfg.location or f"{checkpoint_root(spark)}/sluice/warehouse"
         ensure_database(spark, cfg.database, f"{root}/{cfg.database}.db")
         changes = None
-        if spark.catalog.tableExists(f"{cfg.database}.{table_name}"):
+        existed = spark.catalog.tableExists(f"{cfg.database}.{table_name}")
+        if existed:
             old = spark.read.table(f"{cfg.database}.{table_name}").schema
             drift = schema_drift(spark, old, bronze.schema).filter(F.col("change") != "moved").collect()
             if drift:  # bounded by the column count
                 changes = ",".join(f"{r.change}:{r.column_name}" for r in sorted(drift))
                 log.warning("%s: schema drift %s", table_name, changes)
         parts = ("_processing_date",) if cfg.partition_by_date else None
-        opts = {"partitionOverwriteMode": "dynamic"} if (parts and cfg.keep_history) else None
-        n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite", options=opts,
+        if existed and changes and cfg.keep_history:
+            raise ValueError(f"schema changed ({changes}); earlier days cannot be kept in the same table")
+        # with keep_history the run's session overwrites only the written day (see ingest_all)
+        n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite",
                         path=f"{root}/{cfg.database}.db/{table_name.lower()}", partition_by=parts)
         return TableOutcome(table_name, stage, "success", n, None, started, dt.datetime.now(), report, changes)
     except Exception as exc:  # noqa: BLE001 - isolation: one table's failure never stops the others
@@ -124,11 +127,19 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
     def one(row):
         return ingest_table(spark, f"{raw_root.rstrip('/')}/{row.entry}", row.table_name, cfg)
 
-    if cfg.parallelism > 1 and len(tables) > 1:
-        with ThreadPoolExecutor(max_workers=cfg.parallelism, thread_name_prefix="ingest") as pool:
-            outcomes = list(pool.map(one, tables))
-    else:
-        outcomes = [one(r) for r in tables]
+    # Overwrite semantics for the whole run: Spark applies the session's partition-overwrite mode to
+    # catalog writes (a writer option is not enough there), so it is set for the run and restored after.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic" if cfg.keep_history else "static")
+    try:
+        if cfg.parallelism > 1 and len(tables) > 1:
+            with ThreadPoolExecutor(max_workers=cfg.parallelism, thread_name_prefix="ingest") as pool:
+                outcomes = list(pool.map(one, tables))
+        else:
+            outcomes = [one(r) for r in tables]
+    finally:
+        spark.conf.set(key, previous)
     run_log = spark.createDataFrame(
         [(cfg.run_id, cfg.env, "bronze_ingest", o.table_name, o.stage, o.status, o.record_count, o.error,
           o.started_at, o.ended_at, o.schema_changes) for o in outcomes],

@@ -37,7 +37,6 @@ def cluster_conf(total_cores: int, input_bytes: int | None = None, target_partit
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
 
 

@@ -191,3 +191,22 @@ def test_stream_csv_ingest_gates_quarantines_and_loads(spark, tmp_path):
     assert [r.line for r in bad.collect()] == ["3"]
     gates = {r.batch_id: r.passed for r in reps.filter("check_name = 'corrupt_share'").collect()}
     assert sorted(gates.values()) == [False, True]
+
+
+def test_ingest_keeps_earlier_days_when_asked(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "days.csv").write_text("id\n1\n2\n")
+    base = dict(database="sluice_hist", location=str(tmp_path / "wh"))
+    ingest_all(spark, str(raw), IngestConfig(as_of=dt.datetime(2024, 1, 14, 2), keep_history=True, **base))
+    (raw / "days.csv").write_text("id\n3\n")
+    ingest_all(spark, str(raw), IngestConfig(as_of=dt.datetime(2024, 1, 15, 2), keep_history=True, **base))
+    got = {(r._processing_date.day, r.n) for r in
+           spark.read.table("sluice_hist.days").groupBy("_processing_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {(14, 2), (15, 1)}
+    # the same day again replaces only that day
+    ingest_all(spark, str(raw), IngestConfig(as_of=dt.datetime(2024, 1, 15, 3), keep_history=True, **base))
+    assert spark.read.table("sluice_hist.days").count() == 3
+    # full replace (the default) keeps only the latest load
+    ingest_all(spark, str(raw), IngestConfig(as_of=dt.datetime(2024, 1, 16, 2), **base))
+    assert spark.read.table("sluice_hist.days").count() == 1
