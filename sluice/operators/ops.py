@@ -16,24 +16,29 @@ def schema_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
 
 
+def schema_changes(old: StructType, new: StructType) -> list[tuple[str, str, str | None, str | None]]:
+    """(column_name, change, old_type, new_type) for every column added, removed, retyped or moved,
+    ordered by column name. Schemas are metadata bounded by the column count, so this runs on the driver."""
+    a = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(old.fields)}
+    b = {f.name: (i, f.dataType.simpleString()) for i, f in enumerate(new.fields)}
+    out = []
+    for name in sorted(set(a) | set(b)):
+        if name not in a:
+            out.append((name, "added", None, b[name][1]))
+        elif name not in b:
+            out.append((name, "removed", a[name][1], None))
+        elif a[name][1] != b[name][1]:
+            out.append((name, "retyped", a[name][1], b[name][1]))
+        elif a[name][0] != b[name][0]:
+            out.append((name, "moved", a[name][1], b[name][1]))
+    return out
+
+
 def schema_drift(spark: SparkSession, old: StructType, new: StructType) -> DataFrame:
-    """OPS-2: ``column_name, change ('added'|'removed'|'retyped'|'moved'), old_type, new_type`` via a full outer join
-    of the two schemas. Unchanged columns are not listed."""
-    a = schema_frame(spark, old).alias("a")
-    b = schema_frame(spark, new).alias("b")
-    j = a.join(b, F.col("a.column_name") == F.col("b.column_name"), "full_outer")
-    change = (
-        F.when(F.col("a.column_name").isNull(), "added")
-        .when(F.col("b.column_name").isNull(), "removed")
-        .when(F.col("a.data_type") != F.col("b.data_type"), "retyped")
-        .when(F.col("a.position") != F.col("b.position"), "moved")
-    )
-    return j.select(
-        F.coalesce(F.col("a.column_name"), F.col("b.column_name")).alias("column_name"),
-        change.alias("change"),
-        F.col("a.data_type").alias("old_type"),
-        F.col("b.data_type").alias("new_type"),
-    ).filter(F.col("change").isNotNull())
+    """OPS-2: ``column_name, change ('added'|'removed'|'retyped'|'moved'), old_type, new_type`` between two
+    schemas. Unchanged columns are not listed."""
+    return spark.createDataFrame(schema_changes(old, new),
+                                 "column_name string, change string, old_type string, new_type string")
 
 
 def count_trend(df: DataFrame, group_col: str, day_col: str) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.operators.bronze import batch_id_for, bronze_transform
-from sluice.operators.ops import schema_drift
+from sluice.operators.ops import schema_changes
 from sluice.operators.quality import REPORT_DDL, gate, validate
 from sluice.session import checkpoint_root
 from sluice.sinks.tables import write_table
@@ -95,9 +95,9 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
         existed = spark.catalog.tableExists(f"{cfg.database}.{table_name}")
         if existed:
             old = spark.read.table(f"{cfg.database}.{table_name}").schema
-            drift = schema_drift(spark, old, bronze.schema).filter(F.col("change") != "moved").collect()
-            if drift:  # bounded by the column count
-                changes = ",".join(f"{r.change}:{r.column_name}" for r in sorted(drift))
+            drift = [c for c in schema_changes(old, bronze.schema) if c[1] != "moved"]
+            if drift:  # metadata, bounded by the column count
+                changes = ",".join(f"{change}:{name}" for name, change, _, _ in drift)
                 log.warning("%s: schema drift %s", table_name, changes)
         parts = ("_processing_date",) if cfg.partition_by_date else None
         if existed and changes and cfg.keep_history:

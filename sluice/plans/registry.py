@@ -227,6 +227,11 @@ def q_query_scan(spark, sf):
 _ingest_cache: dict = {}
 
 
+def clear_caches() -> None:
+    """Forget cached ingest runs (the queries sharing one ingest recompute it next time)."""
+    _ingest_cache.clear()
+
+
 def _ingest(spark, sf):
     key = (session_key(spark), sf)
     if key not in _ingest_cache:
