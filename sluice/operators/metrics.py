@@ -8,7 +8,7 @@ so a hot job or window is combined map-side before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluice.functions.timecols import add_seconds, grid_ceil, percent
 
@@ -112,22 +112,68 @@ def records_per_second(runs: DataFrame, window: str = "5 minutes", ts: str = "st
     )
 
 
+def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, alias: str = "quantile",
+                   partitions: int | None = None, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Exact ``q`` quantile of ``value`` per ``by`` group with linear interpolation (SQL ``quantile_cont``),
+    without ever holding a whole group in one task.
+
+    1. rows -> (group, value, count) with map-side partial aggregation;
+    2. range-partition those by (group, value): a hot group is split over many partitions, in value order;
+    3. running counts inside each (partition, group) window: at most one partition's rows;
+    4. per (group, partition) totals (a small frame) -> each partition's offset within its group;
+    5. keep the at most two rows per group that cover ranks floor(q(n-1)) and ceil(q(n-1)), interpolate.
+    NULL values are ignored; groups with no value are absent.
+    """
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = F.col(value)
+    vc = df.filter(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranged = vc.repartitionByRange(n_parts, *[F.col(c) for c in by], v).withColumn("_pid", F.spark_partition_id())
+    local = ranged.withColumn(
+        "_cum", F.sum("_c").over(Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)))
+    parts = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
+    wg = Window.partitionBy(*by)
+    offsets = parts.select(
+        *by, "_pid",
+        (F.sum("_pc").over(wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_pc")).alias("_off"),
+        F.sum("_pc").over(wg).alias("_n"),
+    )
+    from sluice.operators.silver import row_count_at_most  # bounded count proves the broadcast
+
+    if row_count_at_most(offsets, max_broadcast_rows):
+        offsets = F.broadcast(offsets)
+    rows = local.join(offsets, [*by, "_pid"])
+    pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
+    lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
+    end = F.col("_off") + F.col("_cum")  # exclusive end rank of this value's run
+    start = end - F.col("_c")
+    covers_lo = (start <= lo_rank) & (lo_rank < end)
+    covers_hi = (start <= hi_rank) & (hi_rank < end)
+    picked = rows.filter(covers_lo | covers_hi).select(
+        *by, "_n", pos.alias("_pos"), F.when(covers_lo, v).alias("_lo"), F.when(covers_hi, v).alias("_hi"))
+    agg = picked.groupBy(*by).agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_pos").alias("_pos"))
+    frac = F.col("_pos") - F.floor(F.col("_pos"))
+    lo, hi = F.col("_lo").cast("double"), F.col("_hi").cast("double")
+    return agg.select(*by, (lo + (hi - lo) * frac).alias(alias))
+
+
 def duration_quantile(runs: DataFrame, q: float = 0.95, window: str = "1 day", ts: str = "started_at",
                       value: str = "duration_s", by: str = "job", exact: bool = False,
                       accuracy: int = 10000) -> DataFrame:
     """MET-4: the ``q`` quantile of run durations per window and ``by``.
 
     Default is ``percentile_approx``: a mergeable sketch of bounded size, so partial aggregation keeps a hot
-    group cheap. ``exact=True`` uses ``percentile`` (linear interpolation, equal to SQL ``quantile_cont``);
-    its buffer holds one entry per *distinct* value of the group, so use it where values are coarse.
+    group cheap. ``exact=True`` uses ``exact_quantile`` (linear interpolation, SQL ``quantile_cont``), which
+    range-partitions values so no task ever holds a whole group.
     """
-    agg = (F.percentile(F.col(value), F.lit(q)) if exact
-           else F.percentile_approx(F.col(value), F.lit(q), F.lit(accuracy)).cast("double"))
-    return (
-        runs.groupBy(_win(runs, window, ts).alias("w"), F.col(by))
-        .agg(F.count(F.lit(1)).cast("long").alias("runs"), agg.alias(f"p{int(round(q * 100))}"))
-        .select(F.col("w.start").alias("window_start"), F.col(by), "runs", f"p{int(round(q * 100))}")
-    )
+    name = f"p{int(round(q * 100))}"
+    keyed = runs.select(_win(runs, window, ts).start.alias("window_start"), F.col(by), F.col(value))
+    counts = keyed.groupBy("window_start", by).agg(F.count(F.lit(1)).cast("long").alias("runs"))
+    if exact:
+        qs = exact_quantile(keyed, ["window_start", by], value, q, alias=name)
+        return counts.join(qs, ["window_start", by], "left").select("window_start", by, "runs", name)
+    approx = F.percentile_approx(F.col(value), F.lit(q), F.lit(accuracy)).cast("double")
+    return keyed.groupBy("window_start", by).agg(F.count(F.lit(1)).cast("long").alias("runs"), approx.alias(name))
 
 
 def failure_rate(runs: DataFrame, window: str = "1 hour", ts: str = "started_at", by: str = "dag_id") -> DataFrame:

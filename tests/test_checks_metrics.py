@@ -93,3 +93,19 @@ def test_runs_from_events(spark):
     r = metrics.runs_from_events(ev)
     assert r.count() == ev.count()
     assert r.filter("status = 'failed'").count() == ev.filter("event_type = 'error'").count()
+
+
+def test_exact_quantile_matches_numpy_with_a_hot_group(spark):
+    rng = np.random.default_rng(7)
+    hot = rng.integers(0, 10_000, 3000) / 100.0        # one group with a third of the rows, many distinct values
+    rest = [(f"g{i % 40}", float(x)) for i, x in enumerate(rng.normal(50, 20, 6000).round(2))]
+    data = [("hot", float(x)) for x in hot] + rest + [("one", 5.0), ("nulls", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    for q in (0.0, 0.5, 0.95, 1.0):
+        got = {r.g: r.quantile for r in metrics.exact_quantile(df, ["g"], "v", q, partitions=16).collect()}
+        for g in {d[0] for d in data} - {"nulls"}:
+            vals = np.array([d[1] for d in data if d[0] == g and d[1] is not None])
+            assert abs(got[g] - np.quantile(vals, q)) < 1e-9, (g, q)
+        assert "nulls" not in got
+    small = metrics.exact_quantile(df, ["g"], "v", 0.95, partitions=16, max_broadcast_rows=0)
+    assert small.count() == len({d[0] for d in data}) - 1

@@ -15,5 +15,6 @@ def test_hot_key_is_spread_over_tasks(tmp_path):
     res = skew_check.run("/root/testdata/sf0.1", str(tmp_path / "events"))
     assert res["hot_key_share_of_rows"] > 0.3
     shares = res["largest_task_share_of_shuffled_records"]
-    assert set(shares) == {"dq_report", "key_uniqueness", "duplicate_profile", "dedup_latest", "enrich_shuffle_join"}
+    assert set(shares) == {"dq_report", "key_uniqueness", "duplicate_profile", "dedup_latest", "exact_quantile",
+                           "enrich_shuffle_join"}
     assert all(v < 0.15 for v in shares.values()), shares

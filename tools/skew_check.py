@@ -59,7 +59,7 @@ def run(sf: str, log_dir: str) -> dict:
     """Run the operators on the hot-key table in a fresh session; stops any active session first."""
     from pyspark.sql import SparkSession, functions as F
 
-    from sluice.operators import quality, silver
+    from sluice.operators import metrics, quality, silver
     from sluice.session import local_session
     from sluice.specs import TableSpec
 
@@ -89,6 +89,7 @@ def run(sf: str, log_dir: str) -> dict:
         "key_uniqueness": lambda: quality.key_uniqueness(hot, ["l_orderkey"]).collect(),
         "duplicate_profile": lambda: quality.duplicate_profile(hot).collect(),
         "dedup_latest": lambda: silver.dedup_latest(hot, ["l_orderkey"], ["l_shipdate", "l_linenumber"]).write.format("noop").mode("overwrite").save(),
+        "exact_quantile": lambda: metrics.exact_quantile(hot, ["l_orderkey"], "l_extendedprice", 0.95).collect(),
         "enrich_shuffle_join": lambda: silver.enrich(hot, orders, {"l_orderkey": "o_orderkey"}, ["o_orderdate"],
                                                      max_broadcast_rows=0).write.format("noop").mode("overwrite").save(),
     }
