@@ -165,3 +165,43 @@ def ingest_summary(run_log: DataFrame) -> DataFrame:
 def exit_code(run_log: DataFrame) -> int:
     """Non-zero when any table failed at any stage."""
     return 1 if run_log.filter(F.col("status") != "success").limit(1).count() else 0
+
+
+@dataclass
+class DailyRun:
+    """Everything one scheduled run produces, as DataFrames."""
+
+    required: DataFrame
+    run_log: DataFrame
+    reports: DataFrame
+    record_counts: DataFrame
+    freshness: DataFrame
+
+
+def daily_run(spark: SparkSession, raw_root: str, required: list[str] | tuple[str, ...] | None = None,
+              cfg: IngestConfig | None = None, checked: list[str] | None = None) -> DailyRun:
+    """The scheduled flow as one driver function: required files present (raises listing the missing
+    ones) -> a ``SELECT current_timestamp()`` ping of the catalog -> ingest every table -> record counts
+    and freshness for the run's day over the loaded tables (``checked`` limits which; default all loaded).
+    """
+    from sluice.operators.checks import freshness, record_counts
+    from sluice.sources.files import assert_required_files, required_files
+    from sluice.sources.warehouse import execute_query, read_table
+    from sluice.specs import REQUIRED_RAW_FILES
+
+    cfg = cfg or IngestConfig()
+    inv = file_inventory(spark, raw_root)
+    req = required_files(spark, inv, list(REQUIRED_RAW_FILES if required is None else required))
+    assert_required_files(req)
+    execute_query(spark, "SELECT current_timestamp() AS now").collect()  # the connection ping
+    run_log, reports = ingest_all(spark, raw_root, cfg)
+    loaded = [r.table_name for r in run_log.filter(F.col("status") == "success").select("table_name").collect()]
+    names = [t for t in loaded if checked is None or t in checked]
+    day = (cfg.as_of or dt.datetime.now()).date()
+    tables = {t: read_table(spark, f"{cfg.database}.{t}") for t in names}
+    if tables:
+        counts, fresh = record_counts(tables, day), freshness(tables, day)
+    else:
+        counts = spark.createDataFrame([], "table_name string, record_count long, check_time timestamp, passed boolean")
+        fresh = spark.createDataFrame([], "table_name string, latest_ingestion timestamp, records_today long")
+    return DailyRun(req, run_log, reports, counts, fresh)

@@ -210,3 +210,24 @@ def test_ingest_keeps_earlier_days_when_asked(spark, tmp_path):
     # full replace (the default) keeps only the latest load
     ingest_all(spark, str(raw), IngestConfig(as_of=dt.datetime(2024, 1, 16, 2), **base))
     assert spark.read.table("sluice_hist.days").count() == 1
+
+
+def test_daily_run_end_to_end(spark, tmp_path):
+    from sluice.plans.ingest import daily_run
+    from sluice.sources.files import MissingFilesError
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "olist_customers_dataset.csv").write_text(
+        "customer_id,customer_city,customer_state,customer_zip_code_prefix\nc1,x,SP,01000\nc2,y,RJ,02000\n")
+    (raw / "olist_orders_dataset.csv").write_text("order_id,customer_id,order_status\no1,c1,delivered\n")
+    cfg = IngestConfig(as_of=dt.datetime(2024, 1, 15, 2), database="sluice_daily", location=str(tmp_path / "wh"))
+    with pytest.raises(MissingFilesError, match="olist_products_dataset.csv"):
+        daily_run(spark, str(raw), cfg=cfg)
+    run = daily_run(spark, str(raw), ["olist_customers_dataset.csv", "olist_orders_dataset.csv"], cfg)
+    assert rows(run.run_log.select("table_name", "status")) == [
+        ("OLIST_CUSTOMERS_DATASET", "success"), ("OLIST_ORDERS_DATASET", "success")]
+    assert {(r.table_name, r.record_count, r.passed) for r in run.record_counts.collect()} == {
+        ("OLIST_CUSTOMERS_DATASET", 2, True), ("OLIST_ORDERS_DATASET", 1, True)}
+    assert {r.table_name: r.records_today for r in run.freshness.collect()} == {
+        "OLIST_CUSTOMERS_DATASET": 2, "OLIST_ORDERS_DATASET": 1}
