@@ -46,26 +46,6 @@ REPORT_DDL = (
 _WEIGHT = "__sluice_n"
 
 
-def _row(table: str, check: str, column, severity: str, metric, threshold, passed, message) -> Column:
-    def lit(v, t):
-        return v if isinstance(v, Column) else F.lit(v).cast(t)
-
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        lit(column, "string").alias("column_name"),
-        F.lit(severity).alias("severity"),
-        lit(metric, "double").cast("double").alias("metric"),
-        lit(threshold, "double").cast("double").alias("threshold"),
-        lit(passed, "boolean").alias("passed"),
-        lit(message, "string").alias("message"),
-    )
-
-
-def _msg(passed: Column, failed_text: str) -> Column:
-    return F.when(passed, F.lit("ok")).otherwise(F.lit(failed_text))
-
-
 def _positional(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """Rename clashing column names positionally so the data checks can still address every column."""
     counts = Counter(df.columns)
@@ -146,38 +126,47 @@ def quality_report_plan(
         aggs.append(wsum(F.col(c) < 0).alias(f"g{i}"))
     scalars = base.agg(*aggs)
 
-    rows = F.coalesce(F.col("rows"), F.lit(0))
-    structs = [_row(t, "record_count", None, "error", rows, 0.0, rows > 0, _msg(rows > 0, "table is empty"))]
+    # The long rows come from one SQL ``stack`` expression: a single parse, however many checks there are.
+    def lit(v) -> str:
+        return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    def row(check, column, severity, metric: str, threshold, passed: str, failed_text) -> str:
+        msg = "'ok'" if failed_text is None else f"CASE WHEN {passed} THEN 'ok' ELSE {lit(failed_text)} END"
+        thr = "CAST(NULL AS DOUBLE)" if threshold is None else f"CAST({float(threshold)!r} AS DOUBLE)"
+        return ", ".join([lit(t), lit(check), lit(column), lit(severity), f"CAST({metric} AS DOUBLE)", thr,
+                          f"CAST({passed} AS BOOLEAN)", msg])
+
+    def stack(rows_sql: list[str]) -> str:
+        return (f"stack({len(rows_sql)}, {', '.join(rows_sql)}) "
+                "AS (table_name, check_name, column_name, severity, metric, threshold, passed, message)")
+
+    def pct(n: str) -> str:
+        return f"CASE WHEN CAST(rows AS DOUBLE) = 0 THEN 0.0D ELSE CAST({n} AS DOUBLE) * 100.0D / CAST(rows AS DOUBLE) END"
+
+    sql_rows = [row(r[1], r[2], r[3], repr(float(r[4])), r[5], "true" if r[6] else "false", None if r[6] else r[7])
+                for r in schema_rows]
+    sql_rows.append(row("record_count", None, "error", "rows", 0.0, "rows > 0", "table is empty"))
     if dup and cols:
-        dcount = rows - F.col("distinct_rows")
-        structs.append(_row(t, "distinct_rows", None, "metric", F.col("distinct_rows"), None, True, "ok"))
-        structs.append(_row(t, "duplicate_rows", None, "warning", dcount, 0.0, dcount == 0,
-                            _msg(dcount == 0, "duplicate rows found")))
+        sql_rows.append(row("distinct_rows", None, "metric", "distinct_rows", None, "true", None))
+        sql_rows.append(row("duplicate_rows", None, "warning", "rows - distinct_rows", 0.0,
+                            "rows - distinct_rows = 0", "duplicate rows found"))
+    th = float(thresholds.null_percent)
     for i, c in enumerate(profile_cols):
-        n = F.col(f"n{i}")
-        pct = percent(n, rows)
-        ok = pct <= F.lit(float(thresholds.null_percent))
-        structs.append(_row(t, "null_count", c, "metric", n, None, True, "ok"))
-        structs.append(_row(t, "null_percent", c, "warning", pct, float(thresholds.null_percent), ok,
-                            _msg(ok, "NULL share above threshold")))
+        sql_rows.append(row("null_count", c, "metric", f"n{i}", None, "true", None))
+        sql_rows.append(row("null_percent", c, "warning", pct(f"n{i}"), th, f"({pct(f'n{i}')}) <= {th!r}D",
+                            "NULL share above threshold"))
     for i, c in enumerate(allowed):
-        n = F.col(f"a{i}")
-        structs.append(_row(t, "allowed_values", c, "warning", n, 0.0, n == 0,
-                            _msg(n == 0, "values outside the allowed set")))
+        sql_rows.append(row("allowed_values", c, "warning", f"a{i}", 0.0, f"a{i} = 0", "values outside the allowed set"))
     for i, c in enumerate(nonneg):
-        n = F.col(f"g{i}")
-        structs.append(_row(t, "non_negative", c, "warning", n, 0.0, n == 0, _msg(n == 0, "negative values found")))
-    literal = [_row(*r) for r in schema_rows]
-    parts = [scalars.select(F.inline(F.array(*literal, *structs)))]
+        sql_rows.append(row("non_negative", c, "warning", f"g{i}", 0.0, f"g{i} = 0", "negative values found"))
+    parts = [scalars.select(F.coalesce(F.col("rows"), F.lit(0)).alias("rows"),
+                            *[F.col(x) for x in scalars.columns if x != "rows"]).selectExpr(stack(sql_rows))]
 
     if key_ok:
         per_key = base.groupBy(*key).agg(F.sum(w).alias("kn"))
-        extra = F.coalesce(F.sum(F.col("kn") - 1), F.lit(0))
-        kcheck = per_key.agg(extra.alias("extra"))
-        ok = F.col("extra") == 0
-        parts.append(kcheck.select(F.inline(F.array(
-            _row(t, "key_unique", ",".join(key), "error", F.col("extra"), 0.0, ok, _msg(ok, "key is not unique"))
-        ))))
+        kcheck = per_key.agg(F.coalesce(F.sum(F.col("kn") - 1), F.lit(0)).alias("extra"))
+        parts.append(kcheck.selectExpr(stack([row("key_unique", ",".join(key), "error", "extra", 0.0, "extra = 0",
+                                                  "key is not unique")])))
 
     out = parts[0]
     for p in parts[1:]:
