@@ -25,7 +25,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.timecols import percent
 from sluice.specs import TableSpec, Thresholds
 
 REPORT_COLUMNS = (
@@ -127,8 +126,7 @@ def quality_report_plan(
     scalars = base.agg(*aggs)
 
     # The long rows come from one SQL ``stack`` expression: a single parse, however many checks there are.
-    def lit(v) -> str:
-        return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    lit = _sql_lit
 
     def row(check, column, severity, metric: str, threshold, passed: str, failed_text) -> str:
         msg = "'ok'" if failed_text is None else f"CASE WHEN {passed} THEN 'ok' ELSE {lit(failed_text)} END"
@@ -356,22 +354,22 @@ def gate(report: DataFrame, enabled: bool = True) -> list[str]:
 # --- standalone profiles -----------------------------------------------------------------------------------
 
 
+def _sql_lit(v) -> str:
+    return "CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """AGG-2: NULL count and percent per column in one pass (metadata ``_`` columns skipped by default)."""
+    """AGG-2: NULL count and percent per column in one pass (metadata ``_`` columns skipped by default);
+    the long rows come from one SQL ``stack`` expression, cheap to plan on wide tables."""
     cols = list(cols) if cols is not None else [c for c in df.columns if not c.startswith("_")]
     aggs = [F.count(F.lit(1)).alias("rows")] + [F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]
     one = df.agg(*aggs)
-    nulls = [(F.col("rows") - F.col(f"n{i}")) for i in range(len(cols))]
-    structs = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            nulls[i].cast("long").alias("null_count"),
-            percent(nulls[i], F.col("rows")).alias("null_percent"),
-            F.col("rows").cast("long").alias("row_count"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return one.select(F.inline(F.array(*structs)))
+    rows_sql = []
+    for i, c in enumerate(cols):
+        n = f"(rows - n{i})"
+        pct = f"CASE WHEN CAST(rows AS DOUBLE) = 0 THEN 0.0D ELSE CAST({n} AS DOUBLE) * 100.0D / CAST(rows AS DOUBLE) END"
+        rows_sql.append(f"{_sql_lit(c)}, CAST({n} AS BIGINT), {pct}, CAST(rows AS BIGINT)")
+    return one.selectExpr(f"stack({len(cols)}, {', '.join(rows_sql)}) AS (column_name, null_count, null_percent, row_count)")
 
 
 def duplicate_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -422,7 +420,5 @@ def negative_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """FLT-5 + AGG-6: negative-value count per column in one pass (NULL not counted)."""
     cols = list(cols)
     one = df.agg(*[F.count_if(F.col(c) < 0).alias(f"g{i}") for i, c in enumerate(cols)])
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"g{i}").cast("long").alias("negative_count"))
-        for i, c in enumerate(cols)
-    ])))
+    rows_sql = [f"{_sql_lit(c)}, CAST(g{i} AS BIGINT)" for i, c in enumerate(cols)]
+    return one.selectExpr(f"stack({len(cols)}, {', '.join(rows_sql)}) AS (column_name, negative_count)")
