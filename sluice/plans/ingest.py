@@ -45,7 +45,7 @@ class IngestConfig:
     enable_validation: bool = True
     registry: Mapping[str, TableSpec] = field(default_factory=lambda: dict(REGISTRY))
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
-    parallelism: int = 4  # tables ingested at once (Spark runs jobs from several driver threads concurrently)
+    parallelism: int = 8  # tables ingested at once (Spark runs jobs from several driver threads concurrently)
     partition_by_date: bool = True  # Bronze tables partitioned by _processing_date, so day checks prune files
     keep_history: bool = False  # True: a run replaces only its own day's partition; False: full replace
 
