@@ -71,3 +71,31 @@ def test_reference_table_specs_type_their_columns(spark):
     pay = spark.createDataFrame([("12.345", "3"), ("123456789.01", "x")], "payment_value string, payment_installments string")
     got = rows(bronze_transform(pay, PAYMENTS, as_of=dt.datetime(2024, 1, 1)).select("payment_value", "payment_installments"))
     assert got == [(Decimal("12.35"), 3), (None, None)]
+
+
+def test_orders_fixture_without_the_time_columns_loads(spark):
+    """The upstream orders fixture has only four of the eight columns the orders typing names."""
+    from sluice.operators.quality import quality_report
+
+    df = spark.createDataFrame(
+        [("order_001", "cust_001", "delivered", "2023-01-01 10:00:00"),
+         ("order_002", "cust_002", "shipped", "2023-01-02 11:00:00"),
+         ("order_003", "cust_003", "processing", "2023-01-03 12:00:00")],
+        "order_id string, customer_id string, order_status string, order_purchase_timestamp string")
+    out = bronze_transform(df, ORDERS, as_of=dt.datetime(2024, 1, 1))
+    assert out.columns[:4] == df.columns
+    assert out.first().order_purchase_timestamp.replace(tzinfo=None) == dt.datetime(2023, 1, 1, 10)
+    failed = [r for r in quality_report(out, ORDERS).collect() if not r.passed]
+    assert failed == []
+
+
+def test_rows_differing_only_in_raw_case_are_not_duplicates(spark):
+    from sluice.operators.quality import quality_report
+
+    df = spark.createDataFrame([("c1", "sp", "x"), ("c1", "SP", "x"), ("c1", "SP", "x")],
+                               "customer_id string, customer_state string, customer_city string")
+    out = bronze_transform(df, CUSTOMERS, as_of=dt.datetime(2024, 1, 1))
+    assert {r.customer_state for r in out.collect()} == {"SP"}
+    m = {(r.check_name, r.column_name): r.metric for r in quality_report(out, CUSTOMERS).collect()}
+    assert m[("duplicate_rows", None)] == 1.0  # only the two raw-identical rows; 'sp' differs by fingerprint
+    assert m[("key_unique", "customer_id")] == 2.0
