@@ -204,21 +204,37 @@ def count_duplicate_rows(data: DataFrame, cols: list[str] | None = None,
     broadcast filter when the repeated hashes are few (counted in pass 1), by a shuffle join if not.
     """
     cols = list(cols) if cols is not None else data.columns
+    plan = _hash_repeats(data, cols)
+    if plan is None:  # fall back to grouping full rows
+        return _full_row_copies(data, cols)
+    hashed, rep = plan
+    groups = rep.agg(F.count(F.lit(1)).alias("groups")).first()["groups"]
+    return _verify_copies(hashed, rep, cols, groups, max_broadcast)
+
+
+def _full_row_copies(data: DataFrame, cols: list[str]) -> int:
+    g = data.groupBy(*cols).agg(F.count(F.lit(1)).alias(_WEIGHT))
+    return int(g.agg(F.coalesce(F.sum(F.col(_WEIGHT) - 1), F.lit(0)).alias("d")).first()["d"])
+
+
+def _hash_repeats(data: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame] | None:
+    """(rows with their 96-bit hash, hashes that repeat) as lazy frames; None when rows cannot be hashed."""
     hcols = _hashable(data, cols)
-    if hcols is None:  # fall back to grouping full rows
-        g = data.groupBy(*cols).agg(F.count(F.lit(1)).alias(_WEIGHT))
-        return int(g.agg(F.coalesce(F.sum(F.col(_WEIGHT) - 1), F.lit(0)).alias("d")).first()["d"])
+    if hcols is None:
+        return None
     hashed = data.select(*cols, F.xxhash64(*hcols).alias("__h1"), F.hash(*hcols).alias("__h2"))
     rep = hashed.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("hn")).filter(F.col("hn") > 1)
-    st = rep.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("hn"), F.lit(0)).alias("rows")).first()
-    if st["groups"] == 0:
+    return hashed, rep
+
+
+def _verify_copies(hashed: DataFrame, rep: DataFrame, cols: list[str], groups: int, max_broadcast: int) -> int:
+    """Exact copies among the rows whose hash repeats (``groups`` repeated hashes, counted already)."""
+    if groups == 0:
         return 0
     hashes = rep.select("__h1", "__h2")
-    if st["groups"] <= max_broadcast:
+    if groups <= max_broadcast:
         hashes = F.broadcast(hashes)
-    cand = hashed.join(hashes, ["__h1", "__h2"], "left_semi")
-    g = cand.groupBy(*cols).agg(F.count(F.lit(1)).alias(_WEIGHT))
-    return int(g.agg(F.coalesce(F.sum(F.col(_WEIGHT) - 1), F.lit(0)).alias("d")).first()["d"])
+    return _full_row_copies(hashed.join(hashes, ["__h1", "__h2"], "left_semi"), cols)
 
 
 def _pct(n: int, rows: int) -> float:
@@ -271,6 +287,10 @@ def quality_report(
         kst = per_key.agg(F.coalesce(F.sum(F.col("kn") - 1), F.lit(0)).cast("long").alias("extra"),
                           F.count_if(F.col("kn") > 1).cast("long").alias("repeated"))
         scal = scal.unionByName(kst.select(F.lit("k").alias("part"), F.array("extra", "repeated").alias("v")))
+    hplan = _hash_repeats(data, cols) if (dup and not key_ok) else None
+    if hplan is not None:  # no key to settle it: the hash pass always runs, so it joins job 1
+        hst = hplan[1].agg(F.count(F.lit(1)).cast("long").alias("groups"))
+        scal = scal.unionByName(hst.select(F.lit("h").alias("part"), F.array("groups").alias("v")))
     got = {r.part: r.v for r in scal.collect()}
     one = dict(zip(labels, got["s"]))
     rows = int(one["rows"] or 0)
@@ -279,6 +299,8 @@ def quality_report(
     if dup:
         if key_ok and extra == 0:
             dup_rows = 0  # a unique key: no two rows can be equal
+        elif hplan is not None:
+            dup_rows = _verify_copies(hplan[0], hplan[1], cols, int(got["h"][0]), max_broadcast_keys)
         else:
             cand = data
             covered = (extra or 0) + repeated  # rows whose key repeats
