@@ -121,6 +121,8 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
     cfg = cfg or IngestConfig()
     tables = (file_inventory(spark, raw_root).select("entry", "table_name").distinct()
               .orderBy("entry").collect())
+    if not tables:
+        log.warning("no *.csv tables under %s: nothing to ingest", raw_root)
     root = cfg.location or f"{checkpoint_root(spark)}/sluice/warehouse"
     ensure_database(spark, cfg.database, f"{root}/{cfg.database}.db")
 

@@ -231,3 +231,12 @@ def test_daily_run_end_to_end(spark, tmp_path):
         ("OLIST_CUSTOMERS_DATASET", 2, True), ("OLIST_ORDERS_DATASET", 1, True)}
     assert {r.table_name: r.records_today for r in run.freshness.collect()} == {
         "OLIST_CUSTOMERS_DATASET": 2, "OLIST_ORDERS_DATASET": 1}
+
+
+def test_ingest_of_an_empty_drop_is_a_no_op(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "notes.txt").write_text("not a table")
+    log, reports = ingest_all(spark, str(raw), IngestConfig(database="sluice_empty", location=str(tmp_path / "wh")))
+    assert log.count() == 0 and reports.count() == 0
+    assert exit_code(log) == 0
