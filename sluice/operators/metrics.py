@@ -142,7 +142,10 @@ def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, alias: st
 
     if row_count_at_most(offsets, max_broadcast_rows):
         offsets = F.broadcast(offsets)
-    rows = local.join(offsets, [*by, "_pid"])
+    # (joined null-safely below: a NULL group key is a group of its own, as in GROUP BY)
+    o = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in by], F.col("_pid").alias("_o_pid"), "_off", "_n")
+    cond = [local[c].eqNullSafe(o[f"_o_{c}"]) for c in by] + [local["_pid"] == o["_o_pid"]]
+    rows = local.join(o, cond).drop(*[f"_o_{c}" for c in by], "_o_pid")  # NULL is a group too
     pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
     lo_rank, hi_rank = F.floor(pos), F.ceil(pos)
     end = F.col("_off") + F.col("_cum")  # exclusive end rank of this value's run
@@ -171,7 +174,9 @@ def duration_quantile(runs: DataFrame, q: float = 0.95, window: str = "1 day", t
     counts = keyed.groupBy("window_start", by).agg(F.count(F.lit(1)).cast("long").alias("runs"))
     if exact:
         qs = exact_quantile(keyed, ["window_start", by], value, q, alias=name)
-        return counts.join(qs, ["window_start", by], "left").select("window_start", by, "runs", name)
+        qs = qs.select(F.col("window_start").alias("_qw"), F.col(by).alias("_qb"), name)
+        cond = [counts["window_start"].eqNullSafe(qs["_qw"]), counts[by].eqNullSafe(qs["_qb"])]  # NULL job too
+        return counts.join(qs, cond, "left").select("window_start", by, "runs", name)
     approx = F.percentile_approx(F.col(value), F.lit(q), F.lit(accuracy)).cast("double")
     return keyed.groupBy("window_start", by).agg(F.count(F.lit(1)).cast("long").alias("runs"), approx.alias(name))
 

@@ -99,7 +99,7 @@ def test_exact_quantile_matches_numpy_with_a_hot_group(spark):
     rng = np.random.default_rng(7)
     hot = rng.integers(0, 10_000, 3000) / 100.0        # one group with a third of the rows, many distinct values
     rest = [(f"g{i % 40}", float(x)) for i, x in enumerate(rng.normal(50, 20, 6000).round(2))]
-    data = [("hot", float(x)) for x in hot] + rest + [("one", 5.0), ("nulls", None)]
+    data = [("hot", float(x)) for x in hot] + rest + [("one", 5.0), ("nulls", None), (None, 1.0), (None, 3.0)]
     df = spark.createDataFrame(data, "g string, v double")
     for q in (0.0, 0.5, 0.95, 1.0):
         got = {r.g: r.quantile for r in metrics.exact_quantile(df, ["g"], "v", q, partitions=16).collect()}
@@ -109,3 +109,9 @@ def test_exact_quantile_matches_numpy_with_a_hot_group(spark):
         assert "nulls" not in got
     small = metrics.exact_quantile(df, ["g"], "v", 0.95, partitions=16, max_broadcast_rows=0)
     assert small.count() == len({d[0] for d in data}) - 1
+
+
+def test_exact_duration_quantile_keeps_a_null_job(spark):
+    r = _runs(spark, [("a", 1, "success", 0, 10.0), ("a", 1, "success", 1, 20.0), (None, 1, "success", 2, 7.0)])
+    got = {row.job: (row.runs, row.p50) for row in metrics.duration_quantile(r, 0.5, "1 day", exact=True).collect()}
+    assert got == {"a": (2, 15.0), None: (1, 7.0)}
