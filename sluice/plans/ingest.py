@@ -48,6 +48,7 @@ class IngestConfig:
     parallelism: int = 8  # tables ingested at once (Spark runs jobs from several driver threads concurrently)
     partition_by_date: bool = True  # Bronze tables partitioned by _processing_date, so day checks prune files
     keep_history: bool = False  # True: a run replaces only its own day's partition; False: full replace
+    key_buckets: int | None = None  # bucket Bronze tables on their spec key: later key joins need no shuffle
 
 
 @dataclass
@@ -103,8 +104,9 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
         if existed and changes and cfg.keep_history:
             raise ValueError(f"schema changed ({changes}); earlier days cannot be kept in the same table")
         # with keep_history the run's session overwrites only the written day (see ingest_all)
+        buckets = (cfg.key_buckets, list(spec.key)) if (cfg.key_buckets and spec.key) else None
         n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite",
-                        path=f"{root}/{cfg.database}.db/{table_name.lower()}", partition_by=parts)
+                        path=f"{root}/{cfg.database}.db/{table_name.lower()}", partition_by=parts, bucket_by=buckets)
         return TableOutcome(table_name, stage, "success", n, None, started, dt.datetime.now(), report, changes)
     except Exception as exc:  # noqa: BLE001 - isolation: one table's failure never stops the others
         log.warning("failed to ingest %s at %s: %s", table_name, stage, exc)

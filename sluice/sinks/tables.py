@@ -35,6 +35,7 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     pre_sql=None,
     post_sql=None,
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> int:
     """SNK-1/2/5: write ``df`` and return the number of rows written (observed during the write).
 
@@ -43,6 +44,8 @@ def write_table(
       it saves files there.
     * ``pre_sql`` / ``post_sql`` run through ``spark.sql`` before and after; connectors that run their own
       actions get them as ``preactions`` / ``postactions`` options instead.
+    * ``bucket_by=(n, cols)`` (catalog tables) hash-buckets and sorts the rows on ``cols``: tables bucketed
+      the same way on their join key join later without a shuffle on either side.
     """
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; expected one of {MODES}")
@@ -55,6 +58,11 @@ def write_table(
     writer = observed.write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        if fmt is not None:
+            raise ValueError("bucketing needs a catalog table (fmt=None)")
+        n, cols = bucket_by
+        writer = writer.bucketBy(n, *cols).sortBy(*cols)
     if fmt is None:
         _run_sql(spark, pre_sql)
         if path is None and mode == "overwrite" and spark.catalog.tableExists(table):

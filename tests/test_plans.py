@@ -60,3 +60,22 @@ def test_key_statistics_read_only_the_key(spark):
     # the same branch as inside quality_report's first job
     rep = quality.quality_report(o, TableSpec("orders", key=("o_orderkey",)))
     assert rep.filter("check_name = 'key_unique'").first().passed
+
+
+def test_tables_bucketed_on_the_join_key_join_without_a_shuffle(spark, tmp_path):
+    from sluice.sinks.tables import write_table
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sluice_bkt LOCATION '{tmp_path}/db'")
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_quantity")
+    o = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", "o_orderdate")
+    write_table(li, "sluice_bkt.li", path=str(tmp_path / "db" / "li"), bucket_by=(8, ["l_orderkey"]))
+    write_table(o, "sluice_bkt.o", path=str(tmp_path / "db" / "o"), bucket_by=(8, ["o_orderkey"]))
+    a, b = spark.read.table("sluice_bkt.li"), spark.read.table("sluice_bkt.o")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = a.join(b, a.l_orderkey == b.o_orderkey)
+        p = plan(j, "simple")
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == li.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

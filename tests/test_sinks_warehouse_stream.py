@@ -240,3 +240,14 @@ def test_ingest_of_an_empty_drop_is_a_no_op(spark, tmp_path):
     log, reports = ingest_all(spark, str(raw), IngestConfig(database="sluice_empty", location=str(tmp_path / "wh")))
     assert log.count() == 0 and reports.count() == 0
     assert exit_code(log) == 0
+
+
+def test_ingest_can_bucket_bronze_tables_on_their_key(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "olist_customers_dataset.csv").write_text(
+        "customer_id,customer_city,customer_state,customer_zip_code_prefix\nc1,x,SP,01000\nc2,y,RJ,02000\n")
+    log, _ = ingest_all(spark, str(raw), IngestConfig(database="sluice_bk", location=str(tmp_path / "wh"), key_buckets=4))
+    assert log.first().status == "success"
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED sluice_bk.olist_customers_dataset").collect()}
+    assert desc.get("Num Buckets") == "4" and "customer_id" in desc.get("Bucket Columns", "")
