@@ -1,18 +1,18 @@
 """Profiling and validation of a table against its ``TableSpec``.
 
-Plan shape (independent of the number of columns N):
-
-* with the duplicate check on, the table is scanned once and grouped by all of its columns with map-side
-  partial aggregation (so exact copies collapse before the shuffle and a hot key is spread over many
-  reducers, because the full rows differ). Every other metric is a weighted sum over those distinct rows:
-  row and NULL counts, allowed-value and sign checks in one wide aggregate, key uniqueness as a second
-  (partial) group-by on the key. Both read the same exchange, which Spark reuses.
-* with it off, one wide aggregate over the table and one key group-by.
-
-``quality_report`` (the default) runs the same checks as a few eager jobs and skips the whole-row shuffle
-whenever it can prove the answer: a unique key means no two rows are equal; otherwise only rows whose key
-repeats can be copies, and when the repeated keys are few (counted, so the bound is proven) they are
-broadcast to filter the table map-side, so only those rows are shuffled.
+``quality_report`` (the default, eager) needs, whatever the number of columns:
+
+* one action over the table: a wide aggregate (row count, NULLs per column, allowed values, signs) plus a
+  partial-aggregated group-by on the key columns only (and, for a table without a key, the row-hash
+  statistics of the duplicate check);
+* the duplicate check only when that action does not settle it. A unique key means no two rows are equal.
+  Otherwise, when few keys repeat (counted, so the broadcast is proven small), they filter the table
+  map-side first; then rows are grouped by a 96-bit hash (about 12 bytes per row shuffled) and only rows
+  whose hash repeats are grouped by their full values, so the count is exact.
+
+``quality_report_plan`` is the same report as one lazy plan: the table grouped once by all its columns
+(map-side combine collapses copies; full rows differ, so a hot key spreads over reducers), every metric a
+weighted sum over those groups, the key check a second group-by on the same, reused exchange.
 
 The result is a long DataFrame (``REPORT_COLUMNS``) so it can be stored, unioned over tables and queried.
 """
