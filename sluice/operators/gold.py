@@ -6,7 +6,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from sluice.operators.silver import enrich
+from concurrent.futures import ThreadPoolExecutor
+
+from sluice.operators.silver import enrich, row_count_at_most
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def _sizes(refs: Sequence[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> list[bool]:
+    """The bounded size check of every dimension, run as concurrent Spark jobs."""
+    if not refs:
+        return []
+    with ThreadPoolExecutor(max_workers=min(8, len(refs)), thread_name_prefix="dim-size") as pool:
+        return list(pool.map(lambda r: row_count_at_most(r, max_rows), refs))
 
 
 def build_dim(df: DataFrame, key: Sequence[str], cols: Sequence[str],
@@ -14,8 +26,8 @@ def build_dim(df: DataFrame, key: Sequence[str], cols: Sequence[str],
     """GOLD-1 dimension: one row per natural ``key`` (latest duplicates are the caller's job: ``dedup_latest``),
     widened by lookups ``(ref, {dim col: ref col}, ref cols)`` applied in order (normalised lookups folded into one wide dimension)."""
     out = df.select(*key, *cols)
-    for ref, keys, rcols in lookups:
-        out = enrich(out, ref, keys, rcols)
+    for (ref, keys, rcols), small in zip(lookups, _sizes([r for r, _, _ in lookups])):
+        out = enrich(out, ref, keys, rcols, ref_small=small)
     return out
 
 
@@ -28,8 +40,8 @@ def build_fact(df: DataFrame, measures: Mapping[str, Column],
     count never changes; small dimensions are broadcast after a bounded size check, large ones shuffle.
     """
     out = df.select(*keep, *[m.alias(n) for n, m in measures.items()])
-    for ref, keys, rcols in dims:
-        out = enrich(out, ref, keys, rcols)
+    for (ref, keys, rcols), small in zip(dims, _sizes([r for r, _, _ in dims])):
+        out = enrich(out, ref, keys, rcols, ref_small=small)
     return out
 
 

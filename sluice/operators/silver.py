@@ -61,11 +61,12 @@ def keys_unique(df: DataFrame, keys: Sequence[str]) -> bool:
 
 def enrich(df: DataFrame, ref: DataFrame, keys: Sequence[str] | Mapping[str, str], cols: Sequence[str],
            fallback: Mapping[str, str] | None = None, max_broadcast_rows: int | None = 1_000_000,
-           ref_unique: bool | None = None) -> DataFrame:
+           ref_unique: bool | None = None, ref_small: bool | None = None) -> DataFrame:
     """SILV-3: left lookup join adding ``cols`` from ``ref``; a lookup never multiplies fact rows.
 
     ``keys`` is a list of shared names or a mapping fact column -> ref column. ``fallback`` maps an added
-    column to a fact column used when the lookup misses (``coalesce(english, original)``).
+    column to a fact column used when the lookup misses (``coalesce(english, original)``). ``ref_small``
+    passes a size check the caller already ran (``row_count_at_most``).
 
     Plan choice:
     * a reference proven small (bounded row count) is de-duplicated on its key and broadcast;
@@ -76,7 +77,9 @@ def enrich(df: DataFrame, ref: DataFrame, keys: Sequence[str] | Mapping[str, str
     pairs = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
     knames = [f"__k{i}" for i in range(len(pairs))]
     r = ref.select(*[F.col(rc).alias(k) for k, rc in zip(knames, pairs.values())], *cols)
-    if max_broadcast_rows is not None and row_count_at_most(r, max_broadcast_rows):
+    if ref_small is None:
+        ref_small = max_broadcast_rows is not None and row_count_at_most(r, max_broadcast_rows)
+    if ref_small:
         r = F.broadcast(r if ref_unique else r.dropDuplicates(knames))
     else:
         unique = ref_unique if ref_unique is not None else keys_unique(r, knames)
