@@ -138,9 +138,11 @@ def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, alias: st
         (F.sum("_pc").over(wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_pc")).alias("_off"),
         F.sum("_pc").over(wg).alias("_n"),
     )
-    from sluice.operators.silver import row_count_at_most  # bounded count proves the broadcast
+    from sluice.operators.silver import row_count_at_most
 
-    if row_count_at_most(offsets, max_broadcast_rows):
+    # offsets has at most (#groups + #partitions - 1) rows: a count of the group keys alone (partial
+    # aggregation, no values) proves the broadcast bound without running the range pipeline twice
+    if row_count_at_most(df.select(*by).distinct(), max(0, max_broadcast_rows - n_parts)):
         offsets = F.broadcast(offsets)
     # (joined null-safely below: a NULL group key is a group of its own, as in GROUP BY)
     o = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in by], F.col("_pid").alias("_o_pid"), "_off", "_n")
