@@ -201,14 +201,18 @@ def run_durations(runs: DataFrame, start: str = "started_at", end: str = "ended_
     return runs.select("run_id", "job", start, end, secs.alias("duration_seconds"))
 
 
-def dq_series(reports: DataFrame, by: str = "table_name") -> DataFrame:
-    """MET-7: from stored DQ reports: failed checks (error or warning) and the worst NULL share per ``by``."""
-    failed = ~F.col("passed") & F.col("severity").isin("error", "warning")
-    return reports.groupBy(by).agg(
+def dq_series(reports: DataFrame, by: str | list[str] = "table_name") -> DataFrame:
+    """MET-7 / OPS-3: from stored DQ reports, per ``by`` (e.g. table, or table and run day): checks run
+    (errors and warnings), failed checks, blocking failures, the failure rate (%) and the worst NULL share."""
+    keys = [by] if isinstance(by, str) else list(by)
+    judged = F.col("severity").isin("error", "warning")
+    failed = ~F.col("passed") & judged
+    return reports.groupBy(*keys).agg(
+        F.count_if(judged).cast("long").alias("checks"),
         F.count_if(failed).cast("long").alias("validation_failures"),
         F.count_if(failed & (F.col("severity") == "error")).cast("long").alias("blocking_failures"),
         F.coalesce(F.max(F.when(F.col("check_name") == "null_percent", F.col("metric"))), F.lit(0.0)).alias("max_null_percent"),
-    )
+    ).withColumn("failure_rate", percent(F.col("validation_failures"), F.col("checks")))
 
 
 def band(value, green_at: float = 95.0, yellow_at: float = 80.0, higher_is_better: bool = True) -> Column:

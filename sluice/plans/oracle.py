@@ -363,11 +363,14 @@ ORACLE: dict[str, str] = {
         FROM ({_RUNS})""",
     "dq_series": f"""
         WITH r AS (SELECT * FROM ({_DQ_ORDERS}) UNION ALL SELECT * FROM ({_DQ_CUSTOMER}) UNION ALL SELECT * FROM ({_DQ_PART}))
-        SELECT table_name,
+        SELECT *, CASE WHEN CAST(checks AS DOUBLE) = 0 THEN 0.0
+                       ELSE CAST(validation_failures AS DOUBLE) * 100.0 / CAST(checks AS DOUBLE) END AS failure_rate
+        FROM (SELECT table_name,
+               count(*) FILTER (WHERE severity IN ('error', 'warning')) AS checks,
                count(*) FILTER (WHERE NOT passed AND severity IN ('error', 'warning')) AS validation_failures,
                count(*) FILTER (WHERE NOT passed AND severity = 'error') AS blocking_failures,
                coalesce(max(metric) FILTER (WHERE check_name = 'null_percent'), 0.0) AS max_null_percent
-        FROM r GROUP BY table_name""",
+        FROM r GROUP BY table_name)""",
     "dedup_latest": """
         SELECT event_id, ts, user_id, event_type, value, props FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
