@@ -258,6 +258,9 @@ def quality_report(
     broadcast is bounded) first filter the table map-side; then ``count_duplicate_rows`` shuffles row
     hashes, and full rows only where a hash repeats. Only scalars reach the driver.
     """
+    if df.isStreaming:
+        raise ValueError("quality_report needs a batch DataFrame; for streams run it per micro-batch "
+                         "(streaming.bronze_stream.stream_ingest_with_quality / foreachBatch)")
     if lazy:
         return quality_report_plan(df, spec, thresholds, check_duplicates)
     spark = df.sparkSession

@@ -137,3 +137,10 @@ def test_count_duplicate_rows_is_exact(spark, case):
     want = df.count() - df.distinct().count()
     assert quality.count_duplicate_rows(df) == want
     assert quality.count_duplicate_rows(df, max_broadcast=0) == want
+
+
+def test_streaming_frames_are_pointed_to_micro_batches(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "s"))
+    stream = spark.readStream.schema("id long").parquet(str(tmp_path / "s"))
+    with pytest.raises(ValueError, match="micro-batch"):
+        quality.quality_report(stream, TableSpec("T"))
