@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "dq_report_orders",
+    "ecommerce_orders_report",
     "dq_rules_customer",
     "null_profile",
     "key_uniqueness",
@@ -41,8 +42,10 @@ HEADLINE = [
     "fact_sales",
     "kpi_rollup",
     "count_trend",
+    "daily_kpis",
     "partitioned_roundtrip",
     "stream_bronze",
+    "stream_csv_ingest",
 ]
 
 
