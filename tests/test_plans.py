@@ -79,3 +79,8 @@ def test_tables_bucketed_on_the_join_key_join_without_a_shuffle(spark, tmp_path)
         assert j.count() == li.count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_daily_kpis_counts_distinct_orders_without_expand(spark):
+    p = plan(registry.q_daily_kpis(spark, SF), "simple")
+    assert "Expand" not in p
