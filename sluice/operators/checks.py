@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def _day_filter(df: DataFrame, day, date_col: str) -> DataFrame:
-    d = F.lit(day).cast("date") if not isinstance(day, dt.date) else F.lit(day)
+    """``date_col = day``; ``day`` may be a date, a datetime (its date is used) or 'yyyy-MM-dd' text."""
+    if isinstance(day, dt.datetime):
+        day = day.date()
+    d = F.lit(day) if isinstance(day, dt.date) else F.lit(day).cast("date")
     return df.filter(F.col(date_col) == d)
 
 

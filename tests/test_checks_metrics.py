@@ -115,3 +115,8 @@ def test_exact_duration_quantile_keeps_a_null_job(spark):
     r = _runs(spark, [("a", 1, "success", 0, 10.0), ("a", 1, "success", 1, 20.0), (None, 1, "success", 2, 7.0)])
     got = {row.job: (row.runs, row.p50) for row in metrics.duration_quantile(r, 0.5, "1 day", exact=True).collect()}
     assert got == {"a": (2, 15.0), None: (1, 7.0)}
+
+
+def test_day_filters_accept_a_datetime(spark):
+    a = spark.createDataFrame([(dt.date(2024, 1, 15), T0)], "_processing_date date, _ingestion_timestamp timestamp")
+    assert checks.record_counts({"A": a}, dt.datetime(2024, 1, 15, 18, 30)).first().record_count == 1
