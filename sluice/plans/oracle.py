@@ -412,6 +412,8 @@ ORACLE: dict[str, str] = {
                CASE WHEN length(c_acctbal) <= 4 THEN c_acctbal ELSE repeat('*', length(c_acctbal) - 4) || right(c_acctbal, 4) END AS c_acctbal,
                CASE WHEN c_mktsegment IS NULL THEN NULL ELSE '****' END AS c_mktsegment
         FROM (SELECT {_RAW['customer']} FROM customer)""",
+    "lineage_counts": """
+        SELECT 'events.parquet' AS file_name, count(*) AS rows, count(DISTINCT user_id) AS users FROM events""",
     "partitioned_roundtrip": """
         SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS event_day
         FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",

@@ -214,8 +214,8 @@ def q_table_roundtrip(spark, sf):
 
 
 def q_query_scan(spark, sf):
-    _t(spark, sf, "nation").createOrReplaceTempView("sluice_nation")
-    _t(spark, sf, "customer").createOrReplaceTempView("sluice_customer")
+    gold.publish_view(_t(spark, sf, "nation"), "sluice_nation")
+    gold.publish_view(_t(spark, sf, "customer"), "sluice_customer")
     return warehouse.execute_query(
         spark,
         "SELECT n.n_name, count(*) AS customers, "
@@ -401,6 +401,13 @@ def q_count_trend(spark, sf):
     return ops.count_trend(_t(spark, sf, "events"), "event_type", "ts")
 
 
+def q_lineage_counts(spark, sf):
+    lin = ops.with_lineage(_t(spark, sf, "events"))
+    name = F.regexp_extract(F.col("_file_path"), r"([^/]+)$", 1)
+    return lin.groupBy(name.alias("file_name")).agg(F.count(F.lit(1)).cast("long").alias("rows"),
+                                                   F.count_distinct("user_id").cast("long").alias("users"))
+
+
 def q_mask_columns(spark, sf):
     raw = drops.as_raw_strings(_t(spark, sf, "customer"))
     return ops.mask_columns(raw, {"c_name": "mask", "c_acctbal": "last4", "c_mktsegment": "redact", "c_nationkey": "hash"})
@@ -556,6 +563,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_kpis": q_daily_kpis,
     "count_trend": q_count_trend,
     "mask_columns": q_mask_columns,
+    "lineage_counts": q_lineage_counts,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "stream_bronze": q_stream_bronze,
     "stream_quality": q_stream_quality,
