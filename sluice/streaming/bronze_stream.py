@@ -95,7 +95,7 @@ def stream_ingest_with_quality(
     overwrite, so a batch replayed after a failure replaces its own output (exactly-once with the
     checkpoint). Returns (Bronze rows, reports) as batch frames.
     """
-    from sluice.operators.quality import failed_errors, quality_report
+    from sluice.operators.quality import REPORT_DDL, quality_report
     from sluice.specs import Thresholds
 
     th = thresholds or Thresholds()
@@ -108,14 +108,13 @@ def stream_ingest_with_quality(
     bronze = bronze_transform(reader.load(source), spec, as_of=as_of, batch_id=batch_id)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        rep = quality_report(batch, spec, th).withColumn("batch_id", F.lit(epoch).cast("long"))
-        rep = rep.cache()
+        rows_ = quality_report(batch, spec, th).collect()  # small local rows: the gate decides in Python
+        rep = spark.createDataFrame(rows_, REPORT_DDL).withColumn("batch_id", F.lit(epoch).cast("long"))
         (rep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(reports))
-        if failed_errors(rep).limit(1).count() == 0:
+        if not any(r.severity == "error" and not r.passed for r in rows_):
             (batch.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(output))
-        rep.unpersist()
 
     q = (bronze.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -160,7 +159,7 @@ def stream_ingest_csv(
     from pyspark import StorageLevel
     from pyspark.sql.types import StringType, StructField
 
-    from sluice.operators.quality import REPORT_DDL, failed_errors, quality_report
+    from sluice.operators.quality import REPORT_DDL, quality_report
     from sluice.sources.csv import CORRUPT
     from sluice.specs import Thresholds
 
@@ -198,11 +197,10 @@ def stream_ingest_csv(
                            quarantine_root, epoch)
             clean = b.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
             bronze = bronze_transform(clean, spec, as_of=as_of, batch_id=batch_id)
-            rep = gate_row.unionByName(quality_report(bronze, spec, th)).cache()
-            write_part(rep, reports, epoch)
-            if failed_errors(rep).limit(1).count() == 0:
+            rep_rows = gate_row.collect() + quality_report(bronze, spec, th).collect()  # small local rows
+            write_part(spark.createDataFrame(rep_rows, REPORT_DDL), reports, epoch)
+            if not any(r.severity == "error" and not r.passed for r in rep_rows):
                 write_part(bronze, output, epoch)
-            rep.unpersist()
         finally:
             b.unpersist()
 
