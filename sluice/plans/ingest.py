@@ -23,7 +23,7 @@ from sluice.operators.quality import REPORT_DDL, gate, validate
 from sluice.session import checkpoint_root
 from sluice.sinks.tables import write_table
 from sluice.sources.csv import scan_csv
-from sluice.sources.files import file_inventory
+from sluice.sources.files import absolute_path, file_inventory
 from sluice.specs import REGISTRY, TableSpec, Thresholds, spec_for
 
 log = logging.getLogger(__name__)
@@ -121,6 +121,7 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
     The table list comes from Spark's own listing (bounded by the number of tables).
     """
     cfg = cfg or IngestConfig()
+    raw_root = absolute_path(raw_root)
     tables = (file_inventory(spark, raw_root).select("entry", "table_name").distinct()
               .orderBy("entry").collect())
     if not tables:

@@ -6,6 +6,7 @@ files (what Spark itself writes). The entry right below the root names the table
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 
@@ -18,8 +19,17 @@ def _strip_scheme(col):
     return F.regexp_replace(col, _SCHEME, "")
 
 
+def absolute_path(root: str) -> str:
+    """A scheme-less relative root resolved against this process's working directory (the JVM would use
+    its own start directory otherwise)."""
+    if not re.match(_SCHEME, root) and not root.startswith("/"):
+        return os.path.abspath(root)
+    return root
+
+
 def _norm_root(root: str) -> str:
-    return re.sub(_SCHEME, "", root).rstrip("/")
+    """The root's path part as Spark will report it (scheme and authority removed)."""
+    return re.sub(_SCHEME, "", absolute_path(root)).rstrip("/")
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -30,7 +40,7 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(root).select(
+    return reader.load(absolute_path(root)).select(
         "path", "length", F.col("modificationTime").alias("modification_time")
     )
 

@@ -79,3 +79,11 @@ def test_empty_directory_gives_empty_inventory(spark, tmp_path):
     except Exception:  # some Spark versions refuse to infer a schema over nothing
         n = 0
     assert n == 0
+
+
+def test_inventory_of_a_relative_root(spark, tmp_path, monkeypatch):
+    (tmp_path / "drop").mkdir()
+    write(tmp_path / "drop", "t.csv", "a\n1\n")
+    monkeypatch.chdir(tmp_path)
+    got = rows(files.file_inventory(spark, "drop").select("entry", "table_name"))
+    assert got == [("t.csv", "T")]
