@@ -106,7 +106,8 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
         # with keep_history the run's session overwrites only the written day (see ingest_all)
         buckets = (cfg.key_buckets, list(spec.key)) if (cfg.key_buckets and spec.key) else None
         n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite",
-                        path=f"{root}/{cfg.database}.db/{table_name.lower()}", partition_by=parts, bucket_by=buckets)
+                        path=f"{root}/{cfg.database}.db/{table_name.lower()}", partition_by=parts, bucket_by=buckets,
+                        verify_count=not cfg.keep_history)  # the upstream recount, from file footers
         return TableOutcome(table_name, stage, "success", n, None, started, dt.datetime.now(), report, changes)
     except Exception as exc:  # noqa: BLE001 - isolation: one table's failure never stops the others
         log.warning("failed to ingest %s at %s: %s", table_name, stage, exc)

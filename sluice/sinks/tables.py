@@ -36,6 +36,7 @@ def write_table(
     pre_sql=None,
     post_sql=None,
     bucket_by: tuple[int, Sequence[str]] | None = None,
+    verify_count: bool = False,
 ) -> int:
     """SNK-1/2/5: write ``df`` and return the number of rows written (observed during the write).
 
@@ -46,6 +47,8 @@ def write_table(
       actions get them as ``preactions`` / ``postactions`` options instead.
     * ``bucket_by=(n, cols)`` (catalog tables) hash-buckets and sorts the rows on ``cols``: tables bucketed
       the same way on their join key join later without a shuffle on either side.
+    * ``verify_count`` recounts a full overwrite after it lands and raises on a mismatch. For parquet the
+      recount is answered from file footers, so it reads no data.
     """
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; expected one of {MODES}")
@@ -83,7 +86,16 @@ def write_table(
             writer.option("dbtable", table).save()
     if mode == "ignore" and not obs.get:
         return 0
-    return int(obs.get.get("rows", 0) or 0)
+    written = int(obs.get.get("rows", 0) or 0)
+    if verify_count and mode == "overwrite" and table and fmt is None:
+        landed = spark.read.table(table).count()
+        if landed != written:
+            raise WriteCountMismatch(f"{table}: wrote {written} rows but the table holds {landed}")
+    return written
+
+
+class WriteCountMismatch(RuntimeError):
+    pass
 
 
 def _reads_table(df: DataFrame, table: str) -> bool:

@@ -251,3 +251,10 @@ def test_ingest_can_bucket_bronze_tables_on_their_key(spark, tmp_path):
     assert log.first().status == "success"
     desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED sluice_bk.olist_customers_dataset").collect()}
     assert desc.get("Num Buckets") == "4" and "customer_id" in desc.get("Bucket Columns", "")
+
+
+def test_verified_overwrite_recounts_from_metadata(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sluice_v LOCATION '{tmp_path}/db'")
+    df = spark.range(7)
+    assert write_table(df, "sluice_v.t", path=str(tmp_path / "db" / "t"), verify_count=True) == 7
+    assert write_table(df.limit(3), "sluice_v.t", mode="overwrite", verify_count=True) == 3
