@@ -23,8 +23,9 @@ def _sizes(refs: Sequence[DataFrame], max_rows: int = MAX_BROADCAST_ROWS) -> lis
 
 def build_dim(df: DataFrame, key: Sequence[str], cols: Sequence[str],
               lookups: Sequence[tuple[DataFrame, Mapping[str, str], Sequence[str]]] = ()) -> DataFrame:
-    """GOLD-1 dimension: one row per natural ``key`` (latest duplicates are the caller's job: ``dedup_latest``),
-    widened by lookups ``(ref, {dim col: ref col}, ref cols)`` applied in order (normalised lookups folded into one wide dimension)."""
+    """GOLD-1 dimension: one row per natural ``key`` (latest duplicates are the caller's job:
+    ``dedup_latest``), widened by lookups ``(ref, {dim col: ref col}, ref cols)`` applied in order, so a
+    chain of normalised tables folds into one wide dimension that a fact joins once."""
     out = df.select(*key, *cols)
     for (ref, keys, rcols), small in zip(lookups, _sizes([r for r, _, _ in lookups])):
         out = enrich(out, ref, keys, rcols, ref_small=small)
