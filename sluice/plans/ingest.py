@@ -117,7 +117,7 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
 
 
 def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = None) -> tuple[DataFrame, DataFrame]:
-    """Ingest every ``*.csv`` table under ``raw_root``; returns (run_log, stored DQ reports).
+    """Ingest every ``*.csv`` table under ``raw_root``; returns (run_log, DQ reports tagged with the run).
 
     The table list comes from Spark's own listing (bounded by the number of tables).
     """
@@ -155,6 +155,8 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
     rep = reports[0] if reports else spark.createDataFrame([], REPORT_DDL)
     for r in reports[1:]:
         rep = rep.unionByName(r)
+    # run identity on every stored report row, so reports appended over runs form a series (MET-7)
+    rep = rep.withColumn("run_id", F.lit(cfg.run_id)).withColumn("env", F.lit(cfg.env))
     return run_log, rep
 
 

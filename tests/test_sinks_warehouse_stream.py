@@ -258,3 +258,18 @@ def test_verified_overwrite_recounts_from_metadata(spark, tmp_path):
     df = spark.range(7)
     assert write_table(df, "sluice_v.t", path=str(tmp_path / "db" / "t"), verify_count=True) == 7
     assert write_table(df.limit(3), "sluice_v.t", mode="overwrite", verify_count=True) == 3
+
+
+def test_reports_of_several_runs_form_a_series(spark, tmp_path):
+    from sluice.operators import metrics
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "t.csv").write_text("id,v\n1,\n2,x\n")
+    base = dict(database="sluice_series", location=str(tmp_path / "wh"))
+    _, r1 = ingest_all(spark, str(raw), IngestConfig(run_id="r1", **base))
+    (raw / "t.csv").write_text("id,v\n1,a\n2,x\n")
+    _, r2 = ingest_all(spark, str(raw), IngestConfig(run_id="r2", **base))
+    s = {r.run_id: (r.validation_failures, r.max_null_percent)
+         for r in metrics.dq_series(r1.unionByName(r2), by=["table_name", "run_id"]).collect()}
+    assert s == {"r1": (1, 50.0), "r2": (0, 0.0)}
