@@ -232,11 +232,17 @@ def clear_caches() -> None:
     _ingest_cache.clear()
 
 
+def _bronze_db(sf: str) -> str:
+    """One Bronze database per input folder, so runs at different scales never share tables."""
+    tag = "".join(ch if ch.isalnum() else "_" for ch in sf.rstrip("/").split("/")[-1])
+    return f"sluice_bronze_{tag}"
+
+
 def _ingest(spark, sf):
     key = (session_key(spark), sf)
     if key not in _ingest_cache:
         folder = drops.raw_drop(spark, sf)
-        cfg = IngestConfig(env="base", thresholds=PRESETS["base"], as_of=AS_OF, database="sluice_bronze",
+        cfg = IngestConfig(env="base", thresholds=PRESETS["base"], as_of=AS_OF, database=_bronze_db(sf),
                            location=staging_path(spark, "bronze"))
         _ingest_cache[key] = ingest_all(spark, folder, cfg)
     return _ingest_cache[key]
@@ -255,7 +261,7 @@ def q_ingest_summary(spark, sf):
 def q_post_load_checks(spark, sf):
     """AGG-8 over the tables the ingest run wrote to the catalog (day filter prunes partitions)."""
     _ingest(spark, sf)
-    tables = {t: warehouse.read_table(spark, f"sluice_bronze.{t.lower()}") for t in ("CUSTOMER", "PART", "SUPPLIER")}
+    tables = {t: warehouse.read_table(spark, f"{_bronze_db(sf)}.{t.lower()}") for t in ("CUSTOMER", "PART", "SUPPLIER")}
     counts = checks.record_counts(tables, DAY, check_time=AS_OF).drop("check_time")
     fresh = checks.freshness(tables, DAY).select("table_name", F.col("records_today").alias("fresh_rows"))
     return counts.join(fresh, "table_name", "left")
