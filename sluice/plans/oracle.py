@@ -325,6 +325,18 @@ ORACLE: dict[str, str] = {
         SELECT at_time, count(*) AS active_runs FROM (
             SELECT unnest(generate_series(first_, last_, INTERVAL '1 minute')) AS at_time FROM r WHERE first_ <= last_)
         GROUP BY at_time""",
+    "active_run_bands": f"""
+        SELECT *, CASE WHEN active_runs >= 10 THEN 'red' WHEN active_runs >= 5 THEN 'yellow' ELSE 'green' END AS band
+        FROM (WITH r AS (SELECT started_at, ended_at,
+              CASE WHEN date_trunc('minute', started_at) = started_at THEN started_at
+                   ELSE date_trunc('minute', started_at) + INTERVAL '1 minute' END AS first_,
+              CASE WHEN date_trunc('minute', ended_at - INTERVAL '1 minute') = ended_at - INTERVAL '1 minute'
+                   THEN ended_at - INTERVAL '1 minute'
+                   ELSE date_trunc('minute', ended_at - INTERVAL '1 minute') + INTERVAL '1 minute' END AS last_
+            FROM ({_RUNS}))
+        SELECT at_time, count(*) AS active_runs FROM (
+            SELECT unnest(generate_series(first_, last_, INTERVAL '1 minute')) AS at_time FROM r WHERE first_ <= last_)
+        GROUP BY at_time)""",
     "active_runs_at": f"""
         SELECT count(*) FILTER (WHERE started_at <= TIMESTAMP '2024-01-15 02:00:00'
                                   AND (ended_at IS NULL OR ended_at > TIMESTAMP '2024-01-15 02:00:00')) AS active_runs

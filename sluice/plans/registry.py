@@ -294,6 +294,10 @@ def q_active_runs(spark, sf):
     return metrics.active_runs(_runs(spark, sf), "1 minute")
 
 
+def q_active_run_bands(spark, sf):
+    return metrics.active_run_bands(metrics.active_runs(_runs(spark, sf), "1 minute"))
+
+
 def q_active_runs_at(spark, sf):
     return metrics.active_runs_at(_runs(spark, sf), _as_of_ntz())
 
@@ -557,6 +561,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_band": q_status_band,
     "active_runs": q_active_runs,
     "active_runs_at": q_active_runs_at,
+    "active_run_bands": q_active_run_bands,
     "success_rate_last_24h": q_success_rate_last_24h,
     "stream_success_rate": q_stream_success_rate,
     "records_per_second": q_records_per_second,
