@@ -24,7 +24,7 @@ from sluice.session import checkpoint_root
 from sluice.sinks.tables import write_table
 from sluice.sources.csv import scan_csv
 from sluice.sources.files import absolute_path, file_inventory
-from sluice.specs import REGISTRY, TableSpec, Thresholds, spec_for
+from sluice.specs import PRESETS, REGISTRY, TableSpec, Thresholds, spec_for
 
 log = logging.getLogger(__name__)
 
@@ -37,7 +37,7 @@ RUN_LOG_DDL = (
 @dataclass
 class IngestConfig:
     env: str = "dev"
-    thresholds: Thresholds = field(default_factory=Thresholds)
+    thresholds: Thresholds | None = None  # default: the preset of ``env`` (base for unknown names)
     as_of: dt.datetime | None = None
     database: str = "bronze"
     location: str | None = None  # folder for the Bronze tables; default under the shared checkpoint folder
@@ -46,6 +46,10 @@ class IngestConfig:
     registry: Mapping[str, TableSpec] = field(default_factory=lambda: dict(REGISTRY))
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     parallelism: int = 8  # tables ingested at once (Spark runs jobs from several driver threads concurrently)
+
+    def __post_init__(self):
+        if self.thresholds is None:
+            self.thresholds = PRESETS.get(self.env, PRESETS["base"])
     partition_by_date: bool = True  # Bronze tables partitioned by _processing_date, so day checks prune files
     keep_history: bool = False  # True: a run replaces only its own day's partition; False: full replace
     key_buckets: int | None = None  # bucket Bronze tables on their spec key: later key joins need no shuffle

@@ -273,3 +273,12 @@ def test_reports_of_several_runs_form_a_series(spark, tmp_path):
     s = {r.run_id: (r.validation_failures, r.max_null_percent)
          for r in metrics.dq_series(r1.unionByName(r2), by=["table_name", "run_id"]).collect()}
     assert s == {"r1": (1, 50.0), "r2": (0, 0.0)}
+
+
+def test_ingest_thresholds_follow_the_environment():
+    from sluice.specs import PRESETS, Thresholds
+
+    assert IngestConfig().thresholds == PRESETS["dev"]
+    assert IngestConfig(env="prod").thresholds == PRESETS["prod"]
+    assert IngestConfig(env="qa").thresholds == PRESETS["base"]
+    assert IngestConfig(env="prod", thresholds=Thresholds(7, 7)).thresholds == Thresholds(7, 7)
