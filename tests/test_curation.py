@@ -84,3 +84,13 @@ def test_lineage_columns(spark, tmp_path):
     spark.range(3).write.parquet(p)
     out = ops.with_lineage(spark.read.parquet(p))
     assert out.filter(F.col("_file_path").contains("/l/")).count() == 3
+
+
+def test_cluster_conf_sizes_shuffles_from_the_input():
+    from sluice.session import cluster_conf
+
+    small = cluster_conf(8)
+    assert small["spark.sql.shuffle.partitions"] == "200" and small["spark.sql.adaptive.enabled"] == "true"
+    big = cluster_conf(4000, 100 * 2**40)  # 100 TB on 4000 cores: one 256 MB partition per slice of input
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20) + 1
+    assert big["spark.sql.files.maxPartitionBytes"] == "256m"
