@@ -3,12 +3,17 @@
 import datetime as dt
 import decimal
 import math
+import os
+import sys
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+from check_oracle import type_family  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -57,3 +62,6 @@ def test_query_matches_oracle(spark, con, name):
     assert s_cols == o_cols
     assert len(s_rows) == len(o_rows)
     assert s_rows == o_rows
+    s_types = {f.name: type_family(spark_type=f.dataType.simpleString()) for f in df.schema.fields}
+    o_types = {d[0]: type_family(duck_type=str(d[1])) for d in cur.description}
+    assert s_types == o_types
