@@ -49,15 +49,21 @@ def write_table(
       the same way on their join key join later without a shuffle on either side.
     * ``verify_count`` recounts a full overwrite after it lands and raises on a mismatch. For parquet the
       recount is answered from file footers, so it reads no data.
+    * ``mode="ignore"`` returns 0 when the catalog table exists; for a ``fmt`` write it returns -1 (the
+      count is unknown, because nothing is observed when Spark skips the write).
     """
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; expected one of {MODES}")
     spark = df.sparkSession
+    if mode == "ignore" and fmt is None and spark.catalog.tableExists(table):
+        return 0  # nothing is written, so no observed count would ever arrive
     if fmt is None and mode == "overwrite" and table and _reads_table(df, table):
         # Spark refuses to overwrite a table the same plan reads: stage to the shared folder, then swap
         df = cut_lineage(df, spark, name="overwrite_stage")
+    # an "ignore" write to an existing path writes nothing and completes no observation: count unknown (-1)
+    observe = not (mode == "ignore" and fmt is not None)
     obs = Observation(f"write_count_{uuid.uuid4().hex}")  # unique: a failed write never completes its own
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows")) if observe else df
     writer = observed.write.mode(mode).options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -84,8 +90,8 @@ def write_table(
             writer.save(path)
         else:
             writer.option("dbtable", table).save()
-    if mode == "ignore" and not obs.get:
-        return 0
+    if not observe:
+        return -1
     written = int(obs.get.get("rows", 0) or 0)
     if verify_count and mode == "overwrite" and table and fmt is None:
         landed = spark.read.table(table).count()

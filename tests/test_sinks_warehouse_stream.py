@@ -282,3 +282,14 @@ def test_ingest_thresholds_follow_the_environment():
     assert IngestConfig(env="prod").thresholds == PRESETS["prod"]
     assert IngestConfig(env="qa").thresholds == PRESETS["base"]
     assert IngestConfig(env="prod", thresholds=Thresholds(7, 7)).thresholds == Thresholds(7, 7)
+
+
+def test_ignore_mode_never_waits_for_a_skipped_write(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sluice_ign LOCATION '{tmp_path}/db'")
+    df = spark.range(4)
+    assert write_table(df, "sluice_ign.t", path=str(tmp_path / "db" / "t"), mode="ignore") == 4
+    assert write_table(df, "sluice_ign.t", mode="ignore") == 0  # exists: skipped, no hang
+    assert spark.read.table("sluice_ign.t").count() == 4
+    p = str(tmp_path / "files")
+    assert write_table(df, fmt="parquet", path=p) == 4
+    assert write_table(df, fmt="parquet", path=p, mode="ignore") == -1
