@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from sluice.llm import jaccard_join, mixing, neighbours, packing, quality_rules, sharding, token_files, warc
+from sluice.llm import jaccard_join, mixing, neighbours, packing, pii, quality_rules, sharding, suffix_dedup, token_files, warc
 from sluice.llm.common import documents
 
 QUERIES = {
     "op1_neighbours": lambda spark, sf: neighbours.nearest(spark.read.parquet(f"{sf}/embeddings.parquet")),
     "op2_packing": lambda spark, sf: packing.pack_documents(documents(spark, sf)),
+    "op3_suffix_dedup": lambda spark, sf: suffix_dedup.repeated_passages(documents(spark, sf)),
     "op4_mixing": lambda spark, sf: mixing.mixing_digest(documents(spark, sf)),
+    "op5_pii": lambda spark, sf: pii.find(documents(spark, sf)),
     "op6_warc": lambda spark, sf: warc.warc_digest(spark.read.parquet(f"{sf}/pages.parquet")),
     "op7_quality_rules": lambda spark, sf: quality_rules.quality_digest(documents(spark, sf)),
     "op8_token_files": lambda spark, sf: token_files.token_digest(documents(spark, sf)),
