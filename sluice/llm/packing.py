@@ -99,7 +99,8 @@ def fractional(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> l
         if not len(open_):
             break
         left = (1 - covered[open_]) * demand[open_]
-        price = np.exp(-rate * (covered[open_] - covered[open_].min())) * lengths[open_] / capacity
+        # large pieces are the hard ones to place: their demand weighs more than their length
+        price = np.exp(-rate * (covered[open_] - covered[open_].min())) * (lengths[open_] / capacity) ** 1.1
         conf = best_configuration(price, lengths[open_], np.floor(left + 1e-9), capacity)
         copies = min((1 - covered[at[s]]) * demand[at[s]] / m for s, m in conf.items())
         for s, m in conf.items():
@@ -109,7 +110,12 @@ def fractional(counts: dict[int, int], capacity: int, rounds: int = ROUNDS) -> l
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[int, dict[int, int]]]:
-    """(sequences, configuration) pairs that use every piece of the histogram exactly once."""
+    """(sequences, configuration) pairs that use every piece of the histogram exactly once: the rounded program
+    or, where rounding a small histogram costs more than the program gains, best fit alone."""
+    return min((_rounded(counts, capacity, r) for r in (rounds, 0)), key=lambda p: sum(n for n, _ in p))
+
+
+def _rounded(counts: dict[int, int], capacity: int, rounds: int) -> list[tuple[int, dict[int, int]]]:
     left = {s: n for s, n in counts.items() if n > 0}
     out: list[tuple[int, dict[int, int]]] = []
 
@@ -125,8 +131,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS)
         use(full, {capacity: 1})
     for copies, conf in sorted(fractional(dict(left), capacity, rounds), key=lambda x: (-sum(s * m for s, m in x[1].items()), -x[0])):
         times = min([int(copies + 1e-9), *(left.get(s, 0) // m for s, m in conf.items())])
-        # a configuration that leaves more than a hundredth open is better filled by what is left
-        if times > 0 and sum(s * m for s, m in conf.items()) >= 0.99 * capacity:
+        # a configuration that leaves room open is better filled by what is left
+        if times > 0 and sum(s * m for s, m in conf.items()) == capacity:
             use(times, conf)
     while left:  # best fit, largest first, many equal sequences at a time
         sizes = np.array(sorted(left))
