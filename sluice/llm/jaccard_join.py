@@ -33,6 +33,7 @@ from sluice.llm.components import components
 CLASSES = 1 << 16
 FREQUENT = 4.0
 PIVOTS = 4
+BINS = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -130,6 +131,40 @@ def index_keys(g: np.ndarray, freq: np.ndarray, t: float) -> np.ndarray:
     return np.unique(np.concatenate(keys))
 
 
+def _signatures(texts: DataFrame, n: int) -> DataFrame:
+    """(sid, sig): a class's grams counted in ``BINS`` bins by hash. Sets differ in at least as many grams as
+    their counts do, which proves most unrelated pairs apart without their texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig = [np.bincount((grams(x, n) % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype("<u2" if len(x) < 1 << 16 else "<u4").tobytes()
+                   for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"sid": batch.column(0), "sig": pa.array(sig, pa.binary())})
+
+    return texts.select("sid", "text").mapInArrow(count, "sid long, sig binary")
+
+
+def _counts(sig: bytes) -> np.ndarray:
+    return np.frombuffer(sig, f"<u{len(sig) // BINS}").astype(np.int64)
+
+
+def _possible(pairs: DataFrame, sigs: DataFrame, t: float) -> DataFrame:
+    """The pairs (a, b) that their signatures don't prove apart: J >= t allows (1 - t) / (1 + t) of the sum of both
+    sizes as difference at most."""
+    full = pairs.join(sigs.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(
+        sigs.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for sa, sb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = _counts(sa), _counts(sb)
+                keep.append(bool(np.abs(x - y).sum() * (1 + t) <= (1 - t) * (x.sum() + y.sum()) + 1e-6))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return stage(full.mapInArrow(prune, "a long, b long"), "possible")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, t: float) -> DataFrame:
     """The pairs (a, b) of classes whose Jaccard similarity is at least ``t``. The texts of a pair's classes
     are joined on; Spark splits a pivot with very many partners."""
@@ -195,7 +230,8 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     texts = (docs.select(F.col("doc_id").cast("bigint").alias("first"), "text").join(involved, "first")
              .groupBy("sid").agg(F.min("text").alias("text")))
     texts = stage(texts, "texts")
-    links = _verified(pairs, texts, n, t)
+    sigs = stage(_signatures(texts, n), "signatures")
+    links = _verified(_possible(pairs, sigs, t), texts, n, t)
     roots = stage(components(links), "roots")
 
     labelled = stage(keys.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
@@ -207,7 +243,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct())
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stage(rest.join(done, ["a", "b"], "left_anti"), "rest")
-    more = _verified(rest, texts, n, t)
+    more = _verified(_possible(rest, sigs, t), texts, n, t)
     merged = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     # a component's name is the smallest doc_id of its classes
     named = classes.join(merged.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
