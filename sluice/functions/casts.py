@@ -11,7 +11,7 @@ def _c(col) -> Column:
 
 def legacy_int(col) -> Column:
     """String to int with pre-ANSI truncation: '8.7' -> 8, '-8.7' -> -8, 'x' -> NULL."""
-    return _c(col).try_cast("decimal(38,6)").try_cast("int")
+    return _c(col).try_cast("decimal(38,20)").try_cast("int")
 
 
 def try_cast_to(col, target: str) -> Column:

@@ -10,9 +10,8 @@ def _c(col) -> Column:
 
 
 def mask_value(col) -> Column:
-    """Upper-case letters -> 'X', lower-case -> 'x', digits -> 'n'; everything else kept."""
-    c = _c(col).cast("string")
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[A-Z]", "X"), "[a-z]", "x"), "[0-9]", "n")
+    """Upper-case letters (of any script) -> 'X', lower-case -> 'x', digits -> 'n'; everything else kept."""
+    return F.mask(_c(col).cast("string"))
 
 
 def pseudonym(col, salt: str = "") -> Column:
@@ -21,10 +20,11 @@ def pseudonym(col, salt: str = "") -> Column:
 
 
 def keep_last(col, n: int = 4, fill: str = "*") -> Column:
-    """Keep the last ``n`` characters, replace the rest with ``fill``."""
+    """Keep the last ``n`` characters, replace the rest with ``fill``; a value of up to ``n`` characters is
+    replaced as a whole."""
     c = _c(col).cast("string")
     masked = F.concat(F.repeat(F.lit(fill), F.greatest(F.length(c) - n, F.lit(0))), F.substring(c, -n, n))
-    return F.when(F.length(c) <= n, c).otherwise(masked)
+    return F.when(F.length(c) <= n, F.repeat(F.lit(fill), F.length(c))).otherwise(masked)
 
 
 def redact(col, text: str = "****") -> Column:

@@ -1,7 +1,7 @@
 """Bronze ingestion of a raw drop, table by table, with failure isolation (DQ-7, SNK-3, AGG-10).
 
 Per table: one CSV parse (staged, counts observed), the corrupt gate, Bronze projection, the DQ report
-(one scan + one shuffle), the gate, one write whose row count is observed. Every outcome, including read
+(see the README for its scans), the gate, one write whose row count is observed. Every outcome, including read
 failures, becomes a ``run_log`` row; the driver loop only sequences tables, the work is Spark's.
 """
 
