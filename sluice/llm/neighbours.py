@@ -24,8 +24,8 @@ DIRECTIONS = 48
 #: A vector is verified once this many directions collide.
 THRESHOLD = 30
 WIDEN = 1.5
-#: A query goes on until it has verified k + EXTRA vectors of a block at least.
-EXTRA = 100
+#: A query goes on until it has verified k + EXTRA vectors of a block and this share of the block at least.
+EXTRA, SHARE = 300, 0.2
 DATA_BLOCK, QUERY_BLOCK = 16_384, 512
 FOUND = "query_id long, vec_id long, score double"
 
@@ -45,6 +45,7 @@ def search(ids, data, norm2, query_ids, queries, k: int, seed: int = 7) -> list[
     # a query scaled to norm sqrt(top) has the same order of inner products
     scale = np.sqrt(top) / np.maximum(np.sqrt((queries ** 2).sum(1)), 1e-300)
     centres = (queries * scale[:, None]) @ axes[:d]
+    enough = min(n, k + 1 + max(EXTRA, int(SHARE * n)))
     out = []
     for q in range(len(queries)):
         counts = np.zeros(n, np.int16)
@@ -61,10 +62,10 @@ def search(ids, data, norm2, query_ids, queries, k: int, seed: int = 7) -> list[
                     counts[order[j, hi[j]:b]] += 1
                     hi[j] = b
             seen = int(np.count_nonzero(counts >= THRESHOLD))
-            if seen >= min(n, k + 1 + EXTRA) or half > 2 * spread:
+            if seen >= enough or half > 2 * spread:
                 break
             half *= WIDEN
-        cand = np.flatnonzero(counts >= THRESHOLD) if seen >= min(n, k + 1 + EXTRA) else np.arange(n)
+        cand = np.flatnonzero(counts >= THRESHOLD) if seen >= enough else np.arange(n)
         cand = cand[ids[cand] != query_ids[q]]
         score = (data[cand] * queries[q]).sum(axis=1)  # row by row alike, so equal vectors tie exactly
         best = np.lexsort((ids[cand], -score))[:k]
