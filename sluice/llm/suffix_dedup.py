@@ -14,7 +14,6 @@ windows' hashes: one row per window, never a pair of suffixes, so a passage in v
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,33 +21,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from sluice.llm.common import WORD, stage
-from sluice.llm.jaccard_join import _words
+from sluice.llm.common import stage
 
 LENGTH = 50
-_WORD = re.compile(WORD)
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-_PRIME = np.uint64(0x100000001B3)
-
-
-def _hashes(text: str, length: int):
-    """(word starts, word ends, start hashes, window hashes, selected position of each window)."""
-    spans = [m.span() for m in _WORD.finditer(text)]
-    if len(spans) < length:
+#: Rows handed to Spark at a time.
+ROWS_PER_BATCH = 65_536
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0x100000001B3)
+_INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
+_BYTES = np.random.default_rng(11).integers(0, 1 << 64, 256, np.uint64)
+_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def _sums(values: np.ndarray, starts, ends) -> np.ndarray:
+    """Polynomial hashes of values[start:end], whatever the start: differences of prefix sums modulo 2 ** 64."""
+    n = len(values)
+    power = np.full(n, _BASE)
+    power[:1] = 1
+    power = np.multiply.accumulate(power)
+    back = np.full(n, _INVERSE)
+    back[:1] = 1
+    back = np.multiply.accumulate(back)
+    upto = np.zeros(n + 1, np.uint64)
+    np.cumsum(values * power, out=upto[1:])
+    return _mixed((upto[ends] - upto[starts]) * back[starts])
+
+
+def _hashes(text: bytes, length: int):
+    """(first byte and end of every word, per window of ``length`` words: smallest start hash, window hash),
+    None for shorter texts."""
+    data = np.frombuffer(text, np.uint8)
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = ~_SPACE[data]
+    edges = np.flatnonzero(np.diff(inside))
+    begin, end = edges[::2], edges[1::2]
+    if len(begin) < length:
         return None
-    at = np.array(spans, np.int64)
-    h = np.fromiter((_words[text[a:b].encode("utf-8", "surrogatepass")] for a, b in spans), np.uint64, len(spans))
     k = length // 2
     with np.errstate(over="ignore"):
-        g = np.zeros(len(h) - k + 1, np.uint64)
-        for i in range(k):
-            g = g * _PRIME + h[i: len(h) - k + 1 + i]
-        g = (g ^ (g >> np.uint64(31))) * _ODD
-        rest = length - k
-        w = (g[: len(h) - length + 1] * _PRIME) ^ (g[rest: rest + len(h) - length + 1] * _ODD)
-        w = (w ^ (w >> np.uint64(29))) * _PRIME
-    chosen = np.lib.stride_tricks.sliding_window_view(g, rest + 1).argmin(axis=1) + np.arange(len(w))
-    return at[:, 0], at[:, 1], g, w, chosen
+        words = _sums(_BYTES[data], begin, end)
+        at = np.arange(len(words) - k + 1)
+        g = _sums(words, at, at + k)
+        windows, rest = len(words) - length + 1, length - k
+        w = _mixed((g[:windows] * _BASE) ^ (g[rest: rest + windows] * _MIX))
+    # minimum over rest + 1 neighbours, by doubling the span
+    least, span = g, 1
+    while span * 2 <= rest + 1:
+        least, span = np.minimum(least[:-span], least[span:]), span * 2
+    more = rest + 1 - span
+    if more:
+        least = np.minimum(least[:-more], least[more:])
+    return begin, end, least[:windows], w
+
+
+def _batches(names: list[str], rows: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """Column arrays of many documents as batches of at least ``ROWS_PER_BATCH`` rows (the last one: fewer)."""
+    held, n = [], 0
+    for columns in rows:
+        held.append(columns)
+        n += len(columns[0])
+        if n >= ROWS_PER_BATCH:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
+            held, n = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
 
 
 def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -63,25 +104,33 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                                                     F.coalesce("text", F.lit("")).alias("text"))
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = _hashes(text, length)
-                if found:
-                    keys = np.unique(found[2][np.unique(found[4])])
-                    yield pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "doc_id": np.full(len(keys), doc)})
+        def each():
+            for batch in batches:
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    found = _hashes(text.as_buffer(), length)
+                    if found:
+                        keys = np.unique(found[2])
+                        yield keys.view(np.int64), np.full(len(keys), doc)
+
+        yield from _batches(["key", "doc_id"], each())
 
     kept = stage(rows.mapInArrow(suffixes, "key long, doc_id long"), "suffixes")
     many = kept.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("key")
     hits = kept.join(many, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, text, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                start, end, g, w, chosen = _hashes(text, length)
-                own = np.flatnonzero(np.isin(g[chosen], np.array(keys, np.int64).view(np.uint64)))
-                yield pa.RecordBatch.from_pydict({
-                    "window": w[own].view(np.int64), "doc_id": np.full(len(own), doc), "word": own,
-                    "start": start[own], "end": end[own + length - 1]})
+        def each():
+            for batch in batches:
+                for doc, text, keys in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                    data = text.as_buffer()
+                    begin, end, least, w = _hashes(data, length)
+                    own = np.flatnonzero(np.isin(least, keys.values.to_numpy().view(np.uint64)))
+                    # bytes to code points: all but continuation bytes count
+                    points = np.zeros(len(data) + 1, np.int64)
+                    np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, out=points[1:])
+                    yield w[own].view(np.int64), np.full(len(own), doc), own, points[begin[own]], points[end[own + length - 1]]
+
+        yield from _batches(["window", "doc_id", "word", "start", "end"], each())
 
     joined = rows.distinct().join(hits, "doc_id").select("doc_id", "text", "keys").filter(F.length("text") >= length)
     windows = stage(joined.mapInArrow(extend, "window long, doc_id long, word long, start long, end long"), "windows")
