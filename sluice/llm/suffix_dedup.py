@@ -115,7 +115,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         yield from _batches(["key", "doc_id"], each())
 
     kept = stage(rows.mapInArrow(suffixes, "key long, doc_id long"), "suffixes")
-    many = kept.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("key")
+    # staged, so that the joins below are plain ones and Spark can split a key or window that very many documents share
+    many = stage(kept.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("key"), "shared")
     hits = kept.join(many, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +136,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     joined = rows.distinct().join(hits, "doc_id").select("doc_id", "text", "keys").filter(F.length("text") >= length)
     windows = stage(joined.mapInArrow(extend, "window long, doc_id long, word long, start long, end long"), "windows")
     found = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    w = windows.join(found.select("window", "first"), "window")
+    w = windows.join(stage(found.select("window", "first"), "repeated"), "window")
     order = Window.partitionBy("doc_id").orderBy("word")
     w = w.withColumn("_new", (F.col("word") - F.lag("word").over(order) != 1).cast("int"))
     w = w.withColumn("_run", F.sum(F.coalesce("_new", F.lit(0))).over(order))
