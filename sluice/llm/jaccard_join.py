@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.common import stage
 from sluice.llm.components import components
+from sluice.llm.hashing import batches_of, word_bounds, word_hashes
 
 #: Classes by hash whose frequencies order the grams, and the share of all grams that makes a class frequent.
 CLASSES = 1 << 16
@@ -37,26 +38,16 @@ BINS = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        self[word] = h
-        return h
-
-
-_words = _Words()
-
-
 def grams(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word n-grams; the whole sequence if it has fewer words.
 
-    ``bytes.lower`` and ``bytes.split`` know ASCII only: A-Z, and the six white-space characters."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    ``bytes.lower`` knows A-Z only."""
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    begin, end = word_bounds(data)
+    if not len(begin):
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    with np.errstate(over="ignore"):
+        h = word_hashes(data, begin, end)
     k = min(n, len(h))
     out = np.full(len(h) - k + 1, k, np.uint64)
     with np.errstate(over="ignore"):
@@ -132,16 +123,24 @@ def index_keys(g: np.ndarray, freq: np.ndarray, t: float) -> np.ndarray:
 
 
 def _signatures(texts: DataFrame, n: int) -> DataFrame:
-    """(sid, sig): a class's grams counted in ``BINS`` bins by hash. Sets differ in at least as many grams as
-    their counts do, which proves most unrelated pairs apart without their texts."""
+    """(sid, sig, odd): a class's grams counted in ``BINS`` bins by hash, and the bins with odd counts as bits of
+    longs. Sets differ in at least as many grams as their counts do, and as bins are odd in one only, which
+    proves most unrelated pairs apart without their texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sig = [np.bincount((grams(x, n) % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype("<u2" if len(x) < 1 << 16 else "<u4").tobytes()
-                   for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"sid": batch.column(0), "sig": pa.array(sig, pa.binary())})
+            counts = [np.bincount((grams(x, n) % np.uint64(BINS)).astype(np.int64), minlength=BINS) for x in batch.column(1).to_pylist()]
+            sig = [c.astype("<u2" if c.sum() < 1 << 16 else "<u4").tobytes() for c in counts]
+            odd = [np.packbits((c & 1).astype(np.uint8)).view(np.int64) for c in counts]
+            yield pa.RecordBatch.from_pydict({"sid": batch.column(0), "sig": pa.array(sig, pa.binary()), "odd": pa.array(odd, pa.list_(pa.int64()))})
 
-    return texts.select("sid", "text").mapInArrow(count, "sid long, sig binary")
+    return texts.select("sid", "text").mapInArrow(count, "sid long, sig binary, odd array<bigint>")
+
+
+def _near(x: str, y: str, t: float):
+    """Whether the odd bins of two aliased rows (n, odd) allow a similarity of at least ``t``."""
+    differ = sum((F.bit_count(F.col(f"{x}.odd")[i].bitwiseXOR(F.col(f"{y}.odd")[i])) for i in range(BINS // 64)), F.lit(0))
+    return differ * (1 + t) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (1 - t) + 1e-6
 
 
 def _counts(sig: bytes) -> np.ndarray:
@@ -205,14 +204,19 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq = shared.value
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                g = grams(text, n)
-                keys = index_keys(g, freq, t) if len(g) else g
-                if len(keys):
-                    yield pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "sid": np.full(len(keys), _set_id(g)), "n": np.full(len(keys), len(g))})
 
-    keys = docs.select("text").mapInArrow(index, "key long, sid long, n long")
+        def each():
+            for batch in batches:
+                for text in batch.column(0).to_pylist():
+                    g = grams(text, n)
+                    keys = index_keys(g, freq, t) if len(g) else g
+                    if len(keys):
+                        yield keys.view(np.int64), np.full(len(keys), _set_id(g)), np.full(len(keys), len(g))
+
+        yield from batches_of(["key", "sid", "n"], each())
+
+    # staged: the texts are indexed once for the two uses below
+    keys = stage(docs.select("text").mapInArrow(index, "key long, sid long, n long"), "keys")
     # keys of one class only can't link anything; those of copies fall together
     alone = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo <> hi")
     keys = stage(keys.join(alone.select("key"), "key").distinct(), "index")
@@ -236,9 +240,9 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
 
     labelled = stage(keys.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    open_ = labelled.join(mixed, "key")
+    open_ = stage(labelled.join(mixed, "key").join(sigs.select("sid", "odd"), "sid"), "open")
     x, y = open_.alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid")) & (F.col("x.root") != F.col("y.root"))
+    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", t)
                    & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * t - 1e-6))
             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct())
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

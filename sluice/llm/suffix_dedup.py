@@ -22,53 +22,25 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from sluice.llm.common import stage
+from sluice.llm.hashing import BASE, MULTIPLIER, batches_of, mixed, range_hashes, word_bounds, word_hashes
 
 LENGTH = 50
-#: Rows handed to Spark at a time.
-ROWS_PER_BATCH = 65_536
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_BASE = np.uint64(0x100000001B3)
-_INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
-_BYTES = np.random.default_rng(11).integers(0, 1 << 64, 256, np.uint64)
-_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * _MIX
-    return h ^ (h >> np.uint64(29))
-
-
-def _sums(values: np.ndarray, starts, ends) -> np.ndarray:
-    """Polynomial hashes of values[start:end], whatever the start: differences of prefix sums modulo 2 ** 64."""
-    n = len(values)
-    power = np.full(n, _BASE)
-    power[:1] = 1
-    power = np.multiply.accumulate(power)
-    back = np.full(n, _INVERSE)
-    back[:1] = 1
-    back = np.multiply.accumulate(back)
-    upto = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * power, out=upto[1:])
-    return _mixed((upto[ends] - upto[starts]) * back[starts])
 
 
 def _hashes(text: bytes, length: int):
     """(first byte and end of every word, per window of ``length`` words: smallest start hash, window hash),
     None for shorter texts."""
     data = np.frombuffer(text, np.uint8)
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[data]
-    edges = np.flatnonzero(np.diff(inside))
-    begin, end = edges[::2], edges[1::2]
+    begin, end = word_bounds(data)
     if len(begin) < length:
         return None
     k = length // 2
     with np.errstate(over="ignore"):
-        words = _sums(_BYTES[data], begin, end)
+        words = word_hashes(data, begin, end)
         at = np.arange(len(words) - k + 1)
-        g = _sums(words, at, at + k)
+        g = range_hashes(words, at, at + k)
         windows, rest = len(words) - length + 1, length - k
-        w = _mixed((g[:windows] * _BASE) ^ (g[rest: rest + windows] * _MIX))
+        w = mixed((g[:windows] * BASE) ^ (g[rest: rest + windows] * MULTIPLIER))
     # minimum over rest + 1 neighbours, by doubling the span
     least, span = g, 1
     while span * 2 <= rest + 1:
@@ -79,19 +51,6 @@ def _hashes(text: bytes, length: int):
     return begin, end, least[:windows], w
 
 
-def _batches(names: list[str], rows: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-    """Column arrays of many documents as batches of at least ``ROWS_PER_BATCH`` rows (the last one: fewer)."""
-    held, n = [], 0
-    for columns in rows:
-        held.append(columns)
-        n += len(columns[0])
-        if n >= ROWS_PER_BATCH:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
-            held, n = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names)
-
-
 def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, start, end, text_words, first_doc_id: the maximal passages of each row of ``docs`` (doc_id, text) in
     which every window of ``length`` words also stands in a document of another doc_id.
@@ -112,12 +71,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                         keys = np.unique(found[2])
                         yield keys.view(np.int64), np.full(len(keys), doc)
 
-        yield from _batches(["key", "doc_id"], each())
+        yield from batches_of(["key", "doc_id"], each())
 
     kept = stage(rows.mapInArrow(suffixes, "key long, doc_id long"), "suffixes")
-    # staged, so that the joins below are plain ones and Spark can split a key or window that very many documents share
-    many = stage(kept.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("key"), "shared")
-    hits = kept.join(many, "key").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    # joined by an injective function of the key: the join then has a shuffle of its own on both sides, and Spark can
+    # split a key or window that very many documents share, which it can't right above an aggregation
+    many = kept.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select(F.bitwise_not("key").alias("_k"))
+    hits = kept.join(many, F.bitwise_not(kept["key"]) == F.col("_k")).groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each():
@@ -131,12 +91,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, out=points[1:])
                     yield w[own].view(np.int64), np.full(len(own), doc), own, points[begin[own]], points[end[own + length - 1]]
 
-        yield from _batches(["window", "doc_id", "word", "start", "end"], each())
+        yield from batches_of(["window", "doc_id", "word", "start", "end"], each())
 
     joined = rows.distinct().join(hits, "doc_id").select("doc_id", "text", "keys").filter(F.length("text") >= length)
     windows = stage(joined.mapInArrow(extend, "window long, doc_id long, word long, start long, end long"), "windows")
     found = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    w = windows.join(stage(found.select("window", "first"), "repeated"), "window")
+    found = found.select(F.bitwise_not("window").alias("_k"), "first")
+    w = windows.join(found, F.bitwise_not(windows["window"]) == F.col("_k"))
     order = Window.partitionBy("doc_id").orderBy("word")
     w = w.withColumn("_new", (F.col("word") - F.lag("word").over(order) != 1).cast("int"))
     w = w.withColumn("_run", F.sum(F.coalesce("_new", F.lit(0))).over(order))
