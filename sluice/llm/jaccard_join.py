@@ -35,6 +35,8 @@ CLASSES = 1 << 16
 FREQUENT = 4.0
 PIVOTS = 4
 BINS = 256
+#: Smallest keys a row carries, by which most pairs are met under one of their common keys only.
+LOWEST = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -240,10 +242,16 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
 
     labelled = stage(keys.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
-    open_ = stage(labelled.join(mixed, "key").join(sigs.select("sid", "odd"), "sid"), "open")
+    # A pair is passed over under a key if both rows know a smaller key they share. Under the smallest shared key there
+    # is none, so every pair is met. (A key left out above holds one component only, so no pair of two.)
+    lowest = keys.groupBy("sid").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LOWEST).alias("low"))
+    marks = sigs.select("sid", "odd").join(lowest, "sid")
+    open_ = labelled.join(mixed, "key").join(marks, "sid").withColumn("low", F.filter("low", lambda k: k < F.col("key")))
+    open_ = stage(open_, "open")
     x, y = open_.alias("x"), open_.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid")) & (F.col("x.root") != F.col("y.root")) & _near("x", "y", t)
-                   & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * t - 1e-6))
+    rest = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.sid") < F.col("y.sid")) & (F.col("x.root") != F.col("y.root"))
+                   & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * t - 1e-6) & _near("x", "y", t)
+                   & ~F.arrays_overlap("x.low", "y.low"))
             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct())
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stage(rest.join(done, ["a", "b"], "left_anti"), "rest")
