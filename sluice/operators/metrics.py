@@ -11,6 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sluice.functions.timecols import add_seconds, grid_ceil, percent
+from sluice.session import cut_lineage
+
+#: Grid points of ``active_runs`` summed by one window.
+POINTS_PER_CHUNK = 1440
 
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -86,18 +90,39 @@ def active_runs_at(runs: DataFrame, as_of, start: str = "started_at", end: str =
 
 
 def active_runs(runs: DataFrame, step: str = "1 minute", start: str = "started_at", end: str = "ended_at") -> DataFrame:
-    """MET-2 as a series: at every grid point t (multiples of ``step``) the number of runs with
-    start <= t < end. Each run is expanded to the grid points it covers (work is proportional to the output,
-    no self-join, no global ordering) and the points are counted with a partial-aggregated group-by.
-    Points with no active run are absent. Open runs (NULL end) are skipped here; use ``active_runs_at``.
+    """MET-2 as a series: at every grid point t (multiples of ``step``, whole seconds) the number of runs with
+    start <= t < end; an open run (NULL end) stays active. Every point from the first one covered to the last known
+    start or covered point has a row, idle ones too. Runs that end at or before their start cover no point.
+
+    A run adds +1 at its first point and -1 at the first point at or after its end, so a long run costs two rows.
+    The sums per point are staged; running sums are taken inside chunks of points, whose totals give the offsets.
     """
-    step_iv = F.expr(f"INTERVAL {step}")
+    secs = window_seconds(step)
+    some = runs.filter(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start))))
+    anchor = F.lit("1970-01-01 00:00:00").cast(runs.schema[start].dataType)
     # one time-window expression per projection (Spark's rule), hence the two selects
-    s1 = runs.filter(F.col(end).isNotNull()).select(grid_ceil(start, step).alias("first"), F.col(end).alias("_end"))
-    s2 = s1.select("first", "_end", grid_ceil(F.col("_end") - step_iv, step).alias("last"))  # largest point < end
-    pts = F.when(F.col("first") <= F.col("last"), F.sequence(F.col("first"), F.col("last"), step_iv))
-    covered = s2.select(F.explode(pts).alias("at_time"))
-    return covered.groupBy("at_time").agg(F.count(F.lit(1)).cast("long").alias("active_runs"))
+    points = some.select(grid_ceil(start, step).alias("first"), F.col(end).alias("_end"))
+    # a time window drops rows without a time, so an open run is given one for it
+    stop = grid_ceil(F.coalesce("_end", "first"), step)
+    points = points.select("first", F.when(F.col("_end").isNotNull(), stop).alias("stop"))
+    points = points.filter(F.col("stop").isNull() | (F.col("first") < F.col("stop")))
+    steps = F.explode(F.array(F.struct(F.col("first").alias("at"), F.lit(1).alias("d")), F.struct(F.col("stop").alias("at"), F.lit(-1).alias("d"))))
+    deltas = points.select(steps.alias("p")).filter("p.at IS NOT NULL").groupBy(F.timestamp_diff("SECOND", anchor, F.col("p.at")).alias("sec"))
+    deltas = cut_lineage(deltas.agg(F.sum("p.d").alias("d"), F.max("p.d").alias("most"), F.min("p.d").alias("least")), name="active-runs")
+    lo, started, stopped = deltas.agg(F.min("sec"), F.max(F.when(F.col("most") > 0, F.col("sec"))),
+                                      F.max(F.when(F.col("least") < 0, F.col("sec") - secs))).first()
+    n = 0 if lo is None else (max(started, started if stopped is None else stopped) - lo) // secs + 1
+    grid = runs.sparkSession.range(n).withColumn("chunk", F.floor(F.col("id") / POINTS_PER_CHUNK))
+    deltas = deltas.select(F.floor((F.col("sec") - F.lit(lo or 0)) / secs).alias("id"), "d")
+    totals = deltas.groupBy(F.floor(F.col("id") / POINTS_PER_CHUNK).alias("chunk")).agg(F.sum("d").alias("total"))
+    every = runs.sparkSession.range((n + POINTS_PER_CHUNK - 1) // POINTS_PER_CHUNK).withColumnRenamed("id", "chunk")
+    before = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)  # one row per chunk of points
+    offsets = every.join(totals, "chunk", "left").select("chunk", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("chunk").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    series = grid.join(deltas, "id", "left").withColumn("inside", F.coalesce(F.sum("d").over(inside), F.lit(0)))
+    return series.join(offsets, "chunk").select(
+        F.timestamp_add("SECOND", F.col("id") * secs + F.lit(lo or 0), anchor).alias("at_time"),
+        (F.col("offset") + F.col("inside")).cast("long").alias("active_runs"))
 
 
 def records_per_second(runs: DataFrame, window: str = "5 minutes", ts: str = "started_at",
@@ -113,12 +138,13 @@ def records_per_second(runs: DataFrame, window: str = "5 minutes", ts: str = "st
 
 
 def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, alias: str = "quantile",
-                   partitions: int | None = None, max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Exact ``q`` quantile of ``value`` per ``by`` group with linear interpolation (SQL ``quantile_cont``),
     without ever holding a whole group in one task.
 
     1. rows -> (group, value, count) with map-side partial aggregation;
-    2. range-partition those by (group, value): a hot group is split over many partitions, in value order;
+    2. range-partition those by (group, value): a hot group is split over many partitions, in value order. They
+       are staged with their partition's number, because range bounds are sampled anew in every run of the plan;
     3. running counts inside each (partition, group) window: at most one partition's rows;
     4. per (group, partition) totals (a small frame) -> each partition's offset within its group;
     5. keep the at most two rows per group that cover ranks floor(q(n-1)) and ceil(q(n-1)), interpolate.
@@ -129,6 +155,7 @@ def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, alias: st
     v = F.col(value)
     vc = df.filter(v.isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     ranged = vc.repartitionByRange(n_parts, *[F.col(c) for c in by], v).withColumn("_pid", F.spark_partition_id())
+    ranged = cut_lineage(ranged, name="quantile")
     local = ranged.withColumn(
         "_cum", F.sum("_c").over(Window.partitionBy("_pid", *by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)))
     parts = ranged.groupBy(*by, "_pid").agg(F.sum("_c").alias("_pc"))
@@ -138,12 +165,6 @@ def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, alias: st
         (F.sum("_pc").over(wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_pc")).alias("_off"),
         F.sum("_pc").over(wg).alias("_n"),
     )
-    from sluice.operators.silver import row_count_at_most
-
-    # offsets has at most (#groups + #partitions - 1) rows: a count of the group keys alone (partial
-    # aggregation, no values) proves the broadcast bound without running the range pipeline twice
-    if row_count_at_most(df.select(*by).distinct(), max(0, max_broadcast_rows - n_parts)):
-        offsets = F.broadcast(offsets)
     # (joined null-safely below: a NULL group key is a group of its own, as in GROUP BY)
     o = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in by], F.col("_pid").alias("_o_pid"), "_off", "_n")
     cond = [local[c].eqNullSafe(o[f"_o_{c}"]) for c in by] + [local["_pid"] == o["_o_pid"]]

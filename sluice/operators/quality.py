@@ -348,7 +348,7 @@ def validate(df: DataFrame, spec: TableSpec, thresholds: Thresholds = Thresholds
     try:
         return quality_report(df, spec, thresholds, **kwargs)
     except Exception as exc:  # noqa: BLE001 - reported, not raised
-        msg = f"Validation error: {type(exc).__name__}: {str(exc).splitlines()[0][:300]}"
+        msg = f"check failed to run: {type(exc).__name__}: {exc}"
         return df.sparkSession.createDataFrame(
             [(spec.name, "validation_error", None, "error", None, None, False, msg)], REPORT_DDL)
 

@@ -116,7 +116,7 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
     except Exception as exc:  # noqa: BLE001 - isolation: one table's failure never stops the others
         log.warning("failed to ingest %s at %s: %s", table_name, stage, exc)
         log.debug("%s", traceback.format_exc())
-        return TableOutcome(table_name, stage, "failed", None, str(exc).splitlines()[0][:500],
+        return TableOutcome(table_name, stage, "failed", None, f"{type(exc).__name__}: {exc}",
                             started, dt.datetime.now(), report)
 
 

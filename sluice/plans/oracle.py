@@ -179,6 +179,21 @@ def _stream_quality_sql() -> str:
     return head + " UNION ALL ".join(parts)
 
 
+_ACTIVE_RUNS = f"""
+        WITH r AS (SELECT
+              CASE WHEN date_trunc('minute', started_at) = started_at THEN started_at
+                   ELSE date_trunc('minute', started_at) + INTERVAL '1 minute' END AS first_,
+              CASE WHEN date_trunc('minute', ended_at) = ended_at THEN ended_at
+                   ELSE date_trunc('minute', ended_at) + INTERVAL '1 minute' END AS stop_
+            FROM ({_RUNS}) WHERE ended_at IS NULL OR ended_at > started_at),
+        v AS (SELECT * FROM r WHERE stop_ IS NULL OR first_ < stop_),
+        g AS (SELECT unnest(generate_series(min(first_), max(greatest(first_, coalesce(stop_ - INTERVAL '1 minute', first_))),
+                                            INTERVAL '1 minute')) AS at_time FROM v),
+        e AS (SELECT p, sum(d) AS d FROM (SELECT first_ AS p, 1 AS d FROM v UNION ALL
+                                          SELECT stop_, -1 FROM v WHERE stop_ IS NOT NULL) GROUP BY p)
+        SELECT at_time, CAST(sum(coalesce(d, 0)) OVER (ORDER BY at_time) AS BIGINT) AS active_runs
+        FROM g LEFT JOIN e ON p = at_time"""
+
 ORACLE: dict[str, str] = {
     "dq_report_orders": _DQ_ORDERS,
     "dq_rules_customer": _DQ_CUSTOMER,
@@ -314,29 +329,10 @@ ORACLE: dict[str, str] = {
                count(*) AS runs, count(*) FILTER (WHERE status = 'success') AS succeeded,
                {_pct("count(*) FILTER (WHERE status = 'success')", 'count(*)')} AS success_rate
         FROM ({_RUNS}) GROUP BY 1, 2)""",
-    "active_runs": f"""
-        WITH r AS (SELECT started_at, ended_at,
-              CASE WHEN date_trunc('minute', started_at) = started_at THEN started_at
-                   ELSE date_trunc('minute', started_at) + INTERVAL '1 minute' END AS first_,
-              CASE WHEN date_trunc('minute', ended_at - INTERVAL '1 minute') = ended_at - INTERVAL '1 minute'
-                   THEN ended_at - INTERVAL '1 minute'
-                   ELSE date_trunc('minute', ended_at - INTERVAL '1 minute') + INTERVAL '1 minute' END AS last_
-            FROM ({_RUNS}))
-        SELECT at_time, count(*) AS active_runs FROM (
-            SELECT unnest(generate_series(first_, last_, INTERVAL '1 minute')) AS at_time FROM r WHERE first_ <= last_)
-        GROUP BY at_time""",
+    "active_runs": _ACTIVE_RUNS,
     "active_run_bands": f"""
         SELECT *, CASE WHEN active_runs >= 10 THEN 'red' WHEN active_runs >= 5 THEN 'yellow' ELSE 'green' END AS band
-        FROM (WITH r AS (SELECT started_at, ended_at,
-              CASE WHEN date_trunc('minute', started_at) = started_at THEN started_at
-                   ELSE date_trunc('minute', started_at) + INTERVAL '1 minute' END AS first_,
-              CASE WHEN date_trunc('minute', ended_at - INTERVAL '1 minute') = ended_at - INTERVAL '1 minute'
-                   THEN ended_at - INTERVAL '1 minute'
-                   ELSE date_trunc('minute', ended_at - INTERVAL '1 minute') + INTERVAL '1 minute' END AS last_
-            FROM ({_RUNS}))
-        SELECT at_time, count(*) AS active_runs FROM (
-            SELECT unnest(generate_series(first_, last_, INTERVAL '1 minute')) AS at_time FROM r WHERE first_ <= last_)
-        GROUP BY at_time)""",
+        FROM ({_ACTIVE_RUNS})""",
     "active_runs_at": f"""
         SELECT count(*) FILTER (WHERE started_at <= TIMESTAMP '2024-01-15 02:00:00'
                                   AND (ended_at IS NULL OR ended_at > TIMESTAMP '2024-01-15 02:00:00')) AS active_runs

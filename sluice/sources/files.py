@@ -55,7 +55,8 @@ def file_inventory(spark: SparkSession, root: str, suffix: str = ".csv") -> Data
     files = list_files(spark, root, glob=f"*{suffix}")
     rel = F.substring(_strip_scheme(F.col("path")), len(base) + 2, 1 << 20)
     entry = F.substring_index(rel, "/", 1)
-    return files.select(
+    # a table is an entry right below the root that bears the suffix itself; files in other folders are none
+    return files.filter(entry.endswith(suffix)).select(
         "path",
         entry.alias("entry"),
         F.upper(F.replace(entry, F.lit(suffix), F.lit(""))).alias("table_name"),

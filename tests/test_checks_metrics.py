@@ -62,12 +62,30 @@ def test_active_runs_series_matches_brute_force(spark):
         while p < end:
             want[p] = want.get(p, 0) + 1
             p += dt.timedelta(minutes=1)
-    assert got == want
+    assert got == {p: want.get(p, 0) for p in (min(want) + dt.timedelta(minutes=i) for i in range(len(got)))}
+    assert max(got) == max(want)
     at = metrics.active_runs_at(r, T0 + dt.timedelta(minutes=1)).first().active_runs
     assert at == sum(1 for _, _, _, m, d in spec
                      if T0 + dt.timedelta(minutes=m) <= T0 + dt.timedelta(minutes=1) < T0 + dt.timedelta(minutes=m, seconds=d))
 
 
+def test_active_runs_keeps_open_runs_and_idle_points(spark):
+    # closed 0-1 and 5-6, open from 8; one with its end before its start covers nothing
+    rows = [(T0, T0 + dt.timedelta(minutes=1)), (T0 + dt.timedelta(minutes=5), T0 + dt.timedelta(minutes=6)),
+            (T0 + dt.timedelta(minutes=8), None), (T0 + dt.timedelta(minutes=3), T0)]
+    r = spark.createDataFrame(rows, "started_at timestamp_ntz, ended_at timestamp_ntz")
+    got = [x.active_runs for x in metrics.active_runs(r).orderBy("at_time").collect()]
+    assert got == [1, 0, 0, 0, 0, 1, 0, 0, 1]
+    assert metrics.active_runs(r.limit(0)).count() == 0
+
+
+def test_active_runs_long_run_crosses_chunks(spark):
+    r = spark.createDataFrame([(T0, T0 + dt.timedelta(days=3)), (T0 + dt.timedelta(days=1), T0 + dt.timedelta(days=2))],
+                              "started_at timestamp_ntz, ended_at timestamp_ntz")
+    got = [x.active_runs for x in metrics.active_runs(r).orderBy("at_time").collect()]
+    assert got == [1] * 1440 + [2] * 1440 + [1] * 1440
+
+
 def test_exact_and_approximate_quantiles(spark):
     vals = [float(v) for v in range(1, 101)]
     r = _runs(spark, [("a", 1, "success", 0, v) for v in vals])
@@ -107,8 +125,15 @@ def test_exact_quantile_matches_numpy_with_a_hot_group(spark):
             vals = np.array([d[1] for d in data if d[0] == g and d[1] is not None])
             assert abs(got[g] - np.quantile(vals, q)) < 1e-9, (g, q)
         assert "nulls" not in got
-    small = metrics.exact_quantile(df, ["g"], "v", 0.95, partitions=16, max_broadcast_rows=0)
-    assert small.count() == len({d[0] for d in data}) - 1
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        again = {r.g: r.quantile for r in metrics.exact_quantile(df, ["g"], "v", 0.95, partitions=16).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(again) == len({d[0] for d in data}) - 1
+    assert abs(again["hot"] - np.quantile(hot, 0.95)) < 1e-9
 
 
 def test_exact_duration_quantile_keeps_a_null_job(spark):

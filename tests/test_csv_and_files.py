@@ -54,6 +54,8 @@ def test_inventory_tables_required_files_and_objects(spark, tmp_path):
     (raw / "orders.csv").mkdir()
     write(raw / "orders.csv", "part-0.csv", "a\n1\n")
     write(raw / "orders.csv", "part-1.csv", "a\n2\n")
+    (raw / "archive").mkdir()
+    write(raw / "archive", "old.csv", "a\n1\n")  # not right below the root: no table
     inv = files.file_inventory(spark, str(raw))
     assert rows(inv.select("entry", "table_name").distinct()) == [
         ("olist_customers_dataset.csv", "OLIST_CUSTOMERS_DATASET"), ("orders.csv", "ORDERS")]
@@ -64,7 +66,7 @@ def test_inventory_tables_required_files_and_objects(spark, tmp_path):
     with pytest.raises(files.MissingFilesError, match="sellers.csv"):
         files.assert_required_files(req)
     obj = files.list_objects(spark, str(raw), sample=2).first()
-    assert obj.object_count == 5 and len(obj.sample) == 2 and obj.sample == sorted(obj.sample)
+    assert obj.object_count == 6 and len(obj.sample) == 2 and obj.sample == sorted(obj.sample)
 
 
 def test_missing_directory_raises(spark, tmp_path):
