@@ -20,7 +20,7 @@ def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.deduplicate(docs)
+    return jaccard_join.deduplicate(docs, n=5, t=0.8)
 
 
 def _private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,9 +265,9 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
-def deduplicate(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
+def deduplicate(docs: DataFrame, n: int = 5, t: float = 0.8) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the smallest of its group (rows that repeat it stay once); rows
-    without words or without doc_id stay."""
+    without words or without doc_id stay. Five words and 0.8 are the general values; op9's are its own."""
     found = near_duplicates(docs, n, t)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti").dropDuplicates(docs.columns)

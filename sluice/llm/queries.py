@@ -14,7 +14,7 @@ QUERIES = {
     "op6_warc": lambda spark, sf: warc.warc_digest(spark.read.parquet(f"{sf}/pages.parquet")),
     "op7_quality_rules": lambda spark, sf: quality_rules.quality_digest(documents(spark, sf)),
     "op8_token_files": lambda spark, sf: token_files.token_digest(documents(spark, sf)),
-    "op9_jaccard_join": lambda spark, sf: jaccard_join.near_duplicates(documents(spark, sf)),
+    "op9_jaccard_join": lambda spark, sf: jaccard_join.near_duplicates(documents(spark, sf), n=4, t=0.85),
     "op10_sharding": lambda spark, sf: sharding.shard_documents(documents(spark, sf)),
 }
 ORACLE = {}
