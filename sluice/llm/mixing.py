@@ -2,10 +2,12 @@
 
 1. *Targets.* A source's share of all words follows its weight, but no source is asked for more than
    ``max_repeats`` times what it has; what it can't give is shared again among the others by weight.
-2. *Schedule.* Slot i of the mix has the golden-ratio point frac(i / phi). The points map through the
-   cumulative targets to sources, so every stretch of the mix already has the target shares, up to a few slots.
-3. *Blocks.* The documents of a source, shuffled by a hash, form one stream of words that is cut into blocks
-   of equal words. The k-th slot of a source takes its block k, starting over after the last block.
+2. *Blocks.* The documents of a source, shuffled by a hash, form one stream of words that is cut into equal blocks
+   of at most ``BLOCK_WORDS`` words (to a word). A source gets as many slots of the mix as blocks make its target,
+   rounded, at least one.
+3. *Schedule.* Slot i of the mix has the golden-ratio point frac(i / phi). The points, by rank, map through the
+   sources' numbers of slots, so every source gets exactly its slots and every stretch of the mix already has the
+   shares, up to a few slots. The k-th slot of a source takes its block k, starting over after the last block.
 4. Slots and blocks are joined on (source, block).
 """
 
@@ -19,9 +21,9 @@ from pyspark.sql.window import Window
 
 from sluice.llm.common import WORD, running_sum, stage
 
-#: The mix has at most twice as many slots; a block holds total words / SLOTS words, rounded down, at least 1.
-SLOTS = 1 << 17
-#: Cells of [0, 1) by which points meet the sources' intervals.
+#: Words of a block at most, whatever the corpus; a source of fewer words is one block.
+BLOCK_WORDS = 64
+#: Pieces of the slots' ranks by which they meet the sources' intervals.
 CELLS = 4096
 ROWS_PER_CHUNK = 20_000
 INVERSE_PHI = 0.6180339887498949
@@ -51,23 +53,31 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), max_r
                     F.least("_limit", F.coalesce(F.col("_level") * F.col("weight"), F.col("_limit"))).alias("target"))
 
 
-def schedule(targets: DataFrame, total: int, block_words: int) -> DataFrame:
-    """(slot, source, rank): the source of every slot of the mix, and the how-manieth of its source it is."""
-    spark = targets.sparkSession
-    slots = math.ceil(total / block_words) if total else 0
+def source_blocks(targets: DataFrame) -> DataFrame:
+    """``targets`` plus blocks and slots of every source. Block b starts at word floor(b * source_size / blocks)."""
+    t = targets.withColumn("blocks", F.ceil(F.col("source_size") / BLOCK_WORDS).cast("bigint"))
+    slots = F.greatest(F.lit(1), F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("bigint"))
+    return t.withColumn("slots", F.when((F.col("target") > 0) & (F.col("source_size") > 0), slots).otherwise(0))
+
+
+def schedule(shares: DataFrame, slots: int) -> DataFrame:
+    """(slot, source, rank): the source of every slot of the mix, and the how-manieth of its source it is.
+
+    ``shares`` has (source, slots), which add up to ``slots``."""
+    spark = shares.sparkSession
     upto = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    every = Window.partitionBy(F.lit(0))
-    ends = targets.filter("target > 0").withColumn("_cum", F.sum("target").over(upto))
-    ends = ends.withColumn("_hi", F.col("_cum") / F.max("_cum").over(every))
-    spans = (ends.withColumn("_lo", F.coalesce(F.lag("_hi").over(Window.orderBy("_cum", F.col("source").asc_nulls_last())), F.lit(0.0)))
-             .withColumn("cell", F.explode(F.sequence(F.floor(F.col("_lo") * CELLS),
-                                                      F.least(F.floor(F.col("_hi") * CELLS), F.lit(CELLS - 1)))))
+    width = max(1, math.ceil(slots / CELLS))
+    spans = (shares.filter("slots > 0").withColumn("_hi", F.sum("slots").over(upto)).withColumn("_lo", F.col("_hi") - F.col("slots"))
+             .withColumn("cell", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))))
              .select("source", "_lo", "_hi", "cell"))
     x = F.col("slot").cast("double") * F.lit(INVERSE_PHI)
-    points = (spark.range(slots).select(F.col("id").alias("slot")).withColumn("point", x - F.floor(x))
-              .withColumn("cell", F.floor(F.col("point") * CELLS)))
-    drawn = (points.join(spans, "cell").filter("point >= _lo AND point < _hi")
-             .select("slot", "source", F.floor(F.col("slot") / 8192).cast("int").alias("_chunk"), F.lit(1).cast("bigint").alias("_one")))
+    pieces = max(1, math.ceil(slots / ROWS_PER_CHUNK))
+    points = (spark.range(slots).withColumnRenamed("id", "slot").select("slot", (x - F.floor(x)).alias("point"), F.lit(1).cast("bigint").alias("_one"))
+              .withColumn("_key", F.lit(0)).withColumn("_piece", F.floor(F.col("point") * pieces).cast("int")))
+    placed = (running_sum(points, ["_key"], "_piece", ["point", "slot"], "_one", "place")
+              .withColumn("cell", F.floor(F.col("place") / width)))
+    drawn = (placed.join(spans, "cell").filter("place >= _lo AND place < _hi")
+             .select("slot", "source", F.floor(F.col("slot") / 8192).cast("int").alias("_chunk"), "_one"))
     return running_sum(stage(drawn, "slots"), ["source"], "_chunk", ["slot"], "_one", "rank").select("slot", "source", "rank")
 
 
@@ -78,8 +88,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
     * plan: (slot, source, block, row_id, from_word, to_word): the mix itself, slot by slot
 
     size counts the words of the text (null: 0). taken is the number of the row's words in the mix, repeats
-    counted, and never exceeds ``max_repeats`` * size: a slot of a source whose blocks were all used
-    ``max_repeats`` times stays empty. Null sources form one source. Rows without words take nothing.
+    counted, and never exceeds ``max_repeats`` * size: a source has at most ``max_repeats`` slots a block. Null sources form one source. Rows without words take nothing.
     Repeated rows are rows of their own. The order of a source's stream is a hash of doc_id and size, so
     reruns agree. ``keep`` names further columns to hand through (they are staged).
     """
@@ -88,10 +97,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
                        *[F.col(c) for c in keep if c not in mine])
     rows = stage(rows.withColumn("row_id", F.monotonically_increasing_id()), "mix")
-    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    block_words = max(1, total // SLOTS)
+    n = rows.count()
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = stage(source_targets(sizes, weights, max_repeats), "targets")
+    targets = stage(source_blocks(source_targets(sizes, weights, max_repeats)), "targets")
 
     # the shuffled streams: a hash gives the order, its leading part the chunk
     chunks = max(1, math.ceil(n / ROWS_PER_CHUNK))
@@ -99,15 +107,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int
     stream = (rows.filter("size > 0").select("row_id", "doc_id", "source", "size", order.alias("_h"))
               .withColumn("_chunk", F.floor(F.col("_h").cast("double") / float(1 << 63) * chunks).cast("int")))
     stream = running_sum(stream, ["source"], "_chunk", ["_h", "doc_id", "row_id"], "size", "_at")
-    bw = F.lit(block_words)
-    blocks = (stream.select("row_id", "source", "size", "_at",
-                            F.explode(F.sequence(F.floor(F.col("_at") / bw), F.floor((F.col("_at") + F.col("size") - 1) / bw))).alias("block"))
+    parts = targets.select(F.col("source").alias("_s"), F.col("source_size").alias("_n"), F.col("blocks").alias("_blocks"))
+    cut = stream.join(parts, F.col("source").eqNullSafe(F.col("_s")))
+
+    def block_of(word):  # the last block that starts at this word or before it
+        return F.expr(f"((cast({word} as decimal(20, 0)) + 1) * _blocks - 1) div _n")
+
+    def start(b):  # floor(b * _n / _blocks) without large products
+        return F.expr(f"{b} * (_n div _blocks) + ({b} * (_n % _blocks)) div _blocks")
+
+    blocks = (cut.withColumn("block", F.explode(F.sequence(block_of("_at"), block_of("(_at + size - 1)"))))
               .select("source", "block", "row_id",
-                      F.greatest(F.col("block") * bw - F.col("_at"), F.lit(0)).alias("from_word"),
-                      F.least((F.col("block") + 1) * bw - F.col("_at"), F.col("size")).alias("to_word")))
-    counts = targets.select(F.col("source").alias("_s"), F.ceil(F.col("source_size") / bw).alias("_blocks"))
-    slots = schedule(targets, total, block_words)
-    slots = (slots.join(counts, F.col("source").eqNullSafe(F.col("_s"))).filter(F.col("rank") < F.col("_blocks") * max_repeats)
+                      F.greatest(start("block") - F.col("_at"), F.lit(0)).alias("from_word"),
+                      F.least(start("(block + 1)") - F.col("_at"), F.col("size")).alias("to_word")))
+    slots = schedule(targets.select("source", "slots"), targets.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0])
+    slots = (slots.join(parts, F.col("source").eqNullSafe(F.col("_s")))
              .select("slot", "source", (F.col("rank") % F.col("_blocks")).alias("block")))
 
     def on_block(a, b):

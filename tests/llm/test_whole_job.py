@@ -1,6 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
+from collections import Counter
+
 import corpus_pipeline
-from sluice.llm import jaccard_join
+from sluice.llm import jaccard_join, mixing
 
 
 def test_pipeline_drops_a_copy_with_two_words_replaced(spark):
@@ -13,3 +15,34 @@ def test_pipeline_drops_a_copy_with_two_words_replaced(spark):
     kept = corpus_pipeline._near_duplicates(spark, docs, "").collect()
     assert {r.doc_id for r in kept} == {1, 3} == {r.doc_id for r in jaccard_join.deduplicate(docs).collect()}
     assert {r.doc_id for r in jaccard_join.deduplicate(docs, n=4, t=0.85).collect()} == {1, 2, 3}
+
+
+def test_mixing_gives_sources_far_below_a_block_their_target(spark):
+    # words of a source: the first, third and fourth are capped at three times their words
+    sizes = {"a": [7], "b": [60_000] * 5, "c": [30, 8], "d": [1], "e": [70, 90], "f": [500_000, 3, 40]}
+    rows, i = [], 0
+    for s, own in sizes.items():
+        for n in own:
+            rows.append((i, " ".join(["w"] * n), s))
+            i += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out, plan = mixing.mix(docs)
+    r = out.collect()
+    taken, target = Counter(), {x.source: x.target for x in r}
+    for x in r:
+        assert x.taken <= 3 * x.size
+        taken[x.source] += x.taken
+    assert all(abs(taken[s] - target[s]) <= mixing.BLOCK_WORDS / 2 + 1 for s in sizes)
+    assert all(taken[s] == 3 * sum(sizes[s]) for s in "acde")
+    used = Counter()
+    for x in plan.collect():
+        assert x.from_word < x.to_word
+        used[x.row_id] += x.to_word - x.from_word
+    assert used == {x.row_id: x.taken for x in r if x.taken}
+    copies = Counter(x.doc_id for x in mixing.mixed_documents(docs).collect())
+    assert copies[0] == copies[6] == copies[7] == copies[8] == 3
+    # every stretch has the shares
+    order = [x.source for x in sorted(plan.select("slot", "source").distinct().collect(), key=lambda x: x.slot)]
+    share = order.count("f") / len(order)
+    for at in range(0, len(order) - 500, 500):
+        assert abs(order[at:at + 500].count("f") - 500 * share) <= 8
