@@ -28,8 +28,9 @@ MEASURES = {
     "dup_lines": ("n_dup_lines", "n_words", 1000, 100, None),
     "repeats": ("n_repeat_words", "n_words", 1000, 200, None),
 }
-#: A threshold lies this many times (0.95 quantile - median) beyond the median, and the slack on top.
-SPREADS = 4
+#: A threshold lies this many median absolute deviations beyond the median, and the slack on top. Junk reaches neither
+#: while it is less than half of a group; for a normal distribution it is about 4 * (0.95 quantile - median).
+SPREADS = 10
 #: Groups with fewer documents use the sketch of their language, then that of all.
 MIN_DOCS = 50
 
@@ -102,13 +103,19 @@ def merged(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return parts.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quantiles(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, measure, docs, q05, q50, q95): the bucket that holds the ceil(q * docs)-th smallest value."""
+def centres(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, measure, docs, q50, mad): the bucket that holds the median (the ceil(docs / 2)-th smallest value), and
+    the median of the buckets' distances from it."""
     group = Window.partitionBy(*keys, "measure")
-    upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    s = parts.withColumns({"_upto": F.sum("n").over(upto), "_docs": F.sum("n").over(group)})
-    at = {f"q{q:02d}": F.min(F.when(F.col("_upto") * 100 >= F.col("_docs") * q, F.col("bucket"))) for q in (5, 50, 95)}
-    return s.groupBy(*keys, "measure").agg(F.max("_docs").alias("docs"), *[e.alias(k) for k, e in at.items()])
+
+    def median(value: str):
+        upto = F.sum("n").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        return F.when(upto * 2 >= F.col("docs"), F.col(value))
+
+    s = parts.withColumn("docs", F.sum("n").over(group)).withColumn("_mid", median("bucket"))
+    s = s.withColumn("q50", F.min("_mid").over(group)).withColumn("_away", F.abs(F.col("bucket") - F.col("q50")))
+    return s.withColumn("_far", median("_away")).groupBy(*keys, "measure").agg(
+        F.max("docs").alias("docs"), F.max("q50").alias("q50"), F.min("_far").alias("mad"))
 
 
 def thresholds(parts: DataFrame) -> DataFrame:
@@ -120,11 +127,11 @@ def thresholds(parts: DataFrame) -> DataFrame:
     def found(q, keys, tag):
         return q.filter(F.col("docs") >= MIN_DOCS).select(
             *[F.col(k).alias(f"_{tag}_{k}") for k in keys], F.col("measure").alias(f"_{tag}_m"),
-            F.struct("q05", "q50", "q95").alias(f"_{tag}"))
+            F.struct("q50", "mad").alias(f"_{tag}"))
 
     t = measures
     for tag, keys in (("fine", ["lang", "source"]), ("lang", ["lang"]), ("all", [])):
-        q = found(quantiles(parts if tag == "fine" else merged(parts, keys), keys), keys, tag)
+        q = found(centres(parts if tag == "fine" else merged(parts, keys), keys), keys, tag)
         cond = F.col("measure") == F.col(f"_{tag}_m")
         for k in keys:
             cond = cond & F.col(k).eqNullSafe(F.col(f"_{tag}_{k}"))
@@ -136,8 +143,8 @@ def thresholds(parts: DataFrame) -> DataFrame:
         pairs_up += [F.lit(m), F.lit(up)]
         pairs_down += [F.lit(m), F.lit(down).cast("int")]
     above, below = F.create_map(*pairs_up), F.create_map(*pairs_down)
-    t = t.withColumn("hi", F.col("q.q50") + (F.col("q.q95") - F.col("q.q50")) * SPREADS + above[F.col("measure")])
-    t = t.withColumn("lo", F.col("q.q50") - (F.col("q.q50") - F.col("q.q05")) * SPREADS - below[F.col("measure")])
+    t = t.withColumn("hi", F.col("q.q50") + F.col("q.mad") * SPREADS + above[F.col("measure")])
+    t = t.withColumn("lo", F.col("q.q50") - F.col("q.mad") * SPREADS - below[F.col("measure")])
     out = t.groupBy("lang", "source").agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("lo", "hi")))).alias("limits"))
     return out.select(F.col("lang").alias("_t_lang"), F.col("source").alias("_t_source"), "limits")
 

@@ -1,8 +1,12 @@
 """Cases in which an operator once did less than its whole job."""
+import random
 from collections import Counter
 
 import corpus_pipeline
-from sluice.llm import jaccard_join, mixing
+from sluice.llm import jaccard_join, mixing, quality_rules
+from sluice.llm.common import documents
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_pipeline_drops_a_copy_with_two_words_replaced(spark):
@@ -46,3 +50,69 @@ def test_mixing_gives_sources_far_below_a_block_their_target(spark):
     share = order.count("f") / len(order)
     for at in range(0, len(order) - 500, 500):
         assert abs(order[at:at + 500].count("f") - 500 * share) <= 8
+
+
+def brute_kept(rows):
+    """The verdict in plain Python, from all values of a group instead of sketches; rows are dicts."""
+    def value(r, m):
+        num, den, scale = quality_rules.MEASURES[m][:3]
+        return scale * r[num] // r[den]
+
+    def bucket(v):
+        low = max(0, v.bit_length() - 6)
+        return v >> low << low
+
+    def median(x):
+        return sorted(x)[(len(x) + 1) // 2 - 1]
+
+    good, kept = [r for r in rows if not r["base_failed"]], {}
+    for r in rows:
+        ok = not r["base_failed"]
+        for m, (*_, up, down) in quality_rules.MEASURES.items():
+            for keys in (("lang", "source"), ("lang",), ()):
+                x = [bucket(value(g, m)) for g in good if all(g[k] == r[k] for k in keys)]
+                if len(x) >= quality_rules.MIN_DOCS:
+                    mid = median(x)
+                    spread = 10 * median([abs(v - mid) for v in x])
+                    v = value(r, m) if r["n_words"] else None
+                    ok = ok and not (v > mid + spread + up or (down is not None and v < mid - spread - down))
+                    break
+        kept[r["doc_id"]] = ok
+    return kept
+
+
+def test_quality_limits_hold_with_junk_in_a_source(spark):
+    rng, rows = random.Random(5), []
+
+    def add(source, kind="", symbols=0):
+        r = {"doc_id": len(rows), "lang": "en", "source": source, "n_words": 1000, "word_chars": rng.randint(4800, 5200),
+             "n_symbols": symbols + rng.choice([0, 0, 0, 4, 30]), "n_dup_lines": rng.choice([0, 0, 2]), "n_repeat_words": rng.choice([0, 0, 9]),
+             "base_failed": False}
+        r |= {"symbols": {"n_symbols": 800}, "lines": {"n_dup_lines": 600}, "repeats": {"n_repeat_words": 450},
+              "long": {"word_chars": 30_000}, "": {}}[kind]
+        rows.append(r)
+        if kind:
+            junk.add(r["doc_id"])
+
+    junk: set = set()
+    for source, n, share in (("three", 50, 3), ("tenth", 200, 20), ("third", 200, 60), ("clean", 100, 0)):
+        for kind in ("symbols", "lines", "repeats", "long"):
+            for i in range(n):
+                add(f"{source}-{kind}", kind if i < share else "")
+    for _ in range(60):
+        add("code", symbols=rng.randint(300, 400))  # another kind of source, not junk
+    for kind in ("", "", "symbols"):
+        add("tiny", kind)  # judged by its language
+    names = list(rows[0])
+    df = spark.createDataFrame([tuple(r[k] for k in names) for r in rows],
+                               "doc_id long, lang string, source string, n_words long, word_chars long, n_symbols long, "
+                               "n_dup_lines long, n_repeat_words long, base_failed boolean")
+    got = {r.doc_id: r.kept for r in quality_rules.judge(df).collect()}
+    assert {i for i, k in got.items() if not k} == junk
+    assert got == brute_kept(rows)
+
+
+def test_quality_verdict_against_plain_python(spark):
+    rows = [r.asDict() for r in quality_rules.measured(documents(spark, SF)).drop("text").collect()]
+    got = {r.doc_id: r.kept for r in quality_rules.quality_digest(documents(spark, SF)).collect()}
+    assert got == brute_kept(rows) and 0 < sum(got.values()) < len(got)
