@@ -64,7 +64,7 @@ def _set_id(g: np.ndarray) -> int:
 
 
 def gram_sets(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
-    """Per row (doc_id, sid, n_shingles), staged, and the gram counts of the ``CLASSES`` classes over all rows
+    """Per row (doc_id, sid, n_shingles, text_hash), staged, and the gram counts of the ``CLASSES`` classes over all rows
     (an array of fixed size, summed per partition before the shuffle)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,19 +77,19 @@ def gram_sets(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
                     np.add.at(counts, (g >> np.uint64(48)).astype(np.int64), 1)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0), "sid": pa.array([_set_id(g) for g in sets], pa.int64()),
-                "n_shingles": pa.array([len(g) for g in sets], pa.int64()),
+                "n_shingles": pa.array([len(g) for g in sets], pa.int64()), "text_hash": batch.column(2),
                 "class": pa.nulls(len(sets), pa.int32()), "n": pa.nulls(len(sets), pa.int64())})
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({
             "doc_id": pa.nulls(len(seen), pa.int64()), "sid": pa.nulls(len(seen), pa.int64()), "n_shingles": pa.nulls(len(seen), pa.int64()),
-            "class": pa.array(seen, pa.int32()), "n": pa.array(counts[seen], pa.int64())})
+            "text_hash": pa.nulls(len(seen), pa.int64()), "class": pa.array(seen, pa.int32()), "n": pa.array(counts[seen], pa.int64())})
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    out = stage(rows.mapInArrow(scan, "doc_id long, sid long, n_shingles long, class int, n long"), "gram-sets")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    out = stage(rows.mapInArrow(scan, "doc_id long, sid long, n_shingles long, text_hash long, class int, n long"), "gram-sets")
     counts = np.zeros(CLASSES, np.int64)
     for c, k in out.filter("class IS NOT NULL").groupBy("class").agg(F.sum("n")).collect():
         counts[c] = k
-    return out.filter("class IS NULL").select("doc_id", "sid", "n_shingles"), counts
+    return out.filter("class IS NULL").select("doc_id", "sid", "n_shingles", "text_hash"), counts
 
 
 def _size_class(n: int, t: float) -> int:
@@ -200,7 +200,9 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     """
     sets, counts = gram_sets(docs, n)
     freq = np.where(counts > FREQUENT * max(1.0, counts.mean()), 1 + np.log2(np.maximum(counts, 1)).astype(np.int64), 0)
-    some = sets.filter("n_shingles > 0").groupBy("sid", "n_shingles").agg(F.min("doc_id").alias("first"))
+    some = sets.filter("n_shingles > 0").groupBy("sid", "n_shingles").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("at"))
+    some = some.select("sid", "n_shingles", F.col("at.doc_id").alias("first"), F.col("at.text_hash").alias("text_hash"))
     classes = stage(some, "classes")
     shared = docs.sparkSession.sparkContext.broadcast(freq)
 
@@ -230,10 +232,11 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
              .filter((F.col("sid") != F.col("b")) & (F.least("n", "m") >= F.greatest("n", "m") * t - 1e-6))
              .select(F.col("sid").alias("a"), "b").distinct())
     pairs = stage(pairs, "pairs")
-    # one text per class that takes part
-    first = classes.filter("first IS NOT NULL").select("sid", "first")
+    # one text per class that takes part: that of its first row, which may have no doc_id or share it with other texts
+    first = classes.select("sid", "first", "text_hash")
     involved = stage(keys.select("sid").distinct().join(first, "sid"), "involved")
-    texts = (docs.select(F.col("doc_id").cast("bigint").alias("first"), "text").join(involved, "first")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    texts = (rows.join(involved, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("first")))
              .groupBy("sid").agg(F.min("text").alias("text")))
     texts = stage(texts, "texts")
     sigs = stage(_signatures(texts, n), "signatures")

@@ -3,6 +3,8 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+from test_operators import brute_components
+
 from sluice.llm import jaccard_join, mixing, quality_rules
 from sluice.llm.common import documents
 
@@ -116,3 +118,16 @@ def test_quality_verdict_against_plain_python(spark):
     rows = [r.asDict() for r in quality_rules.measured(documents(spark, SF)).drop("text").collect()]
     got = {r.doc_id: r.kept for r in quality_rules.quality_digest(documents(spark, SF)).collect()}
     assert got == brute_kept(rows) and 0 < sum(got.values()) < len(got)
+
+
+def test_jaccard_join_takes_the_text_of_the_class(spark):
+    def words(tag, *changed):
+        return " ".join("x%s%d" % (tag, i) if i in changed else f"{tag}{i}" for i in range(120))
+
+    rows = [(1, words("a")), (1, words("b")), (2, words("a", 5)), (3, words("b", 5)), (1, words("z")),  # two texts under one id
+            (4, words("c", 1, 2, 3)), (None, words("c")), (5, words("c", 100, 101, 102)),  # 4 and 5 meet only by the row without id
+            (None, words("d")), (None, words("d", 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, jaccard_join.near_duplicates(docs, n=4, t=0.85).collect()))
+    assert got == brute_components(docs.collect())
+    assert {c for d, _, c in got if d in (4, 5)} == {4}
