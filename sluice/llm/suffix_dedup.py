@@ -82,25 +82,28 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each():
             for batch in batches:
-                for doc, text, keys in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                for doc, text, keys, part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
                     data = text.as_buffer()
-                    begin, end, least, w = _hashes(data, length)
+                    hashes = _hashes(data, length)
+                    if hashes is None:  # a short text of a doc_id that has a long one
+                        continue
+                    begin, end, least, w = hashes
                     own = np.flatnonzero(np.isin(least, keys.values.to_numpy().view(np.uint64)))
                     # bytes to code points: all but continuation bytes count
                     points = np.zeros(len(data) + 1, np.int64)
                     np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80, out=points[1:])
-                    yield w[own].view(np.int64), np.full(len(own), doc), own, points[begin[own]], points[end[own + length - 1]]
+                    yield w[own].view(np.int64), np.full(len(own), doc), np.full(len(own), part), own, points[begin[own]], points[end[own + length - 1]]
 
-        yield from batches_of(["window", "doc_id", "word", "start", "end"], each())
+        yield from batches_of(["window", "doc_id", "part", "word", "start", "end"], each())
 
-    joined = rows.distinct().join(hits, "doc_id").select("doc_id", "text", "keys").filter(F.length("text") >= length)
-    windows = stage(joined.mapInArrow(extend, "window long, doc_id long, word long, start long, end long"), "windows")
+    joined = rows.distinct().join(hits, "doc_id").select("doc_id", "text", "keys", F.xxhash64("text").alias("part")).filter(F.length("text") >= length)
+    windows = stage(joined.mapInArrow(extend, "window long, doc_id long, part long, word long, start long, end long"), "windows")
     found = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     found = found.select(F.bitwise_not("window").alias("_k"), "first")
     w = windows.join(found, F.bitwise_not(windows["window"]) == F.col("_k"))
-    order = Window.partitionBy("doc_id").orderBy("word")
+    order = Window.partitionBy("doc_id", "part").orderBy("word")  # part: the texts of a doc_id
     w = w.withColumn("_new", (F.col("word") - F.lag("word").over(order) != 1).cast("int"))
     w = w.withColumn("_run", F.sum(F.coalesce("_new", F.lit(0))).over(order))
-    return w.groupBy("doc_id", "_run").agg(
+    return w.groupBy("doc_id", "part", "_run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), (F.count(F.lit(1)) + length - 1).alias("text_words"),
-        F.min("first").alias("first_doc_id")).drop("_run")
+        F.min("first").alias("first_doc_id")).drop("part", "_run")

@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline
 from test_operators import brute_components
 
-from sluice.llm import jaccard_join, mixing, quality_rules
+from sluice.llm import jaccard_join, mixing, quality_rules, suffix_dedup
 from sluice.llm.common import documents
 
 SF = "/root/testdata/sf0.001"
@@ -131,3 +131,16 @@ def test_jaccard_join_takes_the_text_of_the_class(spark):
     got = Counter(map(tuple, jaccard_join.near_duplicates(docs, n=4, t=0.85).collect()))
     assert got == brute_components(docs.collect())
     assert {c for d, _, c in got if d in (4, 5)} == {4}
+
+
+def test_suffix_dedup_with_several_texts_under_one_id(spark):
+    def run(tag, n):
+        return " ".join(f"{tag}{i}" for i in range(n))
+
+    rows = [(1, run("p", 60)), (1, "short text of less than fifty words but of more than fifty characters"),
+            (2, "q " + run("p", 60)), (3, run("p", 55) + " u " + run("r", 50)), (3, "v " + run("r", 70)), (4, run("r", 70))]
+    got = suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    size = lambda tag, n: len(run(tag, n))
+    want = [(1, 0, size("p", 60), 60), (2, 2, 2 + size("p", 60), 60), (3, 0, size("p", 55), 55),
+            (3, size("p", 55) + 3, size("p", 55) + 3 + size("r", 50), 50), (3, 2, 2 + size("r", 70), 70), (4, 0, size("r", 70), 70)]
+    assert sorted((x.doc_id, x.start, x.end, x.text_words) for x in got) == sorted(want)
