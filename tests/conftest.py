@@ -18,12 +18,6 @@ def spark():
     yield s
 
 
-def rows(df, order=None):
-    """Collected rows as plain tuples (sorted when ``order`` is not given)."""
-    out = [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
-    return out if order else sorted(out, key=lambda r: tuple((True, 0) if x is None else (False, x) for x in r))
-
-
 def pytest_configure(config):
     for m in ("unit", "integration", "e2e", "slow", "spark"):
         config.addinivalue_line("markers", f"{m}: {m} tests")

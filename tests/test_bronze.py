@@ -8,7 +8,7 @@ from sluice.functions import legacy_int, record_hash, try_cast_to, upper_trim
 from sluice.operators.bronze import METADATA_COLUMNS, bronze_transform
 from sluice.specs import CUSTOMERS, ORDERS, PAYMENTS, PRODUCTS
 
-from conftest import rows
+from helpers import rows
 
 
 def test_fingerprint_skips_nulls_and_does_not_escape_pipes(spark):

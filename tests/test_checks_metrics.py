@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import checks, metrics
 
-from conftest import rows
+from helpers import rows
 
 T0 = dt.datetime(2024, 1, 15, 10, 0, 0)
 

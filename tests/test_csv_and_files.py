@@ -4,7 +4,7 @@ from sluice.sources import csv as csvsrc
 from sluice.sources import files
 from sluice.specs import Thresholds
 
-from conftest import rows
+from helpers import rows
 
 
 def write(tmp_path, name, text, encoding="utf-8"):

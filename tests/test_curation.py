@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from sluice.operators import gold, ops, silver
 from sluice.specs import TableSpec
 
-from conftest import rows
+from helpers import rows
 
 
 def test_dedup_latest_matches_brute_force_with_a_hot_key(spark):

@@ -3,7 +3,7 @@ import pytest
 from sluice.operators import quality
 from sluice.specs import TableSpec, Thresholds
 
-from conftest import rows
+from helpers import rows
 
 
 def report_map(df):

@@ -9,7 +9,7 @@ from sluice.sources import warehouse
 from sluice.specs import PRESETS, TableSpec
 from sluice.streaming.bronze_stream import stream_bronze, stream_success_rate
 
-from conftest import rows
+from helpers import rows
 
 
 def test_write_modes_count_and_existence(spark, tmp_path):
