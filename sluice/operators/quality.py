@@ -372,7 +372,7 @@ def gate(report: DataFrame, enabled: bool = True) -> list[str]:
     bad = report.filter(~F.col("passed") & F.col("severity").isin("error", "warning")).collect()
     errors = [f"{r.check_name}({r.column_name or ''}): {r.message}" for r in bad if r.severity == "error"]
     if errors:
-        raise QualityGateError("Data quality validation failed: " + "; ".join(errors))
+        raise QualityGateError("load blocked by failed checks: " + "; ".join(sorted(errors)))
     return [f"{r.check_name}({r.column_name or ''}): {r.message}" for r in bad]
 
 

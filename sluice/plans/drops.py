@@ -74,3 +74,30 @@ def raw_drop(spark: SparkSession, sf_dir: str, tables=("region", "nation", "cust
             write_table_csv(df, folder, t)
     _cache[key] = folder
     return folder
+
+
+#: Parts of the drop with differing headers: which rows, the file's columns, and the name its header gives one of them.
+MIXED_PARTS = (
+    ("c_nationkey < 8", ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), {}),
+    ("c_nationkey >= 8 AND c_nationkey < 14", ("c_mktsegment", "c_custkey", "c_acctbal", "c_name", "c_nationkey"), {}),
+    ("c_nationkey >= 14 AND c_nationkey < 20", ("c_custkey", "c_nationkey", "c_name", "c_acctbal"), {}),
+    ("c_nationkey >= 20", ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"), {"c_acctbal": "balance"}),
+)
+
+
+def mixed_header_drop(spark: SparkSession, sf_dir: str) -> str:
+    """``customer`` as one folder of part files with four headers: as the table has it, in another order, without the
+    last column, and with a name the table doesn't have."""
+    path = f"{staging_path(spark, 'raw')}/customer.csv"
+    df = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    for where, columns, renamed in MIXED_PARTS:
+        write_lines(lines_of(df.filter(where).select(*columns)), path, header=",".join(renamed.get(c, c) for c in columns), mode="append")
+    return path
+
+
+def source_drop(spark: SparkSession, tables: dict[str, DataFrame]) -> str:
+    """A raw drop of all-string ``tables`` under their source's file names (``<name>.csv`` folders); returns its folder."""
+    folder = staging_path(spark, "raw")
+    for name, df in tables.items():
+        write_table_csv(df, folder, name)
+    return folder

@@ -21,6 +21,7 @@ from sluice.operators.bronze import batch_id_for, bronze_transform
 from sluice.operators.ops import schema_changes
 from sluice.operators.quality import REPORT_DDL, gate, validate
 from sluice.session import checkpoint_root
+from sluice.sinks.publish import write_audit_publish
 from sluice.sinks.tables import write_table
 from sluice.sources.csv import scan_csv
 from sluice.sources.files import absolute_path, file_inventory
@@ -30,7 +31,8 @@ log = logging.getLogger(__name__)
 
 RUN_LOG_DDL = (
     "run_id string, env string, job string, table_name string, stage string, status string, "
-    "record_count long, error string, started_at timestamp, ended_at timestamp, schema_changes string"
+    "record_count long, error string, started_at timestamp, ended_at timestamp, schema_changes string, "
+    "error_class string"
 )
 
 
@@ -53,6 +55,7 @@ class IngestConfig:
     partition_by_date: bool = True  # Bronze tables partitioned by _processing_date, so day checks prune files
     keep_history: bool = False  # True: a run replaces only its own day's partition; False: full replace
     key_buckets: int | None = None  # bucket Bronze tables on their spec key: later key joins need no shuffle
+    publish: bool = False  # True: write a version, audit it as written, then switch readers to it (sinks.publish)
 
 
 @dataclass
@@ -66,6 +69,7 @@ class TableOutcome:
     ended_at: dt.datetime
     report: DataFrame | None = None
     schema_changes: str | None = None
+    error_class: str | None = None
 
 
 def ensure_database(spark: SparkSession, name: str, location: str) -> None:
@@ -84,10 +88,27 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
         qpath = None
         if cfg.quarantine_root:
             qpath = f"{cfg.quarantine_root.rstrip('/')}/{table_name}_{(cfg.as_of or started).strftime('%Y%m%d_%H%M%S')}"
-        scan = scan_csv(spark, path, table_name, cfg.thresholds, quarantine_path=qpath)
+        scan = scan_csv(spark, path, table_name, cfg.thresholds, quarantine_path=qpath, required=spec.required)
         stage = "transform"
         bronze = bronze_transform(scan.clean, spec, as_of=cfg.as_of,
                                   batch_id=batch_id_for(cfg.as_of or started))
+        if cfg.publish:
+            def audit(written: DataFrame) -> None:
+                nonlocal report
+                if cfg.enable_validation:
+                    report = validate(written, spec, cfg.thresholds)
+                    for w in gate(report):
+                        log.warning("%s: %s", table_name, w)
+
+            def at(name: str) -> None:
+                nonlocal stage
+                stage = name
+
+            root = cfg.location or f"{checkpoint_root(spark)}/sluice/warehouse"
+            ensure_database(spark, cfg.database, f"{root}/{cfg.database}.db")
+            done = write_audit_publish(bronze, f"{cfg.database}.{table_name.lower()}", cfg.run_id, audit, f"{root}/{cfg.database}.db",
+                                       ("_processing_date",) if cfg.partition_by_date else None, on_stage=at)
+            return TableOutcome(table_name, "publish", "success", done.rows, None, started, dt.datetime.now(), report)
         stage = "validate"
         if cfg.enable_validation:
             report = validate(bronze, spec, cfg.thresholds)  # a check that cannot run blocks the load
@@ -116,8 +137,8 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
     except Exception as exc:  # noqa: BLE001 - isolation: one table's failure never stops the others
         log.warning("failed to ingest %s at %s: %s", table_name, stage, exc)
         log.debug("%s", traceback.format_exc())
-        return TableOutcome(table_name, stage, "failed", None, f"{type(exc).__name__}: {exc}",
-                            started, dt.datetime.now(), report)
+        return TableOutcome(table_name, stage, "failed", None, str(exc), started, dt.datetime.now(), report,
+                            error_class=type(exc).__name__)
 
 
 def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = None) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +173,7 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
         spark.conf.set(key, previous)
     run_log = spark.createDataFrame(
         [(cfg.run_id, cfg.env, "bronze_ingest", o.table_name, o.stage, o.status, o.record_count, o.error,
-          o.started_at, o.ended_at, o.schema_changes) for o in outcomes],
+          o.started_at, o.ended_at, o.schema_changes, o.error_class) for o in outcomes],
         RUN_LOG_DDL,
     )
     reports = [o.report for o in outcomes if o.report is not None]
@@ -165,12 +186,14 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
 
 
 def ingest_summary(run_log: DataFrame) -> DataFrame:
-    """AGG-10: per status: tables, rows loaded, table names (sorted) and one error text (the smallest)."""
+    """AGG-10: per status: tables, rows loaded, table names and every error as ``TABLE at stage: text`` (both sorted
+    by table; at most one of each a table)."""
+    error = F.when(F.col("error").isNotNull(), F.concat("table_name", F.lit(" at "), "stage", F.lit(": "), "error"))
     return run_log.groupBy("status").agg(
         F.count(F.lit(1)).cast("long").alias("tables"),
         F.coalesce(F.sum("record_count"), F.lit(0)).cast("long").alias("records"),
         F.array_join(F.sort_array(F.collect_list("table_name")), ",").alias("table_names"),
-        F.min("error").alias("first_error"),  # deterministic pick among the error texts
+        F.array_join(F.sort_array(F.collect_list(error)), "\n").alias("errors"),
     )
 
 

@@ -179,6 +179,60 @@ def _stream_quality_sql() -> str:
     return head + " UNION ALL ".join(parts)
 
 
+_TOO_MANY = """printf('too many corrupt lines: %.2f%% > 5.0%%',
+                   (SELECT CAST(count(*) FILTER (WHERE ((o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
+                           OR (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice < 100000))) AS DOUBLE)
+                           * 100.0 / CAST(count(*) AS DOUBLE) FROM orders))"""
+
+
+def _ingest_run_sql() -> str:
+    ok = [f"SELECT '{t.upper()}' AS table_name, 'write' AS stage, 'success' AS status, (SELECT count(*) FROM {t}) AS record_count, "
+          "CAST(NULL AS VARCHAR) AS error_class, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS VARCHAR) AS schema_changes"
+          for t in ("customer", "nation", "part", "region", "supplier")]
+    return " UNION ALL ".join([*ok, "SELECT 'ORDERS', 'read', 'failed', CAST(NULL AS BIGINT), 'CorruptRecordsError', "
+                               f"{_TOO_MANY}, CAST(NULL AS VARCHAR)"])
+
+
+# customer written as part files with four headers: what each row holds after loading by name
+_MIXED = f"""
+    WITH r AS (SELECT *, CAST(c_nationkey AS INTEGER) AS k FROM (SELECT {_RAW['customer']} FROM customer))
+    SELECT CASE WHEN k < 20 THEN c_custkey END AS c_custkey, CASE WHEN k < 20 THEN c_name END AS c_name,
+           CASE WHEN k < 20 THEN c_nationkey END AS c_nationkey, CASE WHEN k < 20 THEN c_acctbal END AS c_acctbal,
+           CASE WHEN k < 14 THEN c_mktsegment END AS c_mktsegment,
+           CASE WHEN k >= 20 THEN concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment) END AS quarantined_line
+    FROM r"""
+
+
+def _published(name: str, src: str, typed: str, raw: list[str], day: str) -> str:
+    """Bronze rows of a source table: typed columns, metadata, and the fingerprint of the raw values."""
+    return (f"SELECT {typed}, TIMESTAMP '{day} 02:00:00' AS _ingestion_timestamp, '{name}' AS _source_file, DATE '{day}' AS _processing_date, "
+            f"'{day.replace('-', '')}_020000' AS _batch_id, sha256(concat_ws('|', {', '.join(raw)})) AS _record_hash FROM ({src})")
+
+
+_RAW_CUSTOMERS = """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, ' ' || lower(c_mktsegment) || ' ' AS customer_city,
+    CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS customer_state,
+    lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix FROM customer"""
+_RAW_PRODUCTS = """SELECT CAST(p_partkey AS VARCHAR) AS product_id, CAST(p_size AS VARCHAR) AS product_weight_g,
+    CAST(CAST(p_retailprice AS DECIMAL(12,2)) - 950 AS VARCHAR) AS product_length_cm,
+    CASE WHEN p_brand = 'Brand#1' THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS product_height_cm,
+    CAST(p_size * 2 AS VARCHAR) AS product_width_cm FROM part"""
+_RAW_PAYMENTS = """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_linenumber AS VARCHAR) AS payment_sequential,
+    CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS payment_value, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS payment_installments
+    FROM lineitem"""
+_PUBLISH_RUNS = """
+    WITH n AS (SELECT (SELECT count(*) FROM customer) AS c1, (SELECT count(*) FROM customer WHERE NOT c_acctbal < 0) AS c2,
+                      (SELECT count(*) FROM part) AS p1, (SELECT count(*) FROM lineitem) AS l1, (SELECT count(*) FROM orders) AS o2),
+    day1 AS (SELECT CAST(1 AS BIGINT) AS attempt, '20240114' AS run_id, 'OLIST_CUSTOMERS_DATASET' AS table_name, 'publish' AS stage,
+                    'success' AS status, c1 AS record_count, CAST(NULL AS VARCHAR) AS error FROM n
+             UNION ALL SELECT 1, '20240114', 'OLIST_PRODUCTS_DATASET', 'publish', 'success', p1, NULL FROM n
+             UNION ALL SELECT 1, '20240114', 'OLIST_ORDER_PAYMENTS_DATASET', 'publish', 'success', l1, NULL FROM n),
+    day2 AS (SELECT a.attempt, '20240115' AS run_id, 'OLIST_CUSTOMERS_DATASET' AS table_name, 'publish' AS stage, 'success' AS status,
+                    c2 AS record_count, CAST(NULL AS VARCHAR) AS error FROM n, (VALUES (CAST(2 AS BIGINT)), (3)) a(attempt)
+             UNION ALL SELECT a.attempt, '20240115', 'OLIST_ORDERS_DATASET', 'publish', 'success', o2, NULL FROM n, (VALUES (2), (3)) a(attempt)
+             UNION ALL SELECT a.attempt, '20240115', 'OLIST_PRODUCTS_DATASET', 'validate', 'failed', NULL,
+                    'load blocked by failed checks: key_unique(product_id): key is not unique' FROM (VALUES (2), (3)) a(attempt))
+    SELECT * FROM day1 UNION ALL SELECT * FROM day2"""
+
 _ACTIVE_RUNS = f"""
         WITH r AS (SELECT
               CASE WHEN date_trunc('minute', started_at) = started_at THEN started_at
@@ -289,27 +343,32 @@ ORACLE: dict[str, str] = {
     "query_scan": """
         SELECT n.n_name, count(*) AS customers, CAST(sum(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""",
-    "ingest_run": """
-        SELECT 'CUSTOMER' AS table_name, 'write' AS stage, 'success' AS status, (SELECT count(*) FROM customer) AS record_count
-        UNION ALL SELECT 'NATION', 'write', 'success', (SELECT count(*) FROM nation)
-        UNION ALL SELECT 'ORDERS', 'read', 'failed', CAST(NULL AS BIGINT)
-        UNION ALL SELECT 'PART', 'write', 'success', (SELECT count(*) FROM part)
-        UNION ALL SELECT 'REGION', 'write', 'success', (SELECT count(*) FROM region)
-        UNION ALL SELECT 'SUPPLIER', 'write', 'success', (SELECT count(*) FROM supplier)""",
-    "ingest_summary": """
+    "ingest_run": _ingest_run_sql(),
+    "ingest_summary": f"""
         SELECT 'success' AS status, CAST(5 AS BIGINT) AS tables,
                (SELECT count(*) FROM customer) + (SELECT count(*) FROM nation) + (SELECT count(*) FROM part)
                + (SELECT count(*) FROM region) + (SELECT count(*) FROM supplier) AS records,
-               'CUSTOMER,NATION,PART,REGION,SUPPLIER' AS table_names, CAST(NULL AS VARCHAR) AS first_error
-        UNION ALL SELECT 'failed', 1, 0, 'ORDERS',
-            printf('Corrupt records exceed threshold: %.2f%% > 5.0%%',
-                   (SELECT CAST(count(*) FILTER (WHERE ((o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
-                           OR (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_totalprice < 100000))) AS DOUBLE)
-                           * 100.0 / CAST(count(*) AS DOUBLE) FROM orders))""",
-    "post_load_checks": """
-        SELECT 'CUSTOMER' AS table_name, count(*) AS record_count, count(*) > 0 AS passed, count(*) AS fresh_rows FROM customer
-        UNION ALL SELECT 'PART', count(*), count(*) > 0, count(*) FROM part
-        UNION ALL SELECT 'SUPPLIER', count(*), count(*) > 0, count(*) FROM supplier""",
+               'CUSTOMER,NATION,PART,REGION,SUPPLIER' AS table_names, '' AS errors
+        UNION ALL SELECT 'failed', 1, 0, 'ORDERS', 'ORDERS at read: ' || {_TOO_MANY}""",
+    "csv_mixed_headers": _MIXED,
+    "publish_runs": _PUBLISH_RUNS,
+    "published_customers": _published(
+        "OLIST_CUSTOMERS_DATASET", f"SELECT * FROM ({_RAW_CUSTOMERS}) WHERE customer_state IS NOT NULL",
+        "customer_id, upper(trim(customer_city)) AS customer_city, upper(trim(customer_state)) AS customer_state, customer_zip_code_prefix",
+        ["customer_id", "customer_city", "customer_state", "customer_zip_code_prefix"], "2024-01-15"),
+    "published_products": _published(
+        "OLIST_PRODUCTS_DATASET", _RAW_PRODUCTS,
+        ", ".join(["product_id"] + [f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in
+                                    ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")]),
+        ["product_id", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"], "2024-01-14"),
+    "published_payments": _published(
+        "OLIST_ORDER_PAYMENTS_DATASET", _RAW_PAYMENTS,
+        "order_id, payment_sequential, CAST(TRY_CAST(payment_value AS DECIMAL(10,2)) AS DOUBLE) AS payment_value, "
+        "CAST(payment_installments AS INTEGER) AS payment_installments",
+        ["order_id", "payment_sequential", "payment_value", "payment_installments"], "2024-01-14"),
+    "post_load_checks": " UNION ALL ".join(
+        f"SELECT '{t.upper()}' AS table_name, count(*) AS record_count, count(*) > 0 AS passed, count(*) AS fresh_rows FROM {t}"
+        for t in ("customer", "nation", "part", "region", "supplier")),
     "file_inventory": """
         SELECT * FROM (VALUES ('customer.csv', 'CUSTOMER'), ('nation.csv', 'NATION'), ('orders.csv', 'ORDERS'),
             ('part.csv', 'PART'), ('region.csv', 'REGION'), ('supplier.csv', 'SUPPLIER')) t(entry, table_name)""",
@@ -417,7 +476,7 @@ ORACLE: dict[str, str] = {
         SELECT c_custkey,
                regexp_replace(regexp_replace(regexp_replace(c_name, '[A-Z]', 'X', 'g'), '[a-z]', 'x', 'g'), '[0-9]', 'n', 'g') AS c_name,
                sha256('' || c_nationkey) AS c_nationkey,
-               CASE WHEN length(c_acctbal) <= 4 THEN c_acctbal ELSE repeat('*', length(c_acctbal) - 4) || right(c_acctbal, 4) END AS c_acctbal,
+               CASE WHEN length(c_acctbal) <= 4 THEN repeat('*', length(c_acctbal)) ELSE repeat('*', length(c_acctbal) - 4) || right(c_acctbal, 4) END AS c_acctbal,
                CASE WHEN c_mktsegment IS NULL THEN NULL ELSE '****' END AS c_mktsegment
         FROM (SELECT {_RAW['customer']} FROM customer)""",
     "lineage_counts": """

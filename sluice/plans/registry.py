@@ -21,7 +21,7 @@ from sluice.session import session_key, staging_path
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import csv as csvsrc
 from sluice.sources import files, warehouse
-from sluice.specs import CUSTOMERS, ORDERS, PRESETS, PRODUCTS, TableSpec
+from sluice.specs import CUSTOMERS, ORDERS, PRESETS, PRODUCTS, TableSpec, Thresholds
 
 AS_OF = dt.datetime(2024, 1, 15, 2, 0, 0)
 DAY = dt.date(2024, 1, 15)
@@ -162,6 +162,14 @@ def q_corrupt_split(spark, sf):
     return scan.clean
 
 
+def q_csv_mixed_headers(spark, sf):
+    """SRC-4: part files with four headers; every row under its own names, lines below the unknown header as they are."""
+    columns = _t(spark, sf, "customer").columns
+    scan = csvsrc.scan_csv(spark, drops.mixed_header_drop(spark, sf), "CUSTOMER", Thresholds(max_corrupt_percent=100.0),
+                           columns=columns, required=("c_custkey", "c_name"))
+    return scan.staged.withColumnRenamed(csvsrc.CORRUPT, "quarantined_line")
+
+
 def q_corrupt_rate_gate(spark, sf):
     raw = csvsrc.read_raw_csv(spark, _orders_scan(spark, sf))
     one = csvsrc.corrupt_stats(raw)
@@ -230,6 +238,7 @@ _ingest_cache: dict = {}
 def clear_caches() -> None:
     """Forget cached ingest runs (the queries sharing one ingest recompute it next time)."""
     _ingest_cache.clear()
+    _publish_cache.clear()
 
 
 def _bronze_db(sf: str) -> str:
@@ -250,7 +259,7 @@ def _ingest(spark, sf):
 
 def q_ingest_run(spark, sf):
     run_log, _ = _ingest(spark, sf)
-    return run_log.select("table_name", "stage", "status", "record_count")
+    return run_log.select("table_name", "stage", "status", "record_count", "error_class", "error", "schema_changes")
 
 
 def q_ingest_summary(spark, sf):
@@ -261,7 +270,7 @@ def q_ingest_summary(spark, sf):
 def q_post_load_checks(spark, sf):
     """AGG-8 over the tables the ingest run wrote to the catalog (day filter prunes partitions)."""
     _ingest(spark, sf)
-    tables = {t: warehouse.read_table(spark, f"{_bronze_db(sf)}.{t.lower()}") for t in ("CUSTOMER", "PART", "SUPPLIER")}
+    tables = {t: warehouse.read_table(spark, f"{_bronze_db(sf)}.{t.lower()}") for t in ("CUSTOMER", "NATION", "PART", "REGION", "SUPPLIER")}
     counts = checks.record_counts(tables, DAY, check_time=AS_OF).drop("check_time")
     fresh = checks.freshness(tables, DAY).select("table_name", F.col("records_today").alias("fresh_rows"))
     return counts.join(fresh, "table_name", "left")
@@ -514,6 +523,79 @@ def q_stream_csv_ingest(spark, sf):
     return rows_.select(*cols)
 
 
+# --- write, audit, publish: two days of the source's drops through the specs registered under their names -----
+
+DAYS = (dt.datetime(2024, 1, 14, 2, 0, 0), AS_OF)
+
+
+def source_drops(spark, sf):
+    """The raw tables of both days. On the second the customers of negative balance are gone and products of
+    brand 1 come twice, so that their key isn't unique."""
+    customers, products, orders = (f(spark, sf) for f in (ecommerce_customers_raw, ecommerce_products_raw, ecommerce_orders_raw))
+    li = _t(spark, sf, "lineitem")
+    payments = li.select(F.col("l_orderkey").cast("string").alias("order_id"),
+                         F.col("l_linenumber").cast("string").alias("payment_sequential"),
+                         F.col("l_extendedprice").cast("decimal(12,2)").cast("string").alias("payment_value"),
+                         F.col("l_quantity").cast("int").cast("string").alias("payment_installments"))
+    twice = products.join(_t(spark, sf, "part").filter("p_brand = 'Brand#1'").select(F.col("p_partkey").cast("string").alias("product_id")),
+                          "product_id", "left_semi")
+    return (
+        {"olist_customers_dataset": customers, "olist_products_dataset": products, "olist_order_payments_dataset": payments},
+        {"olist_customers_dataset": customers.filter("customer_state IS NOT NULL"),
+         "olist_products_dataset": products.unionByName(twice), "olist_orders_dataset": orders},
+    )
+
+
+_publish_cache: dict = {}
+
+
+def _publish(spark, sf):
+    """Both days ingested with ``publish``; the second day's run is started a second time, as after a lost driver."""
+    key = (session_key(spark), sf)
+    if key not in _publish_cache:
+        db, location = _bronze_db(sf).replace("bronze", "published"), staging_path(spark, "published")
+        logs = []
+        for day, tables in zip(DAYS, source_drops(spark, sf), strict=True):
+            folder = drops.source_drop(spark, tables)
+            for _ in range(2 if day == AS_OF else 1):
+                cfg = IngestConfig(env="base", thresholds=PRESETS["base"], as_of=day, database=db, location=location, publish=True,
+                                   run_id=day.strftime("%Y%m%d"))
+                log, _reports = ingest_all(spark, folder, cfg)
+                logs.append(log)
+        _publish_cache[key] = (db, logs)
+    return _publish_cache[key]
+
+
+def q_publish_runs(spark, sf):
+    """SNK-3, DQ-2: what became of every table in every run; the replay publishes nothing anew and blocks the same table."""
+    _, logs = _publish(spark, sf)
+    out = None
+    for i, log in enumerate(logs):
+        one = log.select(F.lit(i + 1).cast("long").alias("attempt"), "run_id", "table_name", "stage", "status", "record_count", "error")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _published(spark, sf, table):
+    return warehouse.read_table(spark, f"{_publish(spark, sf)[0]}.{table}").withColumn(
+        "_ingestion_timestamp", F.col("_ingestion_timestamp").cast("timestamp_ntz"))
+
+
+def q_published_customers(spark, sf):
+    """The second day's customers, standardised by the spec registered for the file's name."""
+    return _published(spark, sf, "olist_customers_dataset")
+
+
+def q_published_products(spark, sf):
+    """The first day's products, typed by their spec: the second day's version was blocked."""
+    return _published(spark, sf, "olist_products_dataset")
+
+
+def q_published_payments(spark, sf):
+    out = _published(spark, sf, "olist_order_payments_dataset")
+    return out.withColumn("payment_value", F.col("payment_value").cast("double"))
+
+
 EVENTS_SPEC = TableSpec("EVENTS", key=("event_id",), required=("event_id", "ts", "event_type"),
                         allowed_values={"event_type": ("signup", "purchase", "view", "click")},
                         non_negative=("value",), check_duplicates=False)
@@ -546,6 +628,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "type_double": q_type_double,
     "type_int": q_type_int,
     "corrupt_split": q_corrupt_split,
+    "csv_mixed_headers": q_csv_mixed_headers,
     "corrupt_rate_gate": q_corrupt_rate_gate,
     "quarantine": q_quarantine,
     "record_counts": q_record_counts,
@@ -554,6 +637,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "query_scan": q_query_scan,
     "ingest_run": q_ingest_run,
     "ingest_summary": q_ingest_summary,
+    "publish_runs": q_publish_runs,
+    "published_customers": q_published_customers,
+    "published_products": q_published_products,
+    "published_payments": q_published_payments,
     "post_load_checks": q_post_load_checks,
     "file_inventory": q_file_inventory,
     "required_files": q_required_files,

@@ -18,8 +18,8 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -42,8 +42,10 @@ def read_raw_csv(
     path: str,
     columns: list[str] | None = None,
     options: Mapping[str, str] | None = None,
+    check_headers: bool = False,
 ) -> DataFrame:
-    """All-string PERMISSIVE scan with ``_corrupt_record`` (lazy)."""
+    """All-string PERMISSIVE scan with ``_corrupt_record`` (lazy). With ``check_headers`` a file whose header has other
+    names, or the same in another order, fails the scan instead of loading into the wrong names."""
     cols = columns if columns is not None else csv_header(spark, path, options)
     schema = StructType([StructField(c, StringType()) for c in cols] + [StructField(CORRUPT, StringType())])
     return (
@@ -53,6 +55,7 @@ def read_raw_csv(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", "false")
+        .option("enforceSchema", "false" if check_headers else "true")
         .csv(path)
     )
 
@@ -100,6 +103,7 @@ class CsvScan:
     total: int
     corrupt: int
     staged: DataFrame
+    headers: list = field(default_factory=list)  # header groups, where the files' headers differ
 
     @property
     def corrupt_percent(self) -> float:
@@ -131,22 +135,46 @@ def scan_csv(
     thresholds: Thresholds = Thresholds(),
     quarantine_path: str | None = None,
     options: Mapping[str, str] | None = None,
+    columns: Sequence[str] | None = None,
+    required: Sequence[str] = (),
 ) -> CsvScan:
-    """Parse once, stage, gate, quarantine. Raises ``CorruptRecordsError`` when the gate fails."""
-    raw = read_raw_csv(spark, path, options=options)
-    stage = staging_path(spark, "scan", table_name)
-    obs = Observation(f"scan_{uuid.uuid4().hex}")
-    raw.observe(
-        obs, F.count(F.lit(1)).alias("total"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt")
-    ).write.mode("overwrite").parquet(stage)
-    m = obs.get
+    """Parse once, stage, gate, quarantine. Raises ``CorruptRecordsError`` when the gate fails.
+
+    All files must share a header to be read as they are. Spark checks that while it reads; where it finds another
+    header, the files are read again, each by its own (``sources.headers``): columns are mapped by name onto
+    ``columns`` (default: the header most files have), a column a file lacks is NULL unless it is ``required``, and
+    lines below an unknown header are corrupt.
+    """
+    groups: list = []
+    try:
+        first = columns if columns is not None else csv_header(spark, path, options)
+        raw = read_raw_csv(spark, path, list(first), options, check_headers=True)
+        stage, m = _stage_scan(spark, raw, table_name)
+    except Exception as exc:  # noqa: BLE001 - anything but a header that differs is raised again
+        if "CSV header" not in str(exc):
+            raise
+        log.info("%s: headers differ, reading each file by its own", table_name)
+        from sluice.sources.headers import read_csv_by_header
+
+        raw, groups = read_csv_by_header(spark, path, columns, required, options)
+        stage, m = _stage_scan(spark, raw, table_name)
     staged = spark.read.schema(raw.schema).parquet(stage)  # schema known: no footer-reading job
-    scan = CsvScan(table_name, int(m.get("total", 0) or 0), int(m.get("corrupt", 0) or 0), staged)
+    scan = CsvScan(table_name, int(m.get("total", 0) or 0), int(m.get("corrupt", 0) or 0), staged, groups)
     if scan.corrupt > 0:
         if scan.corrupt_percent > thresholds.max_corrupt_percent:
             raise CorruptRecordsError(
-                f"Corrupt records exceed threshold: {scan.corrupt_percent:.2f}% > {thresholds.max_corrupt_percent}%"
+                f"too many corrupt lines: {scan.corrupt_percent:.2f}% > {thresholds.max_corrupt_percent}%"
             )
         if quarantine_path:
             quarantine(scan.corrupt_rows, quarantine_path)
     return scan
+
+
+def _stage_scan(spark: SparkSession, raw: DataFrame, table_name: str) -> tuple[str, dict]:
+    """Write the parsed rows to the shared folder; (path, observed counts)."""
+    stage = staging_path(spark, "scan", table_name)
+    obs = Observation(f"scan_{uuid.uuid4().hex}")
+    raw.observe(
+        obs, F.count(F.lit(1)).alias("total"), F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt")
+    ).write.mode("overwrite").parquet(stage)
+    return stage, obs.get

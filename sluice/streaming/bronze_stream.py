@@ -188,7 +188,7 @@ def stream_ingest_csv(
             gate_ok = st.bad == 0 or share <= th.max_corrupt_percent
             gate_row = spark.createDataFrame(
                 [(spec.name, "corrupt_share", None, "error", share, float(th.max_corrupt_percent), gate_ok,
-                  "ok" if gate_ok else "corrupt records exceed threshold")], REPORT_DDL)
+                  "ok" if gate_ok else "too many corrupt lines")], REPORT_DDL)
             if not gate_ok:
                 write_part(gate_row, reports, epoch)
                 return
