@@ -124,6 +124,18 @@ _RUNS = ("SELECT event_id AS run_id, event_type AS job, user_id AS dag_id, "
          "ts + to_microseconds(CAST(round(value * 1000000.0) AS BIGINT)) AS ended_at, value AS duration_s, "
          "CAST(1 AS BIGINT) AS records FROM events")
 
+
+
+def _window_rates(where: str, lateness: str) -> str:
+    return f"""
+        SELECT time_bucket(INTERVAL '1 day', started_at) AS window_start,
+               time_bucket(INTERVAL '1 day', started_at) + INTERVAL '1 day' AS window_end,
+               count(*) AS runs, count(*) FILTER (WHERE status = 'success') AS succeeded,
+               CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS success_rate,
+               time_bucket(INTERVAL '1 day', started_at) + INTERVAL '1 day' <= (SELECT max(ts) FROM events) - INTERVAL '{lateness}' AS closed
+        FROM ({_RUNS}) WHERE {where} GROUP BY 1, 2"""
+
+
 _CUSTOMER_RAW_NULLS = (f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
                        f"CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal, "
                        f"nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer")
@@ -404,13 +416,15 @@ ORACLE: dict[str, str] = {
         FROM ({_RUNS}) WHERE started_at >= TIMESTAMP '2024-01-14 02:00:00' AND started_at < TIMESTAMP '2024-01-15 02:00:00'
           AND job = 'purchase'
         GROUP BY 1, 2""",
-    "stream_success_rate": f"""
-        SELECT time_bucket(INTERVAL '1 day', started_at) AS window_start,
-               time_bucket(INTERVAL '1 day', started_at) + INTERVAL '1 day' AS window_end,
-               count(*) AS runs, count(*) FILTER (WHERE status = 'success') AS succeeded,
-               CAST(count(*) FILTER (WHERE status = 'success') AS DOUBLE) * 100.0 / CAST(count(*) AS DOUBLE) AS success_rate
-        FROM ({_RUNS}) GROUP BY 1, 2
-        HAVING time_bucket(INTERVAL '1 day', started_at) + INTERVAL '1 day' <= (SELECT max(ts) FROM events)""",
+    "stream_success_rate": _window_rates("true", "12 days"),
+    "stream_rate_without_late": _window_rates("CAST(started_at AS DATE) NOT BETWEEN DATE '2024-01-07' AND DATE '2024-01-12'", "1 day"),
+    "stream_late_runs": f"""
+        SELECT *, time_bucket(INTERVAL '1 day', started_at) AS window_start, 'late' AS reason FROM ({_RUNS})
+        WHERE CAST(started_at AS DATE) BETWEEN DATE '2024-01-07' AND DATE '2024-01-12'""",
+    "stream_repeated_key": """
+        SELECT CAST(0 AS BIGINT) AS arrival, true AS passed, CAST(0 AS BIGINT) AS repeated, count(*) AS orders,
+               count(DISTINCT o_orderkey) AS order_keys, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM orders
+        UNION ALL SELECT 1, false, count(*), NULL, NULL, NULL, NULL FROM orders WHERE o_orderstatus = 'F'""",
     "records_per_second": f"""
         SELECT time_bucket(INTERVAL '5 minutes', started_at) AS window_start, job, CAST(sum(records) AS BIGINT) AS records,
                CAST(sum(records) AS DOUBLE) / 300.0 AS records_per_second

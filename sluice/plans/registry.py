@@ -316,14 +316,66 @@ def q_success_rate_last_24h(spark, sf):
     return metrics.success_rate(recent, "1 hour")
 
 
+def _arriving_events(spark, sf, name, periods):
+    """The events as files that arrive in the order of ``periods`` (first and last day of January 2024)."""
+    path = staging_path(spark, "arrivals", name)
+    ev = _t(spark, sf, "events")
+    for first, last in periods:
+        ev.filter(F.to_date("ts").between(dt.date(2024, 1, first), dt.date(2024, 1, last))).write.mode("append").parquet(path)
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(path)
+
+
 def q_stream_success_rate(spark, sf):
-    from sluice.streaming.bronze_stream import stream_success_rate
+    """MET-1 as a stream of several micro-batches, the second of which runs twice; every window, the last one too."""
+    from sluice.streaming.windows import WindowRates
+
+    runs = metrics.runs_from_events(_arriving_events(spark, sf, "in-order", [(1, 6), (7, 12), (13, 18), (19, 24), (25, 31)]))
+    rates = WindowRates(spark, runs.schema, "1 day", "12 days")
+
+    def twice(batch, epoch):
+        for _ in range(2 if epoch == 1 else 1):
+            rates.merge_batch(batch, epoch)
+
+    rates.run(runs, on_batch=twice)
+    return rates.series()
+
+
+def _late_stream(spark, sf):
+    from sluice.streaming.windows import WindowRates
+
+    runs = metrics.runs_from_events(_arriving_events(spark, sf, "late", [(1, 6), (13, 18), (7, 12), (19, 31)]))
+    rates = WindowRates(spark, runs.schema, "1 day", "1 day")
+    rates.run(runs)
+    return rates
 
-    events = spark.readStream.schema(_t(spark, sf, "events").schema).parquet(f"{sf}/events*.parquet")
-    out = stream_success_rate(spark, metrics.runs_from_events(events), "1 day", "0 seconds")
-    # watermarks need session-zone time; compare the window bounds zone-less, like the source column
-    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.startswith("window_") else F.col(c)
-                        for c in out.columns])
+
+def q_stream_late_runs(spark, sf):
+    """The side output: runs of 7 to 12 January arrive after those of 13 to 18, when their windows are closed."""
+    return _late_stream(spark, sf).side_rows()
+
+
+def q_stream_rate_without_late(spark, sf):
+    return _late_stream(spark, sf).series()
+
+
+def q_stream_repeated_key(spark, sf):
+    """AGG-4 over a stream: each order is one row of its micro-batch, but the orders of status F arrive a second time, so
+    the second arrival's micro-batches fail the gate. The rows that were let in, each once."""
+    from sluice.streaming.bronze_stream import stream_ingest_with_quality
+
+    path = staging_path(spark, "arrivals", "orders")
+    places = {k: staging_path(spark, "stream", "orders", k) for k in ("output", "reports", "checkpoint")}
+    spec = TableSpec("ORDERS", key=("o_orderkey",), check_duplicates=False)
+    o = _t(spark, sf, "orders")
+    for arrival in (o, o.filter("o_orderstatus = 'F'")):  # one scheduled run of the stream, so one micro-batch, each
+        arrival.write.mode("append").parquet(path)
+        rows_, reports = stream_ingest_with_quality(spark, path, o.schema, spec, as_of=AS_OF, batch_id=BATCH, **places)
+    failed = reports.filter("check_name = 'key_unique'").select(
+        F.col("batch_id").alias("arrival"), "passed", F.col("metric").cast("long").alias("repeated"))
+    loaded = rows_.groupBy(F.col("batch_id").alias("arrival")).agg(
+        F.count(F.lit(1)).alias("orders"), F.count_distinct("o_orderkey").alias("order_keys"), F.min("o_orderkey").alias("first_key"),
+        F.max("o_orderkey").alias("last_key"))
+    return failed.join(loaded, "arrival", "left")
 
 
 def q_records_per_second(spark, sf):
@@ -651,6 +703,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "active_run_bands": q_active_run_bands,
     "success_rate_last_24h": q_success_rate_last_24h,
     "stream_success_rate": q_stream_success_rate,
+    "stream_late_runs": q_stream_late_runs,
+    "stream_rate_without_late": q_stream_rate_without_late,
+    "stream_repeated_key": q_stream_repeated_key,
     "records_per_second": q_records_per_second,
     "p95_value": q_p95_value,
     "failure_rate": q_failure_rate,

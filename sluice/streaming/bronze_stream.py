@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from sluice.operators.bronze import bronze_transform
-from sluice.session import staging_path
+from sluice.session import cut_lineage, staging_path
 from sluice.specs import TableSpec
+from sluice.streaming.epochs import EpochStore, KeyState
 
 
 def stream_bronze(
@@ -88,12 +89,13 @@ def stream_ingest_with_quality(
     batch_id: str | None = None,
     max_files_per_trigger: int | None = None,
     thresholds=None,
+    keys_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """STR-1 with the DQ gate: every micro-batch is profiled with ``quality_report`` inside
     ``foreachBatch``; its report rows are stored with the batch id, and the batch's Bronze rows are written
-    only when the report has no failed error. Both writes go to a ``batch_id=<n>`` partition with dynamic
-    overwrite, so a batch replayed after a failure replaces its own output (exactly-once with the
-    checkpoint). Returns (Bronze rows, reports) as batch frames.
+    only when the report has no failed error. A key must be unique over all accepted micro-batches: their keys are
+    kept as digests under ``keys_path``. Every write is a whole folder ``batch_id=<n>``, so a batch replayed after a
+    failure replaces its own output (exactly-once with the checkpoint). Returns (Bronze rows, reports) as batch frames.
     """
     from sluice.operators.quality import REPORT_DDL, quality_report
     from sluice.specs import Thresholds
@@ -106,31 +108,39 @@ def stream_ingest_with_quality(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     bronze = bronze_transform(reader.load(source), spec, as_of=as_of, batch_id=batch_id)
+    out = EpochStore(spark, output, bronze.schema, "batch_id")
+    reps = EpochStore(spark, reports, REPORT_DDL, "batch_id")
+    keys = _key_state(spark, spec, bronze.columns, keys_path or f"{output.rstrip('/')}_keys")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        rows_ = quality_report(batch, spec, th).collect()  # small local rows: the gate decides in Python
-        rep = spark.createDataFrame(rows_, REPORT_DDL).withColumn("batch_id", F.lit(epoch).cast("long"))
-        (rep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(reports))
-        if not any(r.severity == "error" and not r.passed for r in rows_):
-            (batch.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(output))
+        rows_ = _with_known_keys(quality_report(batch, spec, th).collect(), keys, batch, epoch)  # one row a check
+        reps.put(spark.createDataFrame(rows_, REPORT_DDL), epoch)
+        if not any(r[3] == "error" and not r[6] for r in rows_):
+            out.put(batch, epoch)
+            if keys:
+                keys.accept(batch, epoch)
 
     q = (bronze.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    from sluice.operators.quality import REPORT_DDL
+    return out.read(), reps.read()
 
-    def read_or_empty(path: str, ddl):
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - nothing written yet (no batch, or every batch gated)
-            return spark.createDataFrame([], ddl)
 
-    rows_schema = StructType(bronze.schema.fields).add("batch_id", "long")
-    return read_or_empty(output, rows_schema), read_or_empty(reports, REPORT_DDL + ", batch_id long")
+def _key_state(spark: SparkSession, spec: TableSpec, columns: list[str], path: str) -> KeyState | None:
+    """The keys of earlier micro-batches, if the spec has a key and the rows hold it."""
+    return KeyState(spark, path, spec.key) if spec.key and set(spec.key) <= set(columns) else None
+
+
+def _with_known_keys(rows: list, keys: KeyState | None, batch: DataFrame, epoch: int) -> list[tuple]:
+    """The report's rows, the key check counting keys of earlier micro-batches too."""
+    if keys is None:
+        return [tuple(r) for r in rows]
+    known = keys.known(batch, epoch)
+    return [tuple(r) if r.check_name != "key_unique" or not known else
+            (r.table_name, r.check_name, r.column_name, r.severity, r.metric + known, r.threshold, False, "key is not unique")
+            for r in rows]
 
 
 def stream_ingest_csv(
@@ -146,17 +156,16 @@ def stream_ingest_csv(
     as_of: dt.datetime | None = None,
     batch_id: str | None = None,
     max_files_per_trigger: int | None = None,
+    keys_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The CSV ingest as a stream: raw ``*.csv`` files arriving under ``source`` (header line per file).
 
-    Per micro-batch (its size bounded by ``max_files_per_trigger``) in ``foreachBatch``:
-    persist the parsed batch once (which also makes the corrupt column readable on its own); gate on the
-    batch's corrupt share; quarantine corrupt lines; Bronze projection; DQ report; write rows only when
-    no error failed. Every write targets the batch's own ``batch_id`` partition with dynamic overwrite,
-    so a replayed batch replaces its output (exactly-once with the checkpoint). A gated batch leaves a
-    report row ``corrupt_share`` and no data. Returns (Bronze rows, reports, quarantined lines).
+    Per micro-batch (its size bounded by ``max_files_per_trigger``) in ``foreachBatch``: stage the parsed batch in the
+    shared folder; gate on its corrupt share; quarantine corrupt lines; Bronze projection; DQ report, whose key check
+    covers all accepted micro-batches; write rows only when no error failed. Every write is the batch's own
+    ``batch_id=<n>`` folder, so a replayed batch replaces its output (exactly-once with the checkpoint). A gated batch
+    leaves a report row ``corrupt_share`` and no data. Returns (Bronze rows, reports, quarantined lines).
     """
-    from pyspark import StorageLevel
     from pyspark.sql.types import StringType, StructField
 
     from sluice.operators.quality import REPORT_DDL, quality_report
@@ -176,46 +185,33 @@ def stream_ingest_csv(
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(source)
 
-    def write_part(df: DataFrame, path: str, epoch: int) -> None:
-        (df.withColumn("batch_id", F.lit(epoch).cast("long")).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    empty = spark.createDataFrame([], StructType(schema.fields[:-1]))
+    bronze_schema = bronze_transform(empty, spec, as_of=as_of, batch_id=batch_id).schema
+    out = EpochStore(spark, output, bronze_schema, "batch_id")
+    reps = EpochStore(spark, reports, REPORT_DDL, "batch_id")
+    bad_lines = EpochStore(spark, quarantine_root, "line string", "batch_id")
+    keys = _key_state(spark, spec, bronze_schema.names, keys_path or f"{output.rstrip('/')}_keys")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            st = b.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT).isNotNull()).alias("bad")).first()
-            share = st.bad * 100.0 / st.n if st.n else 0.0
-            gate_ok = st.bad == 0 or share <= th.max_corrupt_percent
-            gate_row = spark.createDataFrame(
-                [(spec.name, "corrupt_share", None, "error", share, float(th.max_corrupt_percent), gate_ok,
-                  "ok" if gate_ok else "too many corrupt lines")], REPORT_DDL)
-            if not gate_ok:
-                write_part(gate_row, reports, epoch)
-                return
-            if st.bad:
-                write_part(b.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line")),
-                           quarantine_root, epoch)
+        b = cut_lineage(batch, spark, name="csv-batch")  # parsed once; on disk the corrupt column reads on its own
+        st = b.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(CORRUPT).isNotNull()).alias("bad")).first()
+        share = st.bad * 100.0 / st.n if st.n else 0.0
+        gate_ok = st.bad == 0 or share <= th.max_corrupt_percent
+        rep_rows = [(spec.name, "corrupt_share", None, "error", share, float(th.max_corrupt_percent), gate_ok,
+                     "ok" if gate_ok else "too many corrupt lines")]
+        if gate_ok:
+            bad_lines.put(b.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line")), epoch)
             clean = b.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
             bronze = bronze_transform(clean, spec, as_of=as_of, batch_id=batch_id)
-            rep_rows = gate_row.collect() + quality_report(bronze, spec, th).collect()  # small local rows
-            write_part(spark.createDataFrame(rep_rows, REPORT_DDL), reports, epoch)
-            if not any(r.severity == "error" and not r.passed for r in rep_rows):
-                write_part(bronze, output, epoch)
-        finally:
-            b.unpersist()
+            rep_rows += _with_known_keys(quality_report(bronze, spec, th).collect(), keys, bronze, epoch)  # one row a check
+        reps.put(spark.createDataFrame(rep_rows, REPORT_DDL), epoch)
+        if not any(r[3] == "error" and not r[6] for r in rep_rows):
+            out.put(bronze, epoch)
+            if keys:
+                keys.accept(bronze, epoch)
 
     q = raw.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-
-    def read_or_empty(path: str, ddl):
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - nothing written yet
-            return spark.createDataFrame([], ddl)
-
-    rows_schema = StructType(bronze_transform(spark.createDataFrame([], StructType(schema.fields[:-1])), spec,
-                                              as_of=as_of, batch_id=batch_id).schema.fields).add("batch_id", "long")
-    return (read_or_empty(output, rows_schema), read_or_empty(reports, REPORT_DDL + ", batch_id long"),
-            read_or_empty(quarantine_root, "line string, batch_id long"))
+    return out.read(), reps.read(), bad_lines.read()
