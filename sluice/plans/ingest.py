@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.operators.bronze import batch_id_for, bronze_transform
 from sluice.operators.ops import schema_changes
-from sluice.operators.quality import REPORT_DDL, gate, validate
+from sluice.operators.isolated import validate_each
+from sluice.operators.quality import REPORT_DDL, gate
 from sluice.session import checkpoint_root
 from sluice.sinks.publish import write_audit_publish
 from sluice.sinks.tables import write_table
@@ -96,7 +97,7 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
             def audit(written: DataFrame) -> None:
                 nonlocal report
                 if cfg.enable_validation:
-                    report = validate(written, spec, cfg.thresholds)
+                    report = validate_each(written, spec, cfg.thresholds)
                     for w in gate(report):
                         log.warning("%s: %s", table_name, w)
 
@@ -111,7 +112,7 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
             return TableOutcome(table_name, "publish", "success", done.rows, None, started, dt.datetime.now(), report)
         stage = "validate"
         if cfg.enable_validation:
-            report = validate(bronze, spec, cfg.thresholds)  # a check that cannot run blocks the load
+            report = validate_each(bronze, spec, cfg.thresholds)  # a check that cannot run blocks the load
             for w in gate(report):
                 log.warning("%s: %s", table_name, w)
         stage = "write"

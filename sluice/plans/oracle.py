@@ -84,6 +84,59 @@ _DQ_PART = dq_sql("part", "SELECT * FROM part", _PART_COLS, ["p_partkey"], ["p_p
                   nonneg=["p_size", "p_retailprice"])
 
 
+def _isolated_sql() -> str:
+    """The report on ``orders`` with two more columns whose names differ in case, and three checks that can't run."""
+    cols = {**{c: c for c in _ORDERS_COLS}, "Note": "o_orderpriority", "note": "o_custkey"}
+    src = f"WITH src AS ({_ORDERS_NULLS}), s AS (SELECT *, (SELECT count(*) FROM src) AS n FROM (SELECT "
+    src += ", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS n{i}" for i, c in enumerate(cols.values()))
+    src += (", count(*) FILTER (WHERE o_orderstatus <> 'F') AS bad_status, count(*) FILTER (WHERE o_totalprice < 0) AS negative, "
+            "count(*) FILTER (WHERE NOT coalesce(o_orderdate >= TIMESTAMP '1995-01-01', false)) AS old, "
+            "count(*) - count(DISTINCT o_orderkey) AS extra FROM src)), "
+            "v AS (SELECT string_agg(o_orderstatus || ' (' || k || ')', ', ' ORDER BY k DESC, o_orderstatus) AS shown FROM "
+            "(SELECT o_orderstatus, count(*) AS k FROM src WHERE o_orderstatus <> 'F' GROUP BY 1 ORDER BY k DESC, 1 LIMIT 2)) ")
+
+    def row(check, col, sev, metric, thr, passed, message):
+        col_sql = "CAST(NULL AS VARCHAR)" if col is None else f"'{col}'"
+        return (f"SELECT 'orders' AS table_name, '{check}' AS check_name, {col_sql} AS column_name, '{sev}' AS severity, "
+                f"CAST({metric} AS DOUBLE) AS metric, CAST({thr} AS DOUBLE) AS threshold, {passed} AS passed, {message} AS message FROM s, v")
+
+    def counted(check, col, sev, n, text):
+        return row(check, col, sev, n, 0, f"{n} = 0", f"CASE WHEN {n} = 0 THEN 'ok' ELSE {text} END")
+
+    def broken(check, col, why):
+        return row(check, col, "error", "NULL", "NULL", "false", f"'check could not run: {why}'")
+
+    out = [row("column_count", None, "error", len(cols), 0, "true", "'ok'"), row("duplicate_columns", None, "error", 0, 0, "true", "'ok'"),
+           row("case_clash_columns", "note", "warning", 1, 0, "false", "'column names differ only in case'"),
+           row("required_column", "o_orderkey", "error", 1, 1, "true", "'ok'"),
+           row("record_count", None, "error", "n", 0, "n > 0", "CASE WHEN n > 0 THEN 'ok' ELSE 'table is empty' END")]
+    for i, c in enumerate(cols):
+        pct = _pct(f"n{i}", "n")
+        out.append(row("null_count", c, "metric", f"n{i}", "NULL", "true", "'ok'"))
+        out.append(row("null_percent", c, "warning", pct, 10, f"({pct}) <= 10.0",
+                       f"CASE WHEN ({pct}) <= 10.0 THEN 'ok' ELSE 'NULL share above threshold' END"))
+    out += [counted("allowed_values", "o_orderstatus", "warning", "bad_status", "'values outside the allowed set: ' || shown"),
+            broken("allowed_values", "clerk", "no such column"),
+            counted("non_negative", "o_totalprice", "warning", "negative", "'negative values found'"),
+            broken("non_negative", "o_orderpriority", "CAST_INVALID_INPUT"),
+            counted("rule", "recent", "error", "old", "'rows break the rule'"),
+            broken("rule", "unknown", "UNRESOLVED_COLUMN.WITH_SUGGESTION"),
+            counted("key_unique", "o_orderkey", "error", "extra", "'key is not unique'"),
+            row("distinct_rows", None, "metric", "n", "NULL", "true", "'ok'"),
+            row("duplicate_rows", None, "warning", 0, 0, "true", "'ok'"), row("duplicate_percent", None, "warning", 0, 0, "true", "'ok'")]
+    return src + " UNION ALL ".join(out)
+
+
+def _offending_sql(top: int) -> str:
+    columns = {"l_returnflag": ("l_returnflag", "A"), "l_shipdate": ("CAST(CAST(l_shipdate AS DATE) AS VARCHAR)", "2000-01-01"),
+               "l_linestatus": ("l_linestatus", "F")}
+    counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {sql} AS value, count(*) AS row_count FROM lineitem WHERE {sql} <> '{ok}' GROUP BY 2"
+                                for c, (sql, ok) in columns.items())
+    return f"""
+        SELECT 'allowed_values' AS check_name, column_name, value, row_count, place FROM (
+            SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY row_count DESC, value) AS place FROM ({counts})) WHERE place <= {top}"""
+
+
 _META = ["_ingestion_timestamp", "_source_file", "_processing_date", "_batch_id", "_record_hash"]
 _STATUSES = ["delivered", "shipped", "processing", "canceled", "unavailable", "invoiced", "created", "approved"]
 # typed Bronze rows of the e-commerce tables fed from driver tables (the key is unique, so whole-row
@@ -278,6 +331,8 @@ ORACLE: dict[str, str] = {
         ["product_id", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"] + _META,
         ["product_id"], ["product_id"],
         nonneg=["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]),
+    "dq_isolated": _isolated_sql(),
+    "offending_values": _offending_sql(7),
     "null_profile": _null_profile_sql(),
     "duplicate_profile": """
         SELECT CAST(sum(n) AS BIGINT) AS row_count, count(*) AS distinct_count, CAST(sum(n - 1) AS BIGINT) AS duplicate_count

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.operators import checks, gold, metrics, ops, quality, silver
+from sluice.operators import checks, gold, isolated, metrics, ops, quality, silver
 from sluice.functions.casts import try_cast_to
 from sluice.operators.bronze import bronze_transform, standardize
 from sluice.plans import drops
@@ -68,6 +68,25 @@ def q_dq_rules_part(spark, sf):
     return quality.quality_report(_t(spark, sf, "part"), PART_SPEC)
 
 
+#: A spec and rules of which some can't run: the priority is text, ``clerk`` is missing, ``no_such`` too.
+BROKEN_SPEC = TableSpec("orders", key=("o_orderkey",), required=("o_orderkey",), allowed_values={"o_orderstatus": ("F",), "clerk": ("x",)},
+                        non_negative=("o_totalprice", "o_orderpriority"))
+BROKEN_RULES = {"recent": "o_orderdate >= timestamp'1995-01-01 00:00:00'", "unknown": "no_such > 1"}
+
+
+def q_dq_isolated(spark, sf):
+    """DQ-1: three broken checks and two names that differ in case only; every other check gives its row."""
+    o = _orders_with_nulls(spark, sf).select("*", F.col("o_orderpriority").alias("Note"), F.col("o_custkey").alias("note"))
+    return isolated.isolated_report(o, BROKEN_SPEC, rules=BROKEN_RULES, top=2)
+
+
+def q_offending_values(spark, sf):
+    """AGG-5: the most frequent offending values of three columns of lineitem, in one scan."""
+    spec = TableSpec("lineitem", allowed_values={"l_returnflag": ("A",), "l_shipdate": ("2000-01-01",), "l_linestatus": ("F",)})
+    li = _t(spark, sf, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate").cast("string"))
+    return isolated.offending_values(li, spec, top=7)
+
+
 def q_null_profile(spark, sf):
     return quality.null_profile(_orders_with_nulls(spark, sf))
 
@@ -668,6 +687,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ecommerce_customers_report": q_ecommerce_customers_report,
     "ecommerce_orders_report": q_ecommerce_orders_report,
     "ecommerce_products_report": q_ecommerce_products_report,
+    "dq_isolated": q_dq_isolated,
+    "offending_values": q_offending_values,
     "null_profile": q_null_profile,
     "duplicate_profile": q_duplicate_profile,
     "key_uniqueness": q_key_uniqueness,
