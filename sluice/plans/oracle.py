@@ -189,6 +189,38 @@ def _window_rates(where: str, lateness: str) -> str:
         FROM ({_RUNS}) WHERE {where} GROUP BY 1, 2"""
 
 
+def _trailing_sql(length: str, step: str, seconds: float, by: str = "") -> str:
+    """Every pane of a group between its first and last; a range frame of the window's length over panes."""
+    key, part = (f"{by}, ", f"PARTITION BY {by} ") if by else ("", "")
+    using = f"({by}, pane)" if by else "(pane)"
+    return f"""
+        WITH p AS (SELECT {key}time_bucket(INTERVAL '{step}', started_at) AS pane, count(*) AS runs,
+                          count(*) FILTER (WHERE status = 'success') AS succeeded, count(*) FILTER (WHERE status = 'failed') AS failed,
+                          sum(records) AS records FROM ({_RUNS}) GROUP BY ALL),
+        g AS (SELECT {key}unnest(generate_series(min(pane), max(pane), INTERVAL '{step}')) AS pane FROM p {'GROUP BY ' + by if by else ''}),
+        d AS (SELECT {key}pane, coalesce(runs, 0) AS runs, coalesce(succeeded, 0) AS succeeded, coalesce(failed, 0) AS failed,
+                     coalesce(records, 0) AS records FROM g LEFT JOIN p USING {using}),
+        w AS (SELECT {key}pane + INTERVAL '{step}' AS at_time, CAST(sum(runs) OVER f AS BIGINT) AS runs, CAST(sum(succeeded) OVER f AS BIGINT) AS succeeded,
+                     CAST(sum(failed) OVER f AS BIGINT) AS failed, CAST(sum(records) OVER f AS BIGINT) AS records FROM d
+              WINDOW f AS ({part}ORDER BY pane RANGE BETWEEN INTERVAL '{length}' PRECEDING AND CURRENT ROW))
+        SELECT *, CASE WHEN runs > 0 THEN CAST(succeeded AS DOUBLE) * 100.0 / CAST(runs AS DOUBLE) END AS success_rate,
+               CAST(records AS DOUBLE) / {seconds} AS records_per_second, CAST(failed AS DOUBLE) / {seconds} AS failures_per_second FROM w"""
+
+
+def _p95_states_sql() -> str:
+    """From the runs themselves, at each grain: the largest value of the 1 % bucket that holds the rank."""
+    grains = " UNION ALL ".join(f"SELECT '{g}' AS grain, time_bucket(INTERVAL '{g}', started_at) AS pane_start, job, duration_s AS v FROM ({_RUNS})"
+                                for g in ("5 minutes", "1 hour", "1 day"))
+    return f"""
+        WITH r AS (SELECT grain, pane_start, job, v, CASE WHEN v = 0 THEN 0 WHEN v > 0 THEN ceil(ln(v) / ln(1.01::DOUBLE)) + 1048576
+                          ELSE -ceil(ln(-v) / ln(1.01::DOUBLE)) - 1048576 END AS bucket FROM ({grains})),
+        s AS (SELECT grain, pane_start, job, bucket, count(*) AS n, max(v) AS high FROM r GROUP BY ALL),
+        c AS (SELECT *, sum(n) OVER (PARTITION BY grain, pane_start, job ORDER BY bucket) AS upto,
+                     sum(n) OVER (PARTITION BY grain, pane_start, job) AS runs FROM s)
+        SELECT grain, pane_start, job, CAST(runs AS BIGINT) AS runs, high AS p95 FROM c
+        WHERE upto > floor(0.95::DOUBLE * (runs - 1)) AND upto - n <= floor(0.95::DOUBLE * (runs - 1))"""
+
+
 _CUSTOMER_RAW_NULLS = (f"SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
                        f"CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal, "
                        f"nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer")
@@ -488,6 +520,9 @@ ORACLE: dict[str, str] = {
         SELECT time_bucket(INTERVAL '1 day', started_at) AS window_start, job, count(*) AS runs,
                round(quantile_cont(duration_s, 0.95), 6) AS p95
         FROM ({_RUNS}) GROUP BY 1, 2""",
+    "p95_states": _p95_states_sql(),
+    "trailing_rates": _trailing_sql("55 minutes", "5 minutes", 3600.0),
+    "trailing_rates_by_job": _trailing_sql("23 hours", "1 hour", 86400.0, "job"),
     "failure_rate": f"""
         SELECT time_bucket(INTERVAL '1 hour', started_at) AS window_start, dag_id, count(*) AS runs,
                count(*) FILTER (WHERE status = 'failed') AS failures,

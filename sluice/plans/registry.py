@@ -12,12 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.operators import checks, gold, isolated, metrics, ops, quality, silver
+from sluice.operators import checks, gold, isolated, metrics, ops, panes, quality, silver
 from sluice.functions.casts import try_cast_to
 from sluice.operators.bronze import bronze_transform, standardize
 from sluice.plans import drops
 from sluice.plans.ingest import IngestConfig, ingest_all, ingest_summary
-from sluice.session import session_key, staging_path
+from sluice.session import cut_lineage, session_key, staging_path
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import csv as csvsrc
 from sluice.sources import files, warehouse
@@ -407,6 +407,26 @@ def q_p95_value(spark, sf):
     return q.withColumn("p95", F.round("p95", 6))
 
 
+def q_trailing_rates(spark, sf):
+    """MET-1/3/5 over a trailing hour at every 5 minutes, idle panes included."""
+    return panes.trailing_rates(_runs(spark, sf), "1 hour", "5 minutes")
+
+
+def q_trailing_rates_by_job(spark, sf):
+    return panes.trailing_rates(_runs(spark, sf), "1 day", "1 hour", by=["job"])
+
+
+def q_p95_states(spark, sf):
+    """MET-4: 5-minute states, stored; hours from the stored panes, days from the hours."""
+    five = cut_lineage(panes.quantile_states(_runs(spark, sf), "5 minutes"), name="p95-states")
+    hour = cut_lineage(panes.merge_states(five, "1 hour"), name="p95-states")
+    out = None
+    for grain, states in (("5 minutes", five), ("1 hour", hour), ("1 day", panes.merge_states(hour, "1 day"))):
+        one = panes.state_quantile(states, 0.95, alias="p95").withColumn("grain", F.lit(grain))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_failure_rate(spark, sf):
     return metrics.failure_rate(_runs(spark, sf), "1 hour")
 
@@ -729,6 +749,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_repeated_key": q_stream_repeated_key,
     "records_per_second": q_records_per_second,
     "p95_value": q_p95_value,
+    "p95_states": q_p95_states,
+    "trailing_rates": q_trailing_rates,
+    "trailing_rates_by_job": q_trailing_rates_by_job,
     "failure_rate": q_failure_rate,
     "run_durations": q_run_durations,
     "dq_series": q_dq_series,
