@@ -552,6 +552,25 @@ ORACLE: dict[str, str] = {
                     WHEN NOT coalesce(l_returnflag <> 'R', false) THEN 'not_returned' END AS _rejected_by,
                count(*) AS rows
         FROM lineitem GROUP BY 1""",
+    "lookup_skewed": """
+        WITH f AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN CAST(1 AS BIGINT) ELSE l_partkey END AS l_partkey, l_quantity
+                   FROM lineitem),
+        r AS (SELECT p_partkey, p_name || CASE WHEN p_retailprice > 1000 THEN ' v2' ELSE '' END AS p_name, p_brand FROM part WHERE p_brand <> 'Brand#3')
+        SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, coalesce(p_name, 'part ' || l_partkey) AS p_name,
+               coalesce(p_brand, 'unknown') AS p_brand, p_partkey IS NOT NULL AS found FROM f LEFT JOIN r ON l_partkey = p_partkey""",
+    "upsert_latest": """
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+        WHERE rn = 1""",
+    "append_runs": "SELECT *, 'run-' || lower(l_returnflag) AS run_id FROM lineitem WHERE l_returnflag IN ('A', 'N')",
+    "write_modes": """
+        WITH n AS (SELECT count(*) FILTER (WHERE c_acctbal < 0) AS old, count(*) FILTER (WHERE c_acctbal >= 0) AS new, min(c_custkey) AS first_key,
+                          min(c_custkey) FILTER (WHERE c_acctbal < 0) AS first_old, min(c_custkey) FILTER (WHERE c_acctbal >= 0) AS first_new FROM customer)
+        SELECT mode, state, CASE WHEN mode = 'error' AND state = 'existing' THEN 'TABLE_OR_VIEW_ALREADY_EXISTS' ELSE 'written' END AS outcome,
+               CASE WHEN mode = 'error' AND state = 'existing' THEN NULL WHEN mode = 'ignore' AND state = 'existing' THEN 0 ELSE new END AS written,
+               CASE WHEN state = 'new' OR mode = 'overwrite' THEN new WHEN mode = 'append' THEN old + new ELSE old END AS table_rows,
+               CASE WHEN state = 'new' OR mode = 'overwrite' THEN first_new WHEN mode = 'append' THEN first_key ELSE first_old END AS first_key
+        FROM n, (VALUES ('append'), ('overwrite'), ('ignore'), ('error')) m(mode), (VALUES ('existing'), ('new')) s(state)""",
     "lookup_join": """
         SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_quantity, p.p_name, p.p_brand
         FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey""",

@@ -8,6 +8,7 @@ through decimals first, so results compare exactly.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sluice.operators import checks, gold, isolated, metrics, ops, panes, quality, silver
 from sluice.functions.casts import try_cast_to
 from sluice.operators.bronze import bronze_transform, standardize
+from sluice.operators.isolated import reason_of
+from sluice.operators.lookup import lookup
 from sluice.plans import drops
 from sluice.plans.ingest import IngestConfig, ingest_all, ingest_summary
 from sluice.session import cut_lineage, session_key, staging_path
+from sluice.sinks.keyed import KeyedTable, PostActionError, append_run
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import csv as csvsrc
 from sluice.sources import files, warehouse
@@ -460,6 +464,71 @@ def q_lookup_join(spark, sf):
     return silver.enrich(li, _t(spark, sf, "part"), {"l_partkey": "p_partkey"}, ["p_name", "p_brand"])
 
 
+def q_lookup_skewed(spark, sf):
+    """SILV-3: a third of the line items have one part; the reference repeats keys and lacks a brand."""
+    li = _t(spark, sf, "lineitem")
+    hot = F.when(F.col("l_returnflag") == "R", F.lit(1)).otherwise(F.col("l_partkey"))
+    facts = li.select("l_orderkey", "l_linenumber", hot.cast("long").alias("l_partkey"), "l_quantity")
+    part = _t(spark, sf, "part").filter("p_brand <> 'Brand#3'").select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    newer = part.filter("p_retailprice > 1000").withColumns({"p_name": F.concat("p_name", F.lit(" v2")), "p_retailprice": F.col("p_retailprice") + 1})
+    return lookup(facts, part.unionByName(newer), {"l_partkey": "p_partkey"}, ["p_name", "p_brand"], order_by=["p_retailprice"],
+                  fallback={"p_brand": F.lit("unknown"), "p_name": F.concat(F.lit("part "), F.col("l_partkey").cast("string"))})
+
+
+def q_upsert_latest(spark, sf):
+    """SILV-4 against an existing table: three overlapping batches, the second one run twice."""
+    ev = _t(spark, sf, "events")
+    table = KeyedTable(spark, staging_path(spark, "latest"), ev.schema, ["user_id"], ["ts", "event_id"], buckets=16)
+    for first, last in ((10, 20), (1, 12), (1, 12), (18, 31)):
+        table.upsert(ev.filter(F.to_date("ts").between(dt.date(2024, 1, first), dt.date(2024, 1, last))))
+    return table.read()
+
+
+def _append_db(spark, sf):
+    db, root = _bronze_db(sf).replace("bronze", "append"), staging_path(spark, "append")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    return db, root
+
+
+def q_append_runs(spark, sf):
+    """SNK-1, SNK-2: two runs, the first one replayed, and one whose action after the append fails. Every row of the table."""
+    db, root = _append_db(spark, sf)
+    table = f"{db}.lines_{uuid.uuid4().hex}"
+    li, path = _t(spark, sf, "lineitem"), f"{root}/{table}"
+    append_run(li.filter("l_returnflag = 'A'"), table, "run-a", path, post_sql=f"ANALYZE TABLE {table} COMPUTE STATISTICS NOSCAN")
+    append_run(li.filter("l_returnflag = 'N'"), table, "run-n", path, pre_sql=[f"SELECT count(*) FROM {table}"])
+    append_run(li.filter("l_returnflag = 'A'"), table, "run-a", path)
+    try:
+        append_run(li.filter("l_returnflag = 'R'"), table, "run-r", path, post_sql="SELECT raise_error('refused')")
+    except PostActionError:
+        pass
+    return warehouse.read_table(spark, table)
+
+
+def q_write_modes(spark, sf):
+    """SNK-1: what each write mode leaves in an existing table and in a new one."""
+    db, root = _append_db(spark, sf)
+    c = _t(spark, sf, "customer")
+    rows = []
+    for mode in ("append", "overwrite", "ignore", "error"):
+        for state in ("existing", "new"):
+            table = f"{db}.c_{mode}_{uuid.uuid4().hex}"
+            if state == "existing":
+                write_table(c.filter("c_acctbal < 0"), table, path=f"{root}/{table}")
+            try:
+                written, outcome = write_table(c.filter("c_acctbal >= 0"), table, mode=mode, path=f"{root}/{table}"), "written"
+            except Exception as exc:  # noqa: BLE001 - the refused write is what the query shows
+                written, outcome = None, reason_of(exc)
+            rows.append((mode, state, outcome, written, table))
+    out = None
+    for mode, state, outcome, written, table in rows:  # one row a table: eight
+        one = warehouse.read_table(spark, table).agg(F.count(F.lit(1)).alias("table_rows"), F.min("c_custkey").alias("first_key")).select(
+            F.lit(mode).alias("mode"), F.lit(state).alias("state"), F.lit(outcome).alias("outcome"),
+            F.lit(written).cast("long").alias("written"), "table_rows", "first_key")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _fact(spark, sf):
     li = _t(spark, sf, "lineitem")
     revenue = (F.col("l_extendedprice").cast("decimal(12,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
@@ -758,6 +827,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_latest": q_dedup_latest,
     "apply_rules": q_apply_rules,
     "lookup_join": q_lookup_join,
+    "lookup_skewed": q_lookup_skewed,
+    "upsert_latest": q_upsert_latest,
+    "append_runs": q_append_runs,
+    "write_modes": q_write_modes,
     "fact_sales": q_fact_sales,
     "dim_customer": q_dim_customer,
     "kpi_rollup": q_kpi_rollup,
