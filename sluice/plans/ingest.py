@@ -22,6 +22,7 @@ from sluice.operators.ops import schema_changes
 from sluice.operators.isolated import validate_each
 from sluice.operators.quality import REPORT_DDL, gate
 from sluice.session import checkpoint_root
+from sluice.sinks.history import evolve, fit, reconcile
 from sluice.sinks.publish import write_audit_publish
 from sluice.sinks.tables import write_table
 from sluice.sources.csv import scan_csv
@@ -127,8 +128,11 @@ def ingest_table(spark: SparkSession, path: str, table_name: str, cfg: IngestCon
                 changes = ",".join(f"{change}:{name}" for name, change, _, _ in drift)
                 log.warning("%s: schema drift %s", table_name, changes)
         parts = ("_processing_date",) if cfg.partition_by_date else None
-        if existed and changes and cfg.keep_history:
-            raise ValueError(f"schema changed ({changes}); earlier days cannot be kept in the same table")
+        if existed and changes and cfg.keep_history:  # a type that can't widen raises before anything changes
+            table = f"{cfg.database}.{table_name}"
+            schema = reconcile(spark.read.table(table).schema, bronze.schema)
+            evolve(spark, table, schema, parts or ())
+            bronze = fit(bronze, spark.read.table(table).schema)
         # with keep_history the run's session overwrites only the written day (see ingest_all)
         buckets = (cfg.key_buckets, list(spec.key)) if (cfg.key_buckets and spec.key) else None
         n = write_table(bronze, f"{cfg.database}.{table_name}", mode="overwrite",

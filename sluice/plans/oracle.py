@@ -604,6 +604,33 @@ ORACLE: dict[str, str] = {
         FROM (SELECT {_RAW['customer']} FROM customer)""",
     "lineage_counts": """
         SELECT 'events.parquet' AS file_name, count(*) AS rows, count(DISTINCT user_id) AS users FROM events""",
+    "partitioned_whole": "SELECT *, CAST(ts AS DATE) AS event_day FROM events",
+    "history_widened": """
+        SELECT p_partkey, p_name, CAST(p_size AS DOUBLE) AS p_size, CAST(NULL AS VARCHAR) AS p_brand, DATE '2024-01-01' AS day FROM part
+        UNION ALL SELECT p_partkey, p_name, p_size + 0.5::DOUBLE, p_brand, DATE '2024-01-02' FROM part
+        UNION ALL SELECT p_partkey, NULL, CAST(p_size AS DOUBLE), p_brand, DATE '2024-01-03' FROM part""",
+    "rates_in_range": f"""
+        SELECT time_bucket(INTERVAL '1 hour', started_at) AS window_start,
+               time_bucket(INTERVAL '1 hour', started_at) + INTERVAL '1 hour' AS window_end,
+               count(*) AS runs, count(*) FILTER (WHERE status = 'success') AS succeeded,
+               {_pct("count(*) FILTER (WHERE status = 'success')", 'count(*)')} AS success_rate
+        FROM ({_RUNS}) WHERE started_at >= TIMESTAMP '2024-01-12 02:00:00' AND started_at < TIMESTAMP '2024-01-15 02:00:00'
+        GROUP BY 1, 2""",
+    "standardize_renamed": f"""
+        SELECT product_id AS id, TRY_CAST(product_weight_g AS DOUBLE) AS product_weight_g, TRY_CAST(product_length_cm AS DOUBLE) AS product_length_cm,
+               coalesce(TRY_CAST(product_height_cm AS DOUBLE), -1) AS height, TRY_CAST(product_width_cm AS DOUBLE) AS product_width_cm
+        FROM ({_RAW_PRODUCTS})""",
+    "drop_inventory": f"""
+        SELECT 'customer.csv' AS entry, true AS present, CAST((SELECT sum(strlen(concat_ws(',', c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment)) + 1)
+            FROM (SELECT {_RAW['customer']} FROM customer)) AS BIGINT) AS data_bytes
+        UNION ALL SELECT 'part.csv', true, CAST((SELECT sum(strlen(concat_ws(',', p_partkey, p_name, p_brand, p_type, p_size,
+            CAST(p_retailprice AS DECIMAL(18,2)))) + 1) FROM part) AS BIGINT)
+        UNION ALL SELECT 'lineitem.csv', false, 0
+        UNION ALL SELECT 'orders.csv', true, CAST((SELECT sum(1 + CASE
+            WHEN {_SHORT} THEN strlen(concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate))
+            WHEN {_LONG} THEN strlen(concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'x'))
+            ELSE strlen(concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority)) END)
+            FROM (SELECT {_RAW['orders'].replace('CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice', 'CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice')} FROM orders)) AS BIGINT)""",
     "partitioned_roundtrip": """
         SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS event_day
         FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'""",

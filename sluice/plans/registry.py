@@ -21,10 +21,12 @@ from sluice.operators.lookup import lookup
 from sluice.plans import drops
 from sluice.plans.ingest import IngestConfig, ingest_all, ingest_summary
 from sluice.session import cut_lineage, session_key, staging_path
+from sluice.sinks.history import append_day
 from sluice.sinks.keyed import KeyedTable, PostActionError, append_run
 from sluice.sinks.tables import write_partitioned, write_table
 from sluice.sources import csv as csvsrc
 from sluice.sources import files, warehouse
+from sluice.sources.headers import first_lines
 from sluice.specs import CUSTOMERS, ORDERS, PRESETS, PRODUCTS, TableSpec, Thresholds
 
 AS_OF = dt.datetime(2024, 1, 15, 2, 0, 0)
@@ -604,6 +606,50 @@ def q_partitioned_roundtrip(spark, sf):
     return spark.read.parquet(path).filter(F.col("event_day") == F.lit(DAY))
 
 
+def q_partitioned_whole(spark, sf):
+    """OPS-1: every day and every column of the events, after the days from 20 January on were written a second time."""
+    ev = _t(spark, sf, "events").withColumn("event_day", F.to_date("ts"))
+    path = staging_path(spark, "events_by_day")
+    write_partitioned(ev, path, ["event_day"])
+    write_partitioned(ev.filter(F.col("event_day") >= F.lit(dt.date(2024, 1, 20))), path, ["event_day"])
+    return spark.read.parquet(path)
+
+
+def q_history_widened(spark, sf):
+    """OPS-2, OPS-1: parts on three days; the second day's size is a double and has a brand, the third day lacks the name."""
+    db, root = _append_db(spark, sf)
+    table = f"{db}.parts_{uuid.uuid4().hex}"
+    p = _t(spark, sf, "part")
+    days = (p.select("p_partkey", "p_name", "p_size"),
+            p.select("p_partkey", "p_name", (F.col("p_size") + F.lit(0.5)).cast("double").alias("p_size"), "p_brand"),
+            p.select("p_partkey", "p_size", "p_brand"))
+    for i, rows in enumerate(days):
+        append_day(rows.withColumn("day", F.lit(dt.date(2024, 1, 1 + i))), table, f"{root}/{table}", "day")
+    return spark.read.table(table)
+
+
+def q_rates_in_range(spark, sf):
+    """FLT-7: a time range over all jobs, so that runs in it fail too."""
+    return metrics.success_rate(metrics.trailing(_runs(spark, sf), _as_of_ntz(), "72 hours"), "1 hour")
+
+
+def q_standardize_renamed(spark, sf):
+    """SILV-1: typing, new names and values for NULLs."""
+    return silver.standardize(ecommerce_products_raw(spark, sf), PRODUCTS,
+                              rename={"product_height_cm": "height", "product_id": "id"}, fill={"height": -1.0})
+
+
+def q_drop_inventory(spark, sf):
+    """SRC-1, SRC-2: the files of a drop by table: whether a required one is there and the bytes of its data lines (its
+    files' bytes less their header lines)."""
+    folder = drops.raw_drop(spark, sf)
+    heads = first_lines(spark, f"{folder}/*.csv").select(F.element_at(F.split("path", "/"), -2).alias("entry"),
+                                                         (F.octet_length("line") + 1).alias("head"))
+    heads = heads.groupBy("entry").agg(F.sum("head").alias("heads"))
+    need = files.required_files(spark, files.file_inventory(spark, folder), ["customer.csv", "orders.csv", "part.csv", "lineitem.csv"])
+    return need.join(heads, "entry", "left").select("entry", "present", (F.col("bytes") - F.coalesce("heads", F.lit(0))).alias("data_bytes"))
+
+
 def q_stream_bronze(spark, sf):
     from sluice.streaming.bronze_stream import stream_bronze
 
@@ -839,6 +885,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mask_columns": q_mask_columns,
     "lineage_counts": q_lineage_counts,
     "partitioned_roundtrip": q_partitioned_roundtrip,
+    "partitioned_whole": q_partitioned_whole,
+    "history_widened": q_history_widened,
+    "rates_in_range": q_rates_in_range,
+    "standardize_renamed": q_standardize_renamed,
+    "drop_inventory": q_drop_inventory,
     "stream_bronze": q_stream_bronze,
     "stream_quality": q_stream_quality,
     "stream_csv_ingest": q_stream_csv_ingest,
