@@ -30,6 +30,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, name=f"llm-{name}")
 
 
+def release(*frames: DataFrame) -> None:
+    """Remove the folders of staged frames that nothing reads any more (what was made from them is staged itself)."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/sluice/llm-" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for k in keys:

@@ -8,24 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from sluice.llm.common import stage
+from sluice.llm.common import release, stage
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node in ``edges`` (a, b); root is the smallest node reachable."""
     e = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
     while True:
+        first = e
         before = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         # large star: every larger neighbour hooks to the smallest one seen
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        e = stage(both.filter("v > u").join(low, F.col("u") == F.col("x")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        half = stage(both.filter("v > u").join(low, F.col("u") == F.col("x")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                   .distinct(), "edges")
         # small star: smaller neighbours and the node itself hook to the smallest
+        e = half
         low = e.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "x")
         joined = e.join(low, F.col("u") == F.col("x"))
         e = stage(joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                   .union(low.select(F.col("x").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        release(first, half)
         after = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if before == after:
             break

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sluice.llm.common import stage
+from sluice.llm.common import release, stage
 from sluice.llm.components import components
 from sluice.llm.hashing import batches_of, word_bounds, word_hashes
 
@@ -35,6 +35,8 @@ CLASSES = 1 << 16
 FREQUENT = 4.0
 PIVOTS = 4
 BINS = 256
+#: Parity bits of a set: a power of two of about its size, at most this many; sets of up to ``BINS`` grams have ``odd`` alone.
+MOST_BITS = 1 << 15
 #: Smallest keys a row carries, by which most pairs are met under one of their common keys only.
 LOWEST = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -125,24 +127,47 @@ def index_keys(g: np.ndarray, freq: np.ndarray, t: float) -> np.ndarray:
 
 
 def _signatures(texts: DataFrame, n: int) -> DataFrame:
-    """(sid, sig, odd): a class's grams counted in ``BINS`` bins by hash, and the bins with odd counts as bits of
-    longs. Sets differ in at least as many grams as their counts do, and as bins are odd in one only, which
-    proves most unrelated pairs apart without their texts."""
+    """(sid, sig, odd, fine): a class's grams counted in ``BINS`` bins by hash, and the bins with odd counts as bits of
+    longs, for ``BINS`` bins and for about as many as the set has grams. Sets differ in at least as many grams as
+    their counts do, and as bins are odd in one only, which proves most unrelated pairs apart without their texts:
+    unrelated sets differ in half of the bits, and linked ones in a small share of their sizes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = [np.bincount((grams(x, n) % np.uint64(BINS)).astype(np.int64), minlength=BINS) for x in batch.column(1).to_pylist()]
+            sets = [grams(x, n) for x in batch.column(1).to_pylist()]
+            counts = [np.bincount((g % np.uint64(BINS)).astype(np.int64), minlength=BINS) for g in sets]
             sig = [c.astype("<u2" if c.sum() < 1 << 16 else "<u4").tobytes() for c in counts]
             odd = [np.packbits((c & 1).astype(np.uint8)).view(np.int64) for c in counts]
-            yield pa.RecordBatch.from_pydict({"sid": batch.column(0), "sig": pa.array(sig, pa.binary()), "odd": pa.array(odd, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"sid": batch.column(0), "sig": pa.array(sig, pa.binary()), "odd": pa.array(odd, pa.list_(pa.int64())),
+                                              "fine": pa.array([_parities(g) for g in sets], pa.list_(pa.int64()))})
 
-    return texts.select("sid", "text").mapInArrow(count, "sid long, sig binary, odd array<bigint>")
+    return texts.select("sid", "text").mapInArrow(count, "sid long, sig binary, odd array<bigint>, fine array<bigint>")
+
+
+def _parities(g: np.ndarray) -> np.ndarray | None:
+    """The bins with odd counts as bits, for a power of two of bins; None for small sets."""
+    bits = min(MOST_BITS, 1 << max(len(g) - 1, 0).bit_length())
+    if bits <= BINS:
+        return None
+    counts = np.bincount((g % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
 def _near(x: str, y: str, t: float):
     """Whether the odd bins of two aliased rows (n, odd) allow a similarity of at least ``t``."""
     differ = sum((F.bit_count(F.col(f"{x}.odd")[i].bitwiseXOR(F.col(f"{y}.odd")[i])) for i in range(BINS // 64)), F.lit(0))
-    return differ * (1 + t) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (1 - t) + 1e-6
+    most = (F.col(f"{x}.n") + F.col(f"{y}.n")) * (1 - t) + 1e-6
+    # with as many bins as the smaller array has: bits of the larger one that fall into one bin are added (XOR)
+    bits = F.least(F.size(f"{x}.fine"), F.size(f"{y}.fine"))
+
+    def folded(side: str, i):
+        own = F.col(f"{side}.fine")
+        return F.aggregate(F.sequence(i, F.size(own) - 1, bits), F.lit(0).cast("bigint"), lambda a, k: a.bitwiseXOR(F.get(own, k)))
+
+    fine = F.aggregate(F.sequence(F.lit(0), bits - 1), F.lit(0),
+                       lambda a, i: a + F.bit_count(folded(x, i).bitwiseXOR(folded(y, i))))
+    either_small = F.col(f"{x}.fine").isNull() | F.col(f"{y}.fine").isNull()
+    return (differ * (1 + t) <= most) & (either_small | (fine * (1 + t) <= most))
 
 
 def _counts(sig: bytes) -> np.ndarray:
@@ -223,7 +248,8 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     keys = stage(docs.select("text").mapInArrow(index, "key long, sid long, n long"), "keys")
     # keys of one class only can't link anything; those of copies fall together
     alone = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo <> hi")
-    keys = stage(keys.join(alone.select("key"), "key").distinct(), "index")
+    every, keys = keys, stage(keys.join(alone.select("key"), "key").distinct(), "index")
+    release(every)
 
     # few pivots a key: the smallest by one of several hashes, chosen by the key
     turn = F.pmod(F.col("key"), F.lit(PIVOTS))
@@ -239,16 +265,19 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     texts = (rows.join(involved, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("first")))
              .groupBy("sid").agg(F.min("text").alias("text")))
     texts = stage(texts, "texts")
+    release(involved)
     sigs = stage(_signatures(texts, n), "signatures")
-    links = _verified(_possible(pairs, sigs, t), texts, n, t)
+    possible = _possible(pairs, sigs, t)
+    links = _verified(possible, texts, n, t)
     roots = stage(components(links), "roots")
+    release(possible, links)
 
     labelled = stage(keys.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
     mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
     # A pair is passed over under a key if both rows know a smaller key they share. Under the smallest shared key there
     # is none, so every pair is met. (A key left out above holds one component only, so no pair of two.)
     lowest = keys.groupBy("sid").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LOWEST).alias("low"))
-    marks = sigs.select("sid", "odd").join(lowest, "sid")
+    marks = sigs.select("sid", "odd", "fine").join(lowest, "sid")
     open_ = labelled.join(mixed, "key").join(marks, "sid").withColumn("low", F.filter("low", lambda k: k < F.col("key")))
     open_ = stage(open_, "open")
     x, y = open_.alias("x"), open_.alias("y")
@@ -258,7 +287,11 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct())
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stage(rest.join(done, ["a", "b"], "left_anti"), "rest")
-    more = _verified(_possible(rest, sigs, t), texts, n, t)
+    release(open_, labelled, pairs, keys)
+    possible = _possible(rest, sigs, t)
+    release(rest, sigs)
+    more = _verified(possible, texts, n, t)
+    release(possible, texts)
     merged = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     # a component's name is the smallest doc_id of its classes
     named = classes.join(merged.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from sluice.llm.common import stage
+from sluice.llm.common import release, stage
 from sluice.llm.hashing import BASE, MULTIPLIER, batches_of, mixed, range_hashes, word_bounds, word_hashes
 
 LENGTH = 50
@@ -98,6 +98,7 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     joined = rows.distinct().join(hits, "doc_id").select("doc_id", "text", "keys", F.xxhash64("text").alias("part")).filter(F.length("text") >= length)
     windows = stage(joined.mapInArrow(extend, "window long, doc_id long, part long, word long, start long, end long"), "windows")
+    release(kept)
     found = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     found = found.select(F.bitwise_not("window").alias("_k"), "first")
     w = windows.join(found, F.bitwise_not(windows["window"]) == F.col("_k"))
