@@ -1,13 +1,16 @@
 """Approximate nearest neighbours (largest inner product) by collision counting.
 
-Every vector is projected on random directions, one sorted array per direction and block of vectors. A
-query's window on a direction is centred on its own projection and grows by virtual rehashing: each round
-widens it by a constant factor and counts only what is new. Vectors that collide with the query on enough
-directions are verified in double precision. A query stops when enough vectors are verified and the best
-``k`` lie within the current window's radius.
+Every vector is projected on random orthogonal directions, one sorted array per direction. A query's window on a
+direction is centred on its own projection and grows by virtual rehashing: every round widens it by a constant factor
+and counts only what is new. Vectors that collide with the query on enough directions are verified in double
+precision, until a share of the vectors has been.
 
 Inner products become distances by one more coordinate: x -> (x, sqrt(M^2 - |x|^2)), q -> (q, 0), with M the
-largest norm. Queries meet the blocks of vectors block by block, so a task holds one of each.
+largest norm. That coordinate drowns the others where norms differ, so vectors are indexed in bands of similar norm,
+each with its own M. Bands are searched from the largest norm down, and a query stops at the first band that can't hold
+anything better than its ``k`` best (|q| times the band's largest norm).
+
+Queries meet the blocks of vectors block by block, so a task holds one of each.
 """
 
 from __future__ import annotations
@@ -20,57 +23,100 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.common import stage
 
-DIRECTIONS = 48
+DIRECTIONS = 64
 #: A vector is verified once this many directions collide.
-THRESHOLD = 30
-WIDEN = 1.5
-#: A query goes on until it has verified k + EXTRA vectors of a block and this share of the block at least.
-EXTRA, SHARE = 300, 0.2
-DATA_BLOCK, QUERY_BLOCK = 16_384, 512
-FOUND = "query_id long, vec_id long, score double"
+THRESHOLD = 48
+WIDEN = 1.2
+#: A query goes on until k + EXTRA vectors of a band and this share of the band are verified.
+EXTRA, SHARE = 300, 0.1
+#: Largest norm of a band over its smallest.
+BAND = 1.25
+DATA_BLOCK, QUERY_BLOCK, QUERY_SLICE = 8_192, 4_096, 256
+FOUND = "query_row long, query_id long, part long, vec_id long, score double"
+
+
+class Band:
+    """Sorted projections of vectors of similar norm."""
+
+    def __init__(self, rows: np.ndarray, vectors: np.ndarray, norms: np.ndarray, axes: np.ndarray):
+        self.rows, self.top = rows, norms.max()
+        lifted = np.sqrt(np.maximum(self.top ** 2 - norms ** 2, 0.0))
+        projections = (vectors @ axes[:-1] + lifted[:, None] * axes[-1]).T
+        self.order = np.argsort(projections, axis=1, kind="stable")
+        self.ranked = np.take_along_axis(projections, self.order, axis=1)
+        spread = max(float(self.ranked[:, -1].max() - self.ranked[:, 0].min()), 1e-12)
+        self.radii = spread / 64 * WIDEN ** np.arange(math.ceil(math.log(130, WIDEN)) + 1)
+
+    def windows(self, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place of every window: query, round, direction."""
+        lo = np.empty((len(centres), len(self.radii), len(self.ranked)), np.int64)
+        hi = lo.copy()
+        for j, array in enumerate(self.ranked):
+            lo[:, :, j] = np.searchsorted(array, centres[:, j, None] - self.radii, "left")
+            hi[:, :, j] = np.searchsorted(array, centres[:, j, None] + self.radii, "right")
+        return lo, hi
 
+    def collide(self, lo: np.ndarray, hi: np.ndarray, enough: int) -> np.ndarray:
+        """Rows of the block that collide on ``THRESHOLD`` directions, after the first round with ``enough`` of them."""
+        n = len(self.rows)
+        if enough >= n:
+            return self.rows
+        # so many collisions need windows of that length in all: earlier rounds can't end the search
+        at = int(np.argmax((hi - lo).sum(axis=1) >= THRESHOLD * enough))
+        counts, a0, b0 = np.zeros(n, np.int64), lo[at], lo[at]
+        for a, b in zip(lo[at:], hi[at:], strict=True):
+            new = [w for order, i, j, x, y in zip(self.order, a.tolist(), a0.tolist(), b0.tolist(), b.tolist(), strict=True)
+                   for w in (order[i:j], order[x:y])]
+            counts += np.bincount(np.concatenate(new), minlength=n)
+            found = np.flatnonzero(counts >= THRESHOLD)
+            if len(found) >= enough:
+                return self.rows[found]
+            a0, b0 = a, b
+        return self.rows
 
-def search(ids, data, norm2, query_ids, queries, k: int, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query (ids, scores) of the best ``k`` found in one block, best first, ties to smaller ids."""
-    n, d = data.shape
+
+def search(rows, ids, data, query_rows, queries, k: int, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query (ids, scores) of the best ``k`` found in one block, best first, ties to smaller ids. ``rows``
+    and ``query_rows`` number the rows: a query doesn't meet its own."""
+    d = data.shape[1]
     rng = np.random.default_rng(seed)
-    axes = rng.standard_normal((d + 1, DIRECTIONS)) / math.sqrt(d + 1)
-    top = norm2.max()
-    lifted = np.sqrt(np.maximum(top - norm2, 0.0))
-    proj = data @ axes[:d] + lifted[:, None] * axes[d]
-    order = np.argsort(proj, axis=0, kind="stable")
-    ranked = np.ascontiguousarray(np.take_along_axis(proj, order, axis=0).T)
-    order = np.ascontiguousarray(order.T)
-    spread = max(float(ranked[:, -1].max() - ranked[:, 0].min()), 1e-12)
-    # a query scaled to norm sqrt(top) has the same order of inner products
-    scale = np.sqrt(top) / np.maximum(np.sqrt((queries ** 2).sum(1)), 1e-300)
-    centres = (queries * scale[:, None]) @ axes[:d]
-    enough = min(n, k + 1 + max(EXTRA, int(SHARE * n)))
-    out = []
-    for q in range(len(queries)):
-        counts = np.zeros(n, np.int16)
-        lo = np.array([np.searchsorted(ranked[j], centres[q, j]) for j in range(DIRECTIONS)])
-        hi, half, seen = lo.copy(), spread / 512, 0
-        while True:
-            for j in range(DIRECTIONS):
-                a = np.searchsorted(ranked[j], centres[q, j] - half, "left")
-                b = np.searchsorted(ranked[j], centres[q, j] + half, "right")
-                if a < lo[j]:
-                    counts[order[j, a:lo[j]]] += 1
-                    lo[j] = a
-                if b > hi[j]:
-                    counts[order[j, hi[j]:b]] += 1
-                    hi[j] = b
-            seen = int(np.count_nonzero(counts >= THRESHOLD))
-            if seen >= enough or half > 2 * spread:
-                break
-            half *= WIDEN
-        cand = np.flatnonzero(counts >= THRESHOLD) if seen >= enough else np.arange(n)
-        cand = cand[ids[cand] != query_ids[q]]
-        score = (data[cand] * queries[q]).sum(axis=1)  # row by row alike, so equal vectors tie exactly
-        best = np.lexsort((ids[cand], -score))[:k]
-        out.append((ids[cand][best], score[best]))
-    return out
+    turns = [np.linalg.qr(rng.standard_normal((d + 1, d + 1)))[0] for _ in range(math.ceil(DIRECTIONS / (d + 1)))]
+    axes = np.concatenate(turns, axis=1)[:, :DIRECTIONS]
+    unit = data / np.abs(data).max()  # so that no square overflows
+    norms = np.maximum(np.sqrt((unit ** 2).sum(axis=1)), 1e-300)
+    level = np.floor(np.log(norms.max() / norms) / math.log(BAND) + 1e-9)
+    bands = [Band(at, unit[at], norms[at], axes) for at in (np.flatnonzero(level == v) for v in np.unique(level))]
+    scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
+    size = np.sqrt((scaled ** 2).sum(axis=1))
+    best = [(np.empty(0, np.int64), np.empty(0)) for _ in range(len(queries))]
+    for first in range(0, len(queries), QUERY_SLICE):
+        part = np.arange(first, min(first + QUERY_SLICE, len(queries)))
+        for band in bands:
+            # a query of the band's norm has the same order of inner products
+            lo, hi = band.windows((scaled[part] * (band.top / size[part])[:, None]) @ axes[:-1])
+            enough = k + 1 + max(EXTRA, math.ceil(SHARE * len(band.rows)))
+            limit = np.abs(queries[part]).max(axis=1) * size[part] * band.top * np.abs(data).max() * (1 + 1e-9)
+            for i, q in enumerate(part):
+                got, scores = best[q]
+                if len(scores) == k and limit[i] < scores[-1]:
+                    continue
+                at = band.collide(lo[i], hi[i], enough)
+                at = at[rows[at] != query_rows[q]]
+                # row by row alike, so that equal vectors tie exactly
+                scores = np.concatenate([scores, np.einsum("ij,j->i", data[at], queries[q])])
+                got = np.concatenate([got, ids[at]])
+                if len(scores) > k:
+                    kept = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+                    got, scores = got[kept], scores[kept]
+                order = np.lexsort((got, -scores))[:k]
+                best[q] = got[order], scores[order]
+    return best
+
+
+def _merged(found: DataFrame, k: int, *keys: str) -> DataFrame:
+    """The best ``k`` of every group as an array of (s: negative score, vec_id)."""
+    best = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")))
+    return found.groupBy(*keys).agg(F.slice(best, 1, k).alias("best"))
 
 
 def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
@@ -78,34 +124,37 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     ``every``, the ``k`` nearest found among all other rows, by largest inner product of the original vectors.
 
     Rows with a null vec_id and vectors that are null, empty, zero or hold null or non-finite components take no
-    part. Vectors of another length than a query's aren't its candidates. Rows that repeat a vec_id are one
-    candidate each, except for the query of that id.
+    part. Vectors of another length than a query's aren't its candidates. Rows that repeat a vec_id are
+    candidates and queries of their own: each has its own ranks, under the same query_id, and meets the others.
     """
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     rows = rows.filter(F.col("vec_id").isNotNull() & (F.size("v") > 0)
                        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
                        & F.exists("v", lambda x: x != 0))
-    rows = stage(rows.withColumn("d", F.size("v")), "vectors")
+    rows = stage(rows.withColumn("d", F.size("v")).withColumn("row", F.monotonically_increasing_id()), "vectors")
     n = rows.count()
     data_blocks, query_blocks = max(1, math.ceil(n / DATA_BLOCK)), max(1, math.ceil(n / every / QUERY_BLOCK))
-    h = F.xxhash64("vec_id", "v")
+    h = F.xxhash64("row")
     data = rows.select("d", F.pmod(h, F.lit(data_blocks)).cast("bigint").alias("b"),
-                       F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), "vec_id", "v")
+                       F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), "row", "vec_id", "v")
     queries = rows.filter(F.col("vec_id") % every == 0).select(
         "d", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(data_blocks - 1).cast("bigint"))).alias("b"),
-        F.pmod(h, F.lit(query_blocks)).cast("int").alias("qb"), "vec_id", "v")
+        F.pmod(h, F.lit(query_blocks)).cast("int").alias("qb"), "row", "vec_id", "v")
+    parts = math.isqrt(data_blocks - 1) + 1
 
     def block(queries: pd.DataFrame, data: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(data):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        x, q = np.stack(data["v"].to_numpy()), np.stack(queries["v"].to_numpy())
-        found = search(data["vec_id"].to_numpy(), x, (x ** 2).sum(1), queries["vec_id"].to_numpy(), q, k)
-        return pd.DataFrame({"query_id": np.repeat(queries["vec_id"].to_numpy(), [len(i) for i, _ in found]),
-                             "vec_id": np.concatenate([i for i, _ in found]), "score": np.concatenate([s for _, s in found])})
+            return pd.DataFrame({"query_row": [], "query_id": [], "part": [], "vec_id": [], "score": []})
+        found = search(data["row"].to_numpy(), data["vec_id"].to_numpy(), np.stack(data["v"].to_numpy()),
+                       queries["row"].to_numpy(), np.stack(queries["v"].to_numpy()), k)
+        times = [len(i) for i, _ in found]
+        return pd.DataFrame({"query_row": np.repeat(queries["row"].to_numpy(), times), "query_id": np.repeat(queries["vec_id"].to_numpy(), times),
+                             "part": data["b"].iloc[0] % parts, "vec_id": np.concatenate([i for i, _ in found]),
+                             "score": np.concatenate([s for _, s in found])})
 
-    # QALSH needs a row per query and block only; the best k of all blocks follow from the best k of each
     found = queries.groupBy("d", "b", "qb").cogroup(data.groupBy("d", "b", "qb")).applyInPandas(block, FOUND)
-    best = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id")))
-    out = found.groupBy("query_id").agg(F.slice(best, 1, k).alias("best"))
-    return out.select("query_id", F.posexplode("best").alias("p", "x")).select(
+    # the best k of all blocks follow from the best k of each, merged by groups of blocks first: lists grow with the root of the blocks
+    some = _merged(found, k, "query_row", "query_id", "part").select("query_row", "query_id", F.explode("best").alias("x"))
+    some = some.select("query_row", "query_id", "x.vec_id", (-F.col("x.s")).alias("score"))
+    return _merged(some, k, "query_row", "query_id").select("query_id", F.posexplode("best").alias("p", "x")).select(
         "query_id", (F.col("p") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
