@@ -56,8 +56,10 @@ def write_warc(pages: DataFrame, folder: str, min_payload: int = 0) -> DataFrame
     body = F.coalesce(F.col("html").cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", body.alias("payload"), F.sha1(body).alias("digest"))
     first = rows.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    first = first.select(F.col("digest").alias("d"), "first")
-    rows = rows.join(first, F.col("digest") == F.col("d"), "left").select(
+    # joined by the reversed digest: the join then has a shuffle of its own, and Spark can split a payload that very many
+    # pages share, which it can't right above an aggregation
+    first = first.select(F.reverse("digest").alias("d"), "first")
+    rows = rows.join(first, F.reverse("digest") == F.col("d"), "left").select(
         "page_id", "url", "payload",
         F.when((F.length("payload") >= min_payload) & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
 
@@ -81,33 +83,65 @@ def write_warc(pages: DataFrame, folder: str, min_payload: int = 0) -> DataFrame
     return stage(rows.mapInArrow(write, "file string, bytes long"), "warc-manifest")
 
 
-def _member(f, start: int, size: int) -> bytes | None:
-    """The decoded member at ``start`` if a WARC record starts there, else None. At most a chunk is decoded
-    before the version line is checked."""
+def _member(f, start: int, size: int) -> tuple[bytes, int] | None:
+    """The decoded member at ``start`` and the place where it ends, None if no WARC record starts there. At most
+    4 KB are read before the version line is checked; a record that can't be decoded from there on is damaged."""
     z, out, at = zlib.decompressobj(31), [], start
-    try:
-        while not z.eof and at < size:
-            data = f.read_at(min(CHUNK if out else 4096, size - at), at)
-            at += len(data)
-            out.append(z.decompress(data))
-            if len(out) == 1 and not out[0].startswith(b"WARC/1."):
+    while not z.eof:
+        data = f.read_at(min(CHUNK if out else 4096, size - at), at)
+        try:
+            text = z.decompress(data)
+        except zlib.error as e:
+            if not out:
                 return None
-    except zlib.error:
-        return None
-    return b"".join(out) if z.eof else None
+            raise ValueError(f"damaged WARC record at byte {start}: {e}") from e
+        if not out and not text.startswith(b"WARC/1."):
+            return None
+        if not data:
+            raise ValueError(f"WARC record at byte {start} has no end")
+        out.append(text)
+        at += len(data)
+    return b"".join(out), at - len(z.unused_data)
 
 
-def _parse(data: bytes):
+def _parse(data: bytes, start: int):
     head, _, rest = data.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:] if ": " in line)
-    if "Content-Length" not in fields:
+    body = rest[: int(fields.get("Content-Length", -1))]
+    if rest[len(body):] != b"\r\n\r\n":
+        raise ValueError(f"WARC record at byte {start} has another length than its header says")
+    return fields, body
+
+
+def _owned(f, start: int, end: int, size: int) -> Iterator[tuple[bytes, int]]:
+    """The decoded records that start in [start, end), with their places. The first is found by its magic number, each
+    other starts where the one before ends, and so does the next range's first: bytes that belong to no record raise."""
+    area = f.read_at(min(end + len(MAGIC) - 1, size) - start, start)
+    i = area.find(MAGIC)
+    while i >= 0 and (found := _member(f, start + i, size)) is None:
+        i = area.find(MAGIC, i + 1)
+    at = start + i if i >= 0 else end
+    if start == 0 and at != 0:
+        raise ValueError("the archive doesn't begin with a WARC record")
+    while at < end:
+        yield found[0], at
+        at = found[1]
+        if at < size and (found := _member(f, at, size) if at < end else _begins(f, at, size)) is None:
+            raise ValueError(f"no WARC record at byte {at}")
+
+
+def _begins(f, at: int, size: int) -> bool | None:
+    """True if a record's version line can be decoded at ``at``, else None."""
+    try:
+        return zlib.decompressobj(31).decompress(f.read_at(min(4096, size - at), at)).startswith(b"WARC/1.") or None
+    except zlib.error:
         return None
-    return fields, rest[: int(fields["Content-Length"])]
 
 
 def read_warc(spark: SparkSession, manifest: DataFrame, folder: str, split: int = SPLIT, payloads: bool = True) -> DataFrame:
     """All records: page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload (null for revisits
-    and where ``payloads`` is off). payload_digest of a response is computed from what was read."""
+    and where ``payloads`` is off). payload_digest of a response is computed from what was read. Archives of which a
+    byte belongs to no whole record (damaged, cut or foreign members) raise: no record is left out in silence."""
     from urllib.parse import unquote
 
     ranges = manifest.select("file", "bytes", F.explode(F.sequence(F.lit(0), F.floor((F.col("bytes") - 1) / split))).alias("k"))
@@ -123,27 +157,21 @@ def read_warc(spark: SparkSession, manifest: DataFrame, folder: str, split: int
             for r in batch.to_pylist():
                 start, end = r["k"] * split, min((r["k"] + 1) * split, r["bytes"])
                 with fs.open_input_file(f"{root}/{r['file']}") as f:
-                    area = f.read_at(min(end + len(MAGIC) - 1, r["bytes"]) - start, start)
-                    i = area.find(MAGIC)
-                    while i >= 0:
-                        data = _member(f, start + i, r["bytes"])
-                        found = _parse(data) if data else None
-                        if found:
-                            h, body = found
-                            response = h["WARC-Type"] == "response"
-                            rows.append({
-                                "page_id": int(h["X-Page-ID"]) if "X-Page-ID" in h else None,
-                                "payload_bytes": len(body) if response else int(h["X-Payload-Length"]),
-                                "payload_digest": base64.b32encode(hashlib.sha1(body).digest()).decode() if response
-                                else h["WARC-Payload-Digest"].removeprefix("sha1:"),
-                                "record_type": h["WARC-Type"], "refers_to": int(h["X-Refers-To-Page"]) if "X-Refers-To-Page" in h else None,
-                                "url": unquote(h["WARC-Target-URI"]) if "WARC-Target-URI" in h else None,
-                                "payload": body if response and payloads else None})
-                            held += len(body) if payloads else 100
-                            if held > CHUNK:
-                                yield pa.RecordBatch.from_pylist(rows, schema)
-                                rows, held = [], 0
-                        i = area.find(MAGIC, i + 1)
+                    for data, at in _owned(f, start, end, r["bytes"]):
+                        h, body = _parse(data, at)
+                        response = h["WARC-Type"] == "response"
+                        rows.append({
+                            "page_id": int(h["X-Page-ID"]) if "X-Page-ID" in h else None,
+                            "payload_bytes": len(body) if response else int(h["X-Payload-Length"]),
+                            "payload_digest": base64.b32encode(hashlib.sha1(body).digest()).decode() if response
+                            else h["WARC-Payload-Digest"].removeprefix("sha1:"),
+                            "record_type": h["WARC-Type"], "refers_to": int(h["X-Refers-To-Page"]) if "X-Refers-To-Page" in h else None,
+                            "url": unquote(h["WARC-Target-URI"]) if "WARC-Target-URI" in h else None,
+                            "payload": body if response and payloads else None})
+                        held += len(body) if payloads else 100
+                        if held > CHUNK:
+                            yield pa.RecordBatch.from_pylist(rows, schema)
+                            rows, held = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
