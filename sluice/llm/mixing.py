@@ -5,7 +5,7 @@
 2. *Blocks.* The documents of a source, shuffled by a hash, form one stream of words that is cut into equal blocks
    of at most ``BLOCK_WORDS`` words (to a word). A source gets as many slots of the mix as blocks make its target,
    rounded, at least one.
-3. *Schedule.* Slot i of the mix has the golden-ratio point frac(i / phi). The points, by rank, map through the
+3. *Schedule.* Slot i of the mix has the golden-ratio point frac(i / phi), as an integer in units of 2^-62. The points, by rank, map through the
    sources' numbers of slots, so every source gets exactly its slots and every stretch of the mix already has the
    shares, up to a few slots. The k-th slot of a source takes its block k, starting over after the last block.
 4. Slots and blocks are joined on (source, block).
@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from sluice.llm.common import WORD, running_sum, stage
@@ -26,7 +26,9 @@ BLOCK_WORDS = 64
 #: Pieces of the slots' ranks by which they meet the sources' intervals.
 CELLS = 4096
 ROWS_PER_CHUNK = 20_000
-INVERSE_PHI = 0.6180339887498949
+#: 2^62 / phi, made odd: points are 62-bit integers, all different whatever the number of slots.
+INVERSE_PHI = 2850178704830799621
+_LOW = (1 << 31) - 1
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
@@ -60,6 +62,13 @@ def source_blocks(targets: DataFrame) -> DataFrame:
     return t.withColumn("slots", F.when((F.col("target") > 0) & (F.col("source_size") > 0), slots).otherwise(0))
 
 
+def golden_point(slot: Column) -> Column:
+    """slot * INVERSE_PHI modulo 2^62, from products of 31-bit halves, none of which overflows."""
+    low, high = slot.bitwiseAND(_LOW), F.shiftright(slot, 31)
+    middle = (low * (INVERSE_PHI >> 31) + high * (INVERSE_PHI & _LOW)).bitwiseAND(_LOW)
+    return (low * (INVERSE_PHI & _LOW) + F.shiftleft(middle, 31)).bitwiseAND((1 << 62) - 1)
+
+
 def schedule(shares: DataFrame, slots: int) -> DataFrame:
     """(slot, source, rank): the source of every slot of the mix, and the how-manieth of its source it is.
 
@@ -70,10 +79,9 @@ def schedule(shares: DataFrame, slots: int) -> DataFrame:
     spans = (shares.filter("slots > 0").withColumn("_hi", F.sum("slots").over(upto)).withColumn("_lo", F.col("_hi") - F.col("slots"))
              .withColumn("cell", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor((F.col("_hi") - 1) / width))))
              .select("source", "_lo", "_hi", "cell"))
-    x = F.col("slot").cast("double") * F.lit(INVERSE_PHI)
     pieces = max(1, math.ceil(slots / ROWS_PER_CHUNK))
-    points = (spark.range(slots).withColumnRenamed("id", "slot").select("slot", (x - F.floor(x)).alias("point"), F.lit(1).cast("bigint").alias("_one"))
-              .withColumn("_key", F.lit(0)).withColumn("_piece", F.floor(F.col("point") * pieces).cast("int")))
+    points = (spark.range(slots).withColumnRenamed("id", "slot").select("slot", golden_point(F.col("slot")).alias("point"), F.lit(1).cast("bigint").alias("_one"))
+              .withColumn("_key", F.lit(0)).withColumn("_piece", F.shiftright(F.shiftright("point", 31) * pieces, 31).cast("int")))
     placed = (running_sum(points, ["_key"], "_piece", ["point", "slot"], "_one", "place")
               .withColumn("cell", F.floor(F.col("place") / width)))
     drawn = (placed.join(spans, "cell").filter("place >= _lo AND place < _hi")
