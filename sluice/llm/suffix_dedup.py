@@ -57,37 +57,40 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     start and end are code points (end exclusive), words are split at ASCII white space and compared exactly;
     first_doc_id is the smallest doc_id that holds one of the passage's windows. Null and short texts have
-    none; rows without doc_id take no part; rows that repeat a doc_id are the same document.
+    none; rows without doc_id take no part; rows that repeat a doc_id are the same document, its texts told apart by a
+    64-bit hash.
     """
-    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                                                    F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("part"),
+                                                    F.coalesce("text", F.lit("")).alias("text")).filter(F.length("text") >= length)
 
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each():
             for batch in batches:
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for doc, part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                     found = _hashes(text.as_buffer(), length)
                     if found:
                         keys = np.unique(found[2])
-                        yield keys.view(np.int64), np.full(len(keys), doc)
+                        yield keys.view(np.int64), np.full(len(keys), doc), np.full(len(keys), part)
 
-        yield from batches_of(["key", "doc_id"], each())
+        yield from batches_of(["key", "doc_id", "part"], each())
 
-    kept = stage(rows.mapInArrow(suffixes, "key long, doc_id long"), "suffixes")
+    kept = stage(rows.mapInArrow(suffixes, "key long, doc_id long, part long"), "suffixes")
     # joined by an injective function of the key: the join then has a shuffle of its own on both sides, and Spark can
     # split a key or window that very many documents share, which it can't right above an aggregation
     many = kept.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select(F.bitwise_not("key").alias("_k"))
-    hits = kept.join(many, F.bitwise_not(kept["key"]) == F.col("_k")).groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    hits = kept.join(many, F.bitwise_not(kept["key"]) == F.col("_k")).groupBy("doc_id", "part").agg(F.collect_set("key").alias("keys"))
+
+    # the first text of a doc_id is its part 0: a hash in every window row would be a third of what is shuffled
+    firsts = kept.groupBy("doc_id").agg(F.min("part").alias("_first")).select(F.bitwise_not("doc_id").alias("_d"), "_first")
+    hits = hits.join(firsts, F.bitwise_not(hits["doc_id"]) == F.col("_d")).select(
+        "doc_id", "part", "keys", F.when(F.col("part") == F.col("_first"), 0).otherwise(F.col("part")).alias("_part"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def each():
             for batch in batches:
                 for doc, text, keys, part in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
                     data = text.as_buffer()
-                    hashes = _hashes(data, length)
-                    if hashes is None:  # a short text of a doc_id that has a long one
-                        continue
-                    begin, end, least, w = hashes
+                    begin, end, least, w = _hashes(data, length)
                     own = np.flatnonzero(np.isin(least, keys.values.to_numpy().view(np.uint64)))
                     # bytes to code points: all but continuation bytes count
                     points = np.zeros(len(data) + 1, np.int64)
@@ -96,7 +99,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         yield from batches_of(["window", "doc_id", "part", "word", "start", "end"], each())
 
-    joined = rows.distinct().join(hits, "doc_id").select("doc_id", "text", "keys", F.xxhash64("text").alias("part")).filter(F.length("text") >= length)
+    # repeated rows are dropped before and in the one shuffle that also joins: whole texts cross the network once
+    joined = rows.dropDuplicates(["doc_id", "part"]).join(hits, ["doc_id", "part"]).select("doc_id", "text", "keys", F.col("_part").alias("part"))
     windows = stage(joined.mapInArrow(extend, "window long, doc_id long, part long, word long, start long, end long"), "windows")
     release(kept)
     found = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
