@@ -165,9 +165,13 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
 
     # Overwrite semantics for the whole run: Spark applies the session's partition-overwrite mode to
     # catalog writes (a writer option is not enough there), so it is set for the run and restored after.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic" if cfg.keep_history else "static")
+    # A run's rows are all of one day: its file is kept open, where Spark would sort a task's rows by day first, in memory
+    # and spills that grow with the table (below 2 files it sorts, and so it does from a second day's row on).
+    settings = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if cfg.keep_history else "static",
+                "spark.sql.maxConcurrentOutputFileWriters": "2"}
+    previous = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         if cfg.parallelism > 1 and len(tables) > 1:
             with ThreadPoolExecutor(max_workers=cfg.parallelism, thread_name_prefix="ingest") as pool:
@@ -175,7 +179,8 @@ def ingest_all(spark: SparkSession, raw_root: str, cfg: IngestConfig | None = No
         else:
             outcomes = [one(r) for r in tables]
     finally:
-        spark.conf.set(key, previous)
+        for key, value in previous.items():
+            spark.conf.set(key, value)
     run_log = spark.createDataFrame(
         [(cfg.run_id, cfg.env, "bronze_ingest", o.table_name, o.stage, o.status, o.record_count, o.error,
           o.started_at, o.ended_at, o.schema_changes, o.error_class) for o in outcomes],

@@ -153,3 +153,30 @@ def test_ingest_publishes_through_the_registered_spec(spark, tmp_path):
     got = spark.read.table("sluice_wap.olist_customers_dataset")
     assert rows(got.select("customer_city", "customer_state")) == [("RIO", "RJ")]
     assert got.filter(F.col("_processing_date").isNull()).count() == 0
+
+
+@pytest.mark.parametrize("published", [True, False])
+def test_a_runs_rows_are_not_sorted_by_day_before_they_are_written(spark, tmp_path, monkeypatch, published):
+    """Sorts of whole splits took memory and spills that grew with the table."""
+    from sluice.plans import ingest
+
+    database = f"sluice_unsorted_{str(published).lower()}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{tmp_path}/db'")
+    spark.sql(f"CREATE TABLE {database}.days (k BIGINT, day DATE) USING parquet PARTITIONED BY (day)")
+    plans, module = [], publish if published else ingest
+    write = module.write_table
+
+    def spy(df, *args, **kwargs):
+        plans.append(spark.sql(f"EXPLAIN INSERT INTO {database}.days SELECT id, DATE '2024-01-01' + CAST(id % 3 AS INT) FROM range(9)").first()[0])
+        spark.sql(f"INSERT INTO {database}.days SELECT id, DATE '2024-01-01' + CAST(id % 3 AS INT) FROM range(9)")  # days beyond the first
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(module, "write_table", spy)
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.csv").write_text("k,v\n1,x\n2,y\n")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    log, _ = ingest_all(spark, str(tmp_path / "raw"), IngestConfig(run_id="a", database=database, location=str(tmp_path / "wh"), publish=published))
+    assert rows(log.select("status", "record_count")) == [("success", 2)]
+    assert len(plans) == 1 and "WriteFiles" in plans[0] and "Sort" not in plans[0]
+    assert rows(spark.read.table(f"{database}.days").selectExpr("k", "datediff(day, DATE '2024-01-01')")) == [(k, k % 3) for k in range(9)]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
