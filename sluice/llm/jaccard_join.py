@@ -12,8 +12,10 @@ gram in the prefixes of length n - ceil(t * n) + 1.
   indexed under their own class and the next.
 
 Buckets are not expanded into all pairs. Every member is first verified against few pivots of its buckets;
-links give components; members of different components in one bucket are then paired and verified, so
-the components are those of all links.
+links give components. Where large buckets still hold several, rounds follow in which members meet a bucket's most
+linked one that is of another component, so that a large group whose members are only linked in chains becomes one
+component by pairs in proportion to its rows. Members of different components in one bucket are then paired
+and verified, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from sluice.llm.hashing import batches_of, word_bounds, word_hashes
 CLASSES = 1 << 16
 FREQUENT = 4.0
 PIVOTS = 4
+#: Further rounds of pivots while the buckets that hold several components have more pairs than this many a row.
+PAIRS_A_ROW, ROUNDS = 128, 2
 BINS = 256
 #: Parity bits of a set: a power of two of about its size, at most this many; sets of up to ``BINS`` grams have ``odd`` alone.
 MOST_BITS = 1 << 15
@@ -215,6 +219,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, t: float) -> DataFrame
     return stage(full.mapInArrow(check, "a long, b long"), "links")
 
 
+def _round(labelled: DataFrame, mixed: DataFrame, links: DataFrame, done: DataFrame, turn: int, t: float) -> DataFrame:
+    """New pairs (a, b) of different components: the members of every mixed bucket with its pivot of this turn, the one
+    that linked to most pivots so far and was none itself; at most one pair a row of the index."""
+    linked = links.groupBy(F.col("a").alias("sid")).agg(F.count(F.lit(1)).alias("linked"))
+    used = done.select(F.col("pivot").alias("sid")).distinct().withColumn("used", F.lit(True))
+    rows = labelled.join(mixed.select("key"), "key").join(linked, "sid", "left").join(used, "sid", "left")
+    rank = F.struct(F.col("used").isNull().alias("fresh"), F.coalesce("linked", F.lit(0)).alias("linked"),
+                    F.xxhash64("sid", F.lit(PIVOTS + turn)).alias("h"), "sid", "n", "root")
+    pivots = rows.groupBy("key").agg(F.max(rank).alias("p"))
+    pairs = labelled.join(pivots.select("key", F.col("p.sid").alias("b"), F.col("p.n").alias("m"), F.col("p.root").alias("other")), "key")
+    pairs = (pairs.filter((F.col("root") != F.col("other")) & (F.least("n", "m") >= F.greatest("n", "m") * t - 1e-6))
+             .select(F.col("sid").alias("a"), "b").distinct())
+    # each way round: a pair may have been met with the other row as the pivot
+    known = done.select("a", "b").union(done.select("b", "a"))
+    return stage(pairs.join(known, ["a", "b"], "left_anti"), "pairs")
+
+
 def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text).
 
@@ -270,10 +291,27 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     possible = _possible(pairs, sigs, t)
     links = _verified(possible, texts, n, t)
     roots = stage(components(links), "roots")
-    release(possible, links)
 
-    labelled = stage(keys.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key")
+    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("b").alias("pivot"))
+    spent = [possible, pairs]
+    for turn in range(ROUNDS + 1):
+        labelled = stage(keys.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
+        mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
+        mixed = stage(mixed.filter("lo <> hi").select("key", "size"), "mixed")
+        rows, left = mixed.agg(F.sum("size"), F.sum(F.col("size") * (F.col("size") - 1) / 2)).first()
+        if turn == ROUNDS or not rows or left <= PAIRS_A_ROW * rows:
+            break
+        pairs = _round(labelled, mixed, links, done, turn, t)
+        possible = _possible(pairs, sigs, t)
+        found = _verified(possible, texts, n, t)
+        spent += [labelled, mixed, possible, pairs]
+        if found.isEmpty():
+            break
+        done = done.union(pairs.select(F.least("a", "b"), F.greatest("a", "b"), F.col("b")))
+        spent.append(found)
+        links = links.union(found)
+        roots = stage(components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)), "roots")
+    mixed = mixed.select("key")
     # A pair is passed over under a key if both rows know a smaller key they share. Under the smallest shared key there
     # is none, so every pair is met. (A key left out above holds one component only, so no pair of two.)
     lowest = keys.groupBy("sid").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LOWEST).alias("low"))
@@ -285,9 +323,8 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
                    & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * t - 1e-6) & _near("x", "y", t)
                    & ~F.arrays_overlap("x.low", "y.low"))
             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct())
-    done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stage(rest.join(done, ["a", "b"], "left_anti"), "rest")
-    release(open_, labelled, pairs, keys)
+    rest = stage(rest.join(done.drop("pivot"), ["a", "b"], "left_anti"), "rest")
+    release(open_, labelled, mixed, links, keys, *spent)
     possible = _possible(rest, sigs, t)
     release(rest, sigs)
     more = _verified(possible, texts, n, t)

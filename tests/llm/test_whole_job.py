@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 from test_operators import brute_components
 
 from sluice.llm import jaccard_join, mixing, quality_rules, suffix_dedup
@@ -144,3 +145,35 @@ def test_suffix_dedup_with_several_texts_under_one_id(spark):
     want = [(1, 0, size("p", 60), 60), (2, 2, 2 + size("p", 60), 60), (3, 0, size("p", 55), 55),
             (3, size("p", 55) + 3, size("p", 55) + 3 + size("r", 50), 50), (3, 2, 2 + size("r", 70), 70), (4, 0, size("r", 70), 70)]
     assert sorted((x.doc_id, x.start, x.end, x.text_words) for x in got) == sorted(want)
+
+
+def test_a_large_group_of_near_copies_is_joined_by_few_pairs(spark, monkeypatch):
+    """Copies of one text, each with words of its own: most are linked through others only."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(600):
+        words = list(base)
+        for p in rng.choice(150, min(i, 2), replace=False):
+            words[p] = f"x{i}y{p}"
+        texts.append(" ".join(words))
+    staged = {}
+
+    def counted(df, name, stage=jaccard_join.stage):
+        out = stage(df, name)
+        staged[name] = staged.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stage", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs, 4, 0.85).collect()}
+    sets = [jaccard_join.grams(t, 4) for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    assert got == dict(enumerate(root)) and len(set(root)) < 300
+    assert staged["rest"] <= len(texts), staged
