@@ -105,7 +105,13 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     release(kept)
     found = windows.groupBy("window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
     found = found.select(F.bitwise_not("window").alias("_k"), "first")
-    w = windows.join(found, F.bitwise_not(windows["window"]) == F.col("_k"))
+    # as few and as small numbers as can be for the two shuffles: both places in one long, lengths and distances for ends and ids
+    places = windows.select("window", "doc_id", "part", F.shiftleft("start", 32).bitwiseOR(F.col("word")).alias("at"),
+                            (F.col("end") - F.col("start")).alias("chars"))
+    w = places.join(found, F.bitwise_not(places["window"]) == F.col("_k")).select(
+        "doc_id", "part", "at", "chars", (F.col("doc_id") - F.col("first")).alias("back")).repartition("doc_id", "part")
+    w = w.select("doc_id", "part", F.col("at").bitwiseAND((1 << 32) - 1).alias("word"), F.shiftright("at", 32).alias("start"),
+                 (F.shiftright("at", 32) + F.col("chars")).alias("end"), (F.col("doc_id") - F.col("back")).alias("first"))
     order = Window.partitionBy("doc_id", "part").orderBy("word")  # part: the texts of a doc_id
     w = w.withColumn("_new", (F.col("word") - F.lag("word").over(order) != 1).cast("int"))
     w = w.withColumn("_run", F.sum(F.coalesce("_new", F.lit(0))).over(order))

@@ -177,3 +177,11 @@ def test_a_large_group_of_near_copies_is_joined_by_few_pairs(spark, monkeypatch)
                 root = [a if r == b else r for r in root]
     assert got == dict(enumerate(root)) and len(set(root)) < 300
     assert staged["rest"] <= len(texts), staged
+
+
+def test_places_far_into_long_texts_survive_the_shuffles(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    long = "é " * 70_000
+    docs = spark.createDataFrame([(-3, long + passage), (1 << 40, "Z" * 70_000 + " " + passage)], "doc_id long, text string")
+    got = {r.doc_id: (r.start, r.end, r.text_words, r.first_doc_id) for r in suffix_dedup.repeated_passages(docs).collect()}
+    assert got == {-3: (140_000, 140_000 + len(passage), 60, -3), 1 << 40: (70_001, 70_001 + len(passage), 60, -3)}
