@@ -1,16 +1,18 @@
 """Approximate nearest neighbours (largest inner product) by collision counting.
 
-Every vector is projected on random orthogonal directions, one sorted array per direction. A query's window on a
-direction is centred on its own projection and grows by virtual rehashing: every round widens it by a constant factor
-and counts only what is new. Vectors that collide with the query on enough directions are verified in double
-precision, until a share of the vectors has been.
-
-Inner products become distances by one more coordinate: x -> (x, sqrt(M^2 - |x|^2)), q -> (q, 0), with M the
-largest norm. That coordinate drowns the others where norms differ, so vectors are indexed in bands of similar norm,
-each with its own M. Bands are searched from the largest norm down, and a query stops at the first band that can't hold
-anything better than its ``k`` best (|q| times the band's largest norm).
-
-Queries meet the blocks of vectors block by block, so a task holds one of each.
+Vectors are projected on random orthogonal directions, one sorted array per direction, of which both ends are kept. A
+query counts on those directions on which it lies farthest out. Its window on a direction holds the ranks around its own
+projection and grows by virtual rehashing: every round widens it by a constant factor and counts only what is new.
+Vectors that collide with the query on enough directions are verified in double precision; if the widest windows hold
+too few of them, those with the most collisions are.
+
+Directions, windows and verified vectors grow with the root of the rows: of more directions some lie nearer to a query,
+and fewer rows need to be looked at. So does the number of blocks, until a block holds ``CELLS`` numbers. Queries meet
+the blocks of vectors block by block, so a task holds one of each.
+
+Nearness stands for inner products where norms are alike, so vectors are indexed in bands of similar norm. Bands are
+searched from the largest norm down, and a query stops at the first band that can't hold anything better than its ``k``
+best (|q| times the band's largest norm).
 """
 
 from __future__ import annotations
@@ -23,93 +25,116 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluice.llm.common import stage
 
-DIRECTIONS = 64
-#: A vector is verified once this many directions collide.
-THRESHOLD = 48
-WIDEN = 1.2
-#: A query goes on until k + EXTRA vectors of a band and this share of the band are verified.
-EXTRA, SHARE = 300, 0.1
+#: A query counts on so many directions. A vector is verified once it collides on ``THRESHOLD`` of them.
+CHOSEN, THRESHOLD = 128, 16
+#: For ``BASE`` rows: directions, rows in the first window, rows to verify besides the best ones.
+BASE, DIRECTIONS, WINDOW, ENOUGH = 10_000, 768, 300, 1_800
+WIDEN, ROUNDS = 1.4, 4
 #: Largest norm of a band over its smallest.
-BAND = 1.25
-DATA_BLOCK, QUERY_BLOCK, QUERY_SLICE = 8_192, 4_096, 256
+BAND = 1.4
+#: The numbers that a block of vectors holds at most, and one of queries.
+CELLS, QUERY_CELLS = 2 ** 23, 2 ** 21
+#: Rows are dealt to as many blocks as the root of rows / ``BLOCK``.
+BLOCK, QUERY_SLICE = 4_096, 64
 FOUND = "query_row long, query_id long, part long, vec_id long, score double"
 
 
 class Band:
-    """Sorted projections of vectors of similar norm."""
-
-    def __init__(self, rows: np.ndarray, vectors: np.ndarray, norms: np.ndarray, axes: np.ndarray):
-        self.rows, self.top = rows, norms.max()
-        lifted = np.sqrt(np.maximum(self.top ** 2 - norms ** 2, 0.0))
-        projections = (vectors @ axes[:-1] + lifted[:, None] * axes[-1]).T
-        self.order = np.argsort(projections, axis=1, kind="stable")
-        self.ranked = np.take_along_axis(projections, self.order, axis=1)
-        spread = max(float(self.ranked[:, -1].max() - self.ranked[:, 0].min()), 1e-12)
-        self.radii = spread / 64 * WIDEN ** np.arange(math.ceil(math.log(130, WIDEN)) + 1)
-
-    def windows(self, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last place of every window: query, round, direction."""
-        lo = np.empty((len(centres), len(self.radii), len(self.ranked)), np.int64)
-        hi = lo.copy()
-        for j, array in enumerate(self.ranked):
-            lo[:, :, j] = np.searchsorted(array, centres[:, j, None] - self.radii, "left")
-            hi[:, :, j] = np.searchsorted(array, centres[:, j, None] + self.radii, "right")
-        return lo, hi
-
-    def collide(self, lo: np.ndarray, hi: np.ndarray, enough: int) -> np.ndarray:
-        """Rows of the block that collide on ``THRESHOLD`` directions, after the first round with ``enough`` of them."""
-        n = len(self.rows)
-        if enough >= n:
-            return self.rows
-        # so many collisions need windows of that length in all: earlier rounds can't end the search
-        at = int(np.argmax((hi - lo).sum(axis=1) >= THRESHOLD * enough))
-        counts, a0, b0 = np.zeros(n, np.int64), lo[at], lo[at]
-        for a, b in zip(lo[at:], hi[at:], strict=True):
-            new = [w for order, i, j, x, y in zip(self.order, a.tolist(), a0.tolist(), b0.tolist(), b.tolist(), strict=True)
-                   for w in (order[i:j], order[x:y])]
-            counts += np.bincount(np.concatenate(new), minlength=n)
+    """Vectors of similar norm, scaled to 1 at most, and both ends of their sorted projections, farthest out first."""
+
+    def __init__(self, at: np.ndarray, unit: np.ndarray, norms: np.ndarray, k: int, grown: float, total: int, axes: np.ndarray):
+        n, share = len(at), len(at) / total
+        self.at, self.top = at, norms[at].max()
+        self.enough = k + 1 + math.ceil(ENOUGH * grown * share)
+        if self.enough >= n:
+            return
+        vectors = unit[at] / self.top
+        self.axes, self.mean, self.spread = axes, vectors.mean(axis=0), np.cov(vectors.T).reshape(len(axes), -1)
+        self.lengths = [min(n, math.ceil(WINDOW * grown * share * WIDEN ** i)) for i in range(ROUNDS)]
+        depth = min(n, 2 * self.lengths[-1])
+        self.ends = np.empty((2, len(axes[0]), depth), np.int32)
+        self.places = np.empty(self.ends.shape, np.float32)
+        step = max(1, 2 ** 20 // n)
+        for first in range(0, len(axes[0]), step):
+            up = axes[:, first:first + step].T @ vectors.T
+            for side, projections in ((1, up), (0, -up)):
+                cuts = np.partition(projections, depth - 1, axis=1)[:, depth - 1]
+                for j, (array, cut) in enumerate(zip(projections, cuts, strict=True), first):
+                    near = np.flatnonzero(array <= cut)
+                    near = near[np.argsort(array[near], kind="stable")[:depth]]
+                    self.ends[side, j], self.places[side, j] = near, array[near]
+
+    def choose(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each query's directions: number, end (0 the upper) and the query's own projection, negative if that end is the upper."""
+        # towards the query from the middle of the vectors, and the way its inner products with them grow
+        way = sum(x / np.maximum(np.sqrt((x ** 2).sum(axis=1, keepdims=True)), 1e-300) for x in (queries - self.mean, queries @ self.spread))
+        out = way @ self.axes
+        chosen = np.argpartition(-np.abs(out), CHOSEN - 1, axis=1)[:, :CHOSEN]
+        upper = np.take_along_axis(out, chosen, axis=1) >= 0
+        own = np.take_along_axis(queries @ self.axes, chosen, axis=1)
+        return chosen, 1 - upper.astype(np.int64), np.where(upper, -own, own)
+
+    def collide(self, chosen: np.ndarray, end: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """Vectors that collide on ``THRESHOLD`` directions, after the first round with enough of them."""
+        counts = np.zeros(len(self.at), np.int64)
+        place = (self.places[end, chosen] < own[:, None]).sum(axis=1)
+        first, length = place, 0
+        for wider in self.lengths:
+            before, first = first, np.clip(place - wider // 2, 0, self.ends.shape[2] - wider)
+            new = np.arange(wider - length)
+            new = first[:, None] + new + np.where(new < (before - first)[:, None], 0, length)
+            length = wider
+            counts += np.bincount(self.ends[end[:, None], chosen[:, None], new].ravel(), minlength=len(counts))
             found = np.flatnonzero(counts >= THRESHOLD)
-            if len(found) >= enough:
-                return self.rows[found]
-            a0, b0 = a, b
-        return self.rows
+            if len(found) >= self.enough:
+                return self.at[found]
+        return self.at[counts >= np.partition(counts, -self.enough)[-self.enough]]
 
 
-def search(rows, ids, data, query_rows, queries, k: int, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
+def search(rows, ids, data, query_rows, queries, k: int, seed: int = 7, total: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query (ids, scores) of the best ``k`` found in one block, best first, ties to smaller ids. ``rows``
-    and ``query_rows`` number the rows: a query doesn't meet its own."""
+    and ``query_rows`` number the rows: a query doesn't meet its own. ``total`` rows are in all blocks together."""
     d = data.shape[1]
-    rng = np.random.default_rng(seed)
-    turns = [np.linalg.qr(rng.standard_normal((d + 1, d + 1)))[0] for _ in range(math.ceil(DIRECTIONS / (d + 1)))]
-    axes = np.concatenate(turns, axis=1)[:, :DIRECTIONS]
-    unit = data / np.abs(data).max()  # so that no square overflows
+    # copies share one vector, of which the k + 1 smallest ids can be among the best k of a query
+    data = np.ascontiguousarray(data + 0.0)
+    _, one, group = np.unique(data.view(np.dtype((np.void, data.itemsize * d))).ravel(), return_index=True, return_inverse=True)
+    order = np.lexsort((ids, group))
+    starts, copies = np.searchsorted(group[order], np.arange(len(one))), np.minimum(np.bincount(group), k + 1)
+    vectors, rows, ids = data[one], rows[order], ids[order]
+    total = max(len(one), round((total or len(data)) * len(one) / len(data)))
+    grown = math.sqrt(total / BASE)
+    turns = math.ceil(max(DIRECTIONS * grown, 2 * CHOSEN) / d)
+    axes = np.concatenate(np.linalg.qr(np.random.default_rng(seed).standard_normal((turns, d, d)))[0], axis=1)
+    largest = np.abs(vectors).max()
+    unit = vectors / largest  # so that no square overflows
     norms = np.maximum(np.sqrt((unit ** 2).sum(axis=1)), 1e-300)
     level = np.floor(np.log(norms.max() / norms) / math.log(BAND) + 1e-9)
-    bands = [Band(at, unit[at], norms[at], axes) for at in (np.flatnonzero(level == v) for v in np.unique(level))]
+    bands = [Band(np.flatnonzero(level == v), unit, norms, k, grown, total, axes) for v in np.unique(level)]
     scaled = queries / np.abs(queries).max(axis=1, keepdims=True)
     size = np.sqrt((scaled ** 2).sum(axis=1))
     best = [(np.empty(0, np.int64), np.empty(0)) for _ in range(len(queries))]
     for first in range(0, len(queries), QUERY_SLICE):
         part = np.arange(first, min(first + QUERY_SLICE, len(queries)))
         for band in bands:
+            limit = np.abs(queries[part]).max(axis=1) * size[part] * band.top * largest * (1 + 1e-9)
+            going = [i for i, q in enumerate(part) if len(best[q][1]) < k or not limit[i] < best[q][1][-1]]
+            whole = band.enough >= len(band.at)
             # a query of the band's norm has the same order of inner products
-            lo, hi = band.windows((scaled[part] * (band.top / size[part])[:, None]) @ axes[:-1])
-            enough = k + 1 + max(EXTRA, math.ceil(SHARE * len(band.rows)))
-            limit = np.abs(queries[part]).max(axis=1) * size[part] * band.top * np.abs(data).max() * (1 + 1e-9)
-            for i, q in enumerate(part):
-                got, scores = best[q]
-                if len(scores) == k and limit[i] < scores[-1]:
-                    continue
-                at = band.collide(lo[i], hi[i], enough)
-                at = at[rows[at] != query_rows[q]]
+            windows = [()] * len(going) if whole else zip(*band.choose((scaled[part] / size[part][:, None])[going]), strict=True)
+            for q, window in zip(part[going], windows, strict=True):
+                at = band.at if whole else band.collide(*window)
                 # row by row alike, so that equal vectors tie exactly
-                scores = np.concatenate([scores, np.einsum("ij,j->i", data[at], queries[q])])
-                got = np.concatenate([got, ids[at]])
-                if len(scores) > k:
-                    kept = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-                    got, scores = got[kept], scores[kept]
-                order = np.lexsort((got, -scores))[:k]
-                best[q] = got[order], scores[order]
+                scores = np.einsum("ij,j->i", vectors[at], queries[q])
+                if len(scores) > k + 1:
+                    kept = np.flatnonzero(scores >= np.partition(scores, -k - 1)[-k - 1])
+                    at, scores = at[kept], scores[kept]
+                times = copies[at]
+                places = np.repeat(starts[at] - np.cumsum(times) + times, times) + np.arange(times.sum())
+                other = rows[places] != query_rows[q]
+                got = np.concatenate([best[q][0], ids[places[other]]])
+                scores = np.concatenate([best[q][1], np.repeat(scores, times)[other]])
+                sort = np.lexsort((got, -scores))[:k]
+                best[q] = got[sort], scores[sort]
     return best
 
 
@@ -132,8 +157,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
                        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
                        & F.exists("v", lambda x: x != 0))
     rows = stage(rows.withColumn("d", F.size("v")).withColumn("row", F.monotonically_increasing_id()), "vectors")
-    n = rows.count()
-    data_blocks, query_blocks = max(1, math.ceil(n / DATA_BLOCK)), max(1, math.ceil(n / every / QUERY_BLOCK))
+    n, n_queries, d = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0), F.coalesce(F.max("d"), F.lit(1))).first()
+    data_blocks = max(1, math.ceil(math.sqrt(n / BLOCK)), math.ceil(n * d / CELLS))
+    query_blocks = max(1, math.ceil(n_queries * d / QUERY_CELLS))
     h = F.xxhash64("row")
     data = rows.select("d", F.pmod(h, F.lit(data_blocks)).cast("bigint").alias("b"),
                        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"), "row", "vec_id", "v")
@@ -146,7 +172,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         if not len(queries) or not len(data):
             return pd.DataFrame({"query_row": [], "query_id": [], "part": [], "vec_id": [], "score": []})
         found = search(data["row"].to_numpy(), data["vec_id"].to_numpy(), np.stack(data["v"].to_numpy()),
-                       queries["row"].to_numpy(), np.stack(queries["v"].to_numpy()), k)
+                       queries["row"].to_numpy(), np.stack(queries["v"].to_numpy()), k, total=n)
         times = [len(i) for i, _ in found]
         return pd.DataFrame({"query_row": np.repeat(queries["row"].to_numpy(), times), "query_id": np.repeat(queries["vec_id"].to_numpy(), times),
                              "part": data["b"].iloc[0] % parts, "vec_id": np.concatenate([i for i, _ in found]),

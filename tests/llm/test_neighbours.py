@@ -47,3 +47,47 @@ def test_ties_repeats_and_odd_vectors(spark):
     second = [(1, 1, 0.0), (2, 2, 0.0), (3, 2, 0.0), (4, 20, 0.0), (5, 3, -1.0)]
     assert set(got) == {20} and sorted(got[20]) == sorted(first + second)
     assert neighbours.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_verified_rows_grow_slower_than_the_table(monkeypatch):
+    """Four times the rows: a query verifies twice as many (before: four times), at the same recall."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((16000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    plain, seen = np.einsum, []
+    monkeypatch.setattr(neighbours.np, "einsum", lambda how, a, *rest: seen.append(len(a)) or plain(how, a, *rest))
+    verified = []
+    for n in (4000, 16000):
+        seen.clear()
+        assert recall(x[:n], np.arange(0, n, n // 50)) >= 0.98
+        verified.append(sum(seen) / 50)
+    assert verified[1] < 2.6 * verified[0]
+
+
+@pytest.mark.parametrize("kind", ["common mean", "anisotropic", "anisotropic unit"])
+def test_recall_of_uneven_directions(kind):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((6000, 64))
+    if kind == "common mean":
+        x += 1.5
+    else:
+        x *= np.arange(1, 65) ** -0.7
+    if kind != "anisotropic":
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert recall(x, np.arange(0, 6000, 60)) >= 0.9
+
+
+def test_many_copies_give_the_smallest_ids():
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 16))
+    x[2000:5500] = x[1] * 1.5
+    ids = rng.permutation(6000)
+    rows = np.arange(6000)
+    own = [1, 2000, int(2000 + np.argmin(ids[2000:5500])), 5999]
+    for q, (got, score) in zip(own, neighbours.search(rows, ids, x, np.array(own), x[own], 20, total=24000), strict=True):
+        s = np.einsum("ij,j->i", x, x[q])
+        s[q] = -np.inf
+        if q < 5500:
+            best = np.lexsort((ids, -s))[:20]
+            assert got.tolist() == ids[best].tolist() and score.tolist() == s[best].tolist()
+        assert len(got) == 20 and ids[q] not in got
