@@ -1,15 +1,16 @@
-"""Exact n-gram Jaccard join with token-combination prefixes.
+"""Exact n-gram Jaccard join over equal parts of sets.
 
 A text's set holds its distinct word n-grams, as 64-bit hashes. Equal sets form one class; only classes are
-compared. Grams are ordered rare first, by the frequency class of their hash; a pair of linked sets shares a
-gram in the prefixes of length n - ceil(t * n) + 1.
+compared. Linked sets differ in at most d = (1 - t) / (1 + t) of the sum of their sizes. Grams fall into m parts by
+hash, m above the largest d of a size class, so at least m - d parts of a linked pair hold the same grams. A set is
+indexed under its parts with all their grams as one key, so unrelated sets that share common grams don't meet: they
+would have to share all of a part and have nothing else there.
 
-* If the first gram they share in that order is of a rare class, both index it as a *single* gram.
-* Otherwise everything they share is of frequent classes. Prefixes are extended by g grams, in which the
-  pair shares at least g + 1 grams; these fall into g groups by hash, so two of them are in the same group. Both
-  index the *pairs* of frequent grams in each group. g grows with the set, so the pairs stay in proportion to
-  the prefix. g belongs to a size class; a pair lies in one class or two neighbouring ones, so sets are
-  indexed under their own class and the next.
+* Of its m parts a set only needs its d + 1 first ones in an order that both sides follow (of the m - d common ones,
+  one is among the first d + 1 of each side). The order starts with the parts whose grams are the rarest together, by the
+  frequency class of their hash; empty parts and those of few or frequent grams come last.
+* m belongs to a size class, the sizes of equal bit length. A set is indexed under its own class and under that of
+  the largest set it can be linked to.
 
 Buckets are not expanded into all pairs. Every member is first verified against few pivots of its buckets;
 links give components. Where large buckets still hold several, rounds follow in which members meet a bucket's most
@@ -27,23 +28,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from sluice.llm.common import release, stage
 from sluice.llm.components import components
 from sluice.llm.hashing import batches_of, word_bounds, word_hashes
 
-#: Classes by hash whose frequencies order the grams, and the share of all grams that makes a class frequent.
+#: Classes by hash whose frequencies tell rare grams from frequent ones.
 CLASSES = 1 << 16
-FREQUENT = 4.0
+#: Parts beyond those that a linked pair can differ in, as a share of these: as many of the least telling are left out.
+SPARE = 0.2
 PIVOTS = 4
 #: Further rounds of pivots while the buckets that hold several components have more pairs than this many a row.
-PAIRS_A_ROW, ROUNDS = 128, 2
+#: A round is the last if a smaller share of its pairs are links.
+PAIRS_A_ROW, ROUNDS, YIELD = 128, 2, 0.1
 BINS = 256
 #: Parity bits of a set: a power of two of about its size, at most this many; sets of up to ``BINS`` grams have ``odd`` alone.
 MOST_BITS = 1 << 15
+#: Bits in one of Spark's bitmaps, and the most bits by which the texts of the index are told from others.
+MARKS, MOST_MARKS = 1 << 15, 1 << 26
 #: Smallest keys a row carries, by which most pairs are met under one of their common keys only.
 LOWEST = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_PART = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def grams(text: str | None, n: int) -> np.ndarray:
@@ -98,54 +105,59 @@ def gram_sets(docs: DataFrame, n: int) -> tuple[DataFrame, np.ndarray]:
     return out.filter("class IS NULL").select("doc_id", "sid", "n_shingles", "text_hash"), counts
 
 
-def _size_class(n: int, t: float) -> int:
-    return int(math.floor(math.log(n) / -math.log(t) + 1e-9))
+def gram_weights(counts: np.ndarray) -> np.ndarray:
+    """What sharing a gram of each class tells, in sixteenths of a bit; none is rarer than one in ``CLASSES``."""
+    share = np.log2(max(1, counts.sum()) / np.maximum(counts, 1))
+    return np.rint(16 * np.clip(share, 0, math.log2(CLASSES))).astype(np.int64)
 
 
-def index_keys(g: np.ndarray, freq: np.ndarray, t: float) -> np.ndarray:
+def _differ(total: int, per_cent: int) -> int:
+    """The most grams in which linked sets of so many grams together differ."""
+    return (100 - per_cent) * total // (100 + per_cent)
+
+
+def index_keys(g: np.ndarray, weights: np.ndarray, t: float) -> np.ndarray:
     """The keys under which a set is indexed (see the module's head)."""
-    n = len(g)
-    if (n + 1) * t > n:  # no other set can be close enough
+    n, per_cent = len(g), round(t * 100)
+    if (n + 1) * per_cent > 100 * n:  # no other set can be close enough
         return np.empty(0, np.uint64)
-    level = freq[(g >> np.uint64(48)).astype(np.int64)]
-    order = np.lexsort((g, level))
-    g, level = g[order], level[order]
-    prefix = n - math.ceil(t * n - 1e-9) + 1
-    keys = [g[:prefix][level[:prefix] == 0]]
-    own = _size_class(n, t)
-    for size in (own, own + 1):
-        groups = max(1, min(int(0.04 * t ** -size), math.ceil(t * n - 1e-9) - 1))
-        # both sides must agree on the groups, so they follow from the size class alone
-        groups = max(1, int(0.04 * t ** -size))
-        ext = g[: min(n, prefix + groups)]
-        ext = ext[level[: len(ext)] > 0]
-        if len(ext) < 2:
-            continue
-        group = (ext * _MIX >> np.uint64(33)) % np.uint64(groups)
-        for k in np.unique(group):
-            x = np.sort(ext[group == k])
-            i, j = np.triu_indices(len(x), 1)
-            with np.errstate(over="ignore"):
-                keys.append(((x[i] ^ np.uint64(size + 1)) * _MIX ^ x[j]) * _MIX)
+    largest = 100 * n // per_cent
+    weight = weights[(g >> np.uint64(48)).astype(np.int64)]
+    keys = []
+    with np.errstate(over="ignore"):
+        h = g * _MIX
+        h ^= h >> np.uint64(32)
+        for size in range(n.bit_length(), largest.bit_length() + 1):
+            top = (1 << size) - 1
+            # both sides must agree on the parts, so they follow from the size class alone
+            parts = math.ceil((1 + SPARE) * (_differ(2 * top, per_cent) + 1))
+            part = ((h >> np.uint64(16)) % np.uint64(parts)).astype(np.int64)
+            key = np.zeros(parts, np.uint64)
+            np.add.at(key, part, h)
+            key = (key ^ np.arange(1, parts + 1, dtype=np.uint64) * _PART ^ np.uint64(size << 56)) * _MIX
+            key ^= key >> np.uint64(31)
+            # sums of whole numbers: equal parts have equal ones
+            tells = np.bincount(part, weights=weight, minlength=parts)
+            keys.append(key[np.lexsort((key, -tells))[: _differ(n + min(largest, top), per_cent) + 1]])
     return np.unique(np.concatenate(keys))
 
 
 def _signatures(texts: DataFrame, n: int) -> DataFrame:
-    """(sid, sig, odd, fine): a class's grams counted in ``BINS`` bins by hash, and the bins with odd counts as bits of
-    longs, for ``BINS`` bins and for about as many as the set has grams. Sets differ in at least as many grams as
-    their counts do, and as bins are odd in one only, which proves most unrelated pairs apart without their texts:
-    unrelated sets differ in half of the bits, and linked ones in a small share of their sizes."""
+    """(sid, n, odd, fine): a class's grams counted in ``BINS`` bins by hash, and the bins with odd counts as bits of
+    longs, for ``BINS`` bins and for about as many as the set has grams. Sets differ in at least as many grams as bins
+    are odd in one only, which proves most unrelated pairs apart without their texts: unrelated sets differ in half of
+    the bits, and linked ones in a small share of their sizes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [grams(x, n) for x in batch.column(1).to_pylist()]
             counts = [np.bincount((g % np.uint64(BINS)).astype(np.int64), minlength=BINS) for g in sets]
-            sig = [c.astype("<u2" if c.sum() < 1 << 16 else "<u4").tobytes() for c in counts]
             odd = [np.packbits((c & 1).astype(np.uint8)).view(np.int64) for c in counts]
-            yield pa.RecordBatch.from_pydict({"sid": batch.column(0), "sig": pa.array(sig, pa.binary()), "odd": pa.array(odd, pa.list_(pa.int64())),
+            yield pa.RecordBatch.from_pydict({"sid": batch.column(0), "n": pa.array([len(g) for g in sets], pa.int32()),
+                                              "odd": pa.array(odd, pa.list_(pa.int64())),
                                               "fine": pa.array([_parities(g) for g in sets], pa.list_(pa.int64()))})
 
-    return texts.select("sid", "text").mapInArrow(count, "sid long, sig binary, odd array<bigint>, fine array<bigint>")
+    return texts.select("sid", "text").mapInArrow(count, "sid long, n int, odd array<bigint>, fine array<bigint>")
 
 
 def _parities(g: np.ndarray) -> np.ndarray | None:
@@ -174,25 +186,11 @@ def _near(x: str, y: str, t: float):
     return (differ * (1 + t) <= most) & (either_small | (fine * (1 + t) <= most))
 
 
-def _counts(sig: bytes) -> np.ndarray:
-    return np.frombuffer(sig, f"<u{len(sig) // BINS}").astype(np.int64)
-
-
 def _possible(pairs: DataFrame, sigs: DataFrame, t: float) -> DataFrame:
-    """The pairs (a, b) that their signatures don't prove apart: J >= t allows (1 - t) / (1 + t) of the sum of both
-    sizes as difference at most."""
-    full = pairs.join(sigs.select(F.col("sid").alias("a"), F.col("sig").alias("sa")), "a").join(
-        sigs.select(F.col("sid").alias("b"), F.col("sig").alias("sb")), "b").select("a", "b", "sa", "sb")
-
-    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for sa, sb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = _counts(sa), _counts(sb)
-                keep.append(bool(np.abs(x - y).sum() * (1 + t) <= (1 - t) * (x.sum() + y.sum()) + 1e-6))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return stage(full.mapInArrow(prune, "a long, b long"), "possible")
+    """The pairs (a, b) that their signatures don't prove apart."""
+    x, y = sigs.alias("x"), sigs.alias("y")
+    full = pairs.select("a", "b").join(x, F.col("a") == F.col("x.sid")).join(y, F.col("b") == F.col("y.sid"))
+    return stage(full.filter(_near("x", "y", t)).select("a", "b"), "possible")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, t: float) -> DataFrame:
@@ -219,6 +217,26 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, t: float) -> DataFrame
     return stage(full.mapInArrow(check, "a long, b long"), "links")
 
 
+def _marked(rows: DataFrame, involved: DataFrame) -> DataFrame:
+    """The ``rows`` (doc_id, text, h) whose h may be a text_hash of ``involved``: those whose bit is set in a bitmap with
+    16 bits a row (of ``MOST_MARKS`` at most, from where more rows pass), so that few other texts are shuffled."""
+    bits = min(MOST_MARKS, max(MARKS, 1 << (16 * involved.count()).bit_length()))
+    slot = F.pmod(F.col("text_hash"), F.lit(bits))
+    marks = np.zeros(bits // 8, np.uint8)
+    for at, some in (involved.groupBy(F.shiftright(slot, MARKS.bit_length() - 1).alias("at"))
+                     .agg(F.bitmap_construct_agg(F.pmod(slot, F.lit(MARKS)))).collect()):
+        marks[at * MARKS // 8: (at + 1) * MARKS // 8] = np.frombuffer(some, np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = shared.value
+        for batch in batches:
+            at = batch.column(2).to_numpy() & (bits - 1)
+            yield batch.filter(pa.array((marks[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1, pa.bool_()))
+
+    return rows.mapInArrow(marked, "doc_id long, text string, h long")
+
+
 def _round(labelled: DataFrame, mixed: DataFrame, links: DataFrame, done: DataFrame, turn: int, t: float) -> DataFrame:
     """New pairs (a, b) of different components: the members of every mixed bucket with its pivot of this turn, the one
     that linked to most pivots so far and was none itself; at most one pair a row of the index."""
@@ -245,32 +263,34 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     class, whatever their number. A null doc_id counts as larger than any other.
     """
     sets, counts = gram_sets(docs, n)
-    freq = np.where(counts > FREQUENT * max(1.0, counts.mean()), 1 + np.log2(np.maximum(counts, 1)).astype(np.int64), 0)
     some = sets.filter("n_shingles > 0").groupBy("sid", "n_shingles").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("at"))
     some = some.select("sid", "n_shingles", F.col("at.doc_id").alias("first"), F.col("at.text_hash").alias("text_hash"))
     classes = stage(some, "classes")
-    shared = docs.sparkSession.sparkContext.broadcast(freq)
+    shared = docs.sparkSession.sparkContext.broadcast(gram_weights(counts))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq = shared.value
+        weights, seen = shared.value, set()
 
         def each():
             for batch in batches:
                 for text in batch.column(0).to_pylist():
                     g = grams(text, n)
-                    keys = index_keys(g, freq, t) if len(g) else g
+                    sid = _set_id(g)
+                    if not len(g) or sid in seen:  # copies have the same keys
+                        continue
+                    seen.add(sid)
+                    keys = index_keys(g, weights, t)
                     if len(keys):
-                        yield keys.view(np.int64), np.full(len(keys), _set_id(g)), np.full(len(keys), len(g))
+                        yield keys.view(np.int64), np.full(len(keys), sid), np.full(len(keys), len(g), np.int32)
 
         yield from batches_of(["key", "sid", "n"], each())
 
-    # staged: the texts are indexed once for the two uses below
-    keys = stage(docs.select("text").mapInArrow(index, "key long, sid long, n long"), "keys")
     # keys of one class only can't link anything; those of copies fall together
-    alone = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo <> hi")
-    every, keys = keys, stage(keys.join(alone.select("key"), "key").distinct(), "index")
-    release(every)
+    keys = docs.select("text").mapInArrow(index, "key long, sid long, n int")
+    same = Window.partitionBy("key")
+    shared_keys = keys.withColumn("lo", F.min("sid").over(same)).withColumn("hi", F.max("sid").over(same)).filter("lo <> hi")
+    keys = stage(shared_keys.select("key", "sid", "n").distinct(), "index")
 
     # few pivots a key: the smallest by one of several hashes, chosen by the key
     turn = F.pmod(F.col("key"), F.lit(PIVOTS))
@@ -283,7 +303,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
     first = classes.select("sid", "first", "text_hash")
     involved = stage(keys.select("sid").distinct().join(first, "sid"), "involved")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    texts = (rows.join(involved, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("first")))
+    texts = (_marked(rows, involved).join(involved, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("first")))
              .groupBy("sid").agg(F.min("text").alias("text")))
     texts = stage(texts, "texts")
     release(involved)
@@ -294,19 +314,22 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
 
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("b").alias("pivot"))
     spent = [possible, pairs]
+    last = False
     for turn in range(ROUNDS + 1):
         labelled = stage(keys.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid")), "labelled")
         mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size"))
         mixed = stage(mixed.filter("lo <> hi").select("key", "size"), "mixed")
         rows, left = mixed.agg(F.sum("size"), F.sum(F.col("size") * (F.col("size") - 1) / 2)).first()
-        if turn == ROUNDS or not rows or left <= PAIRS_A_ROW * rows:
+        if last or turn == ROUNDS or not rows or left <= PAIRS_A_ROW * rows:
             break
         pairs = _round(labelled, mixed, links, done, turn, t)
         possible = _possible(pairs, sigs, t)
         found = _verified(possible, texts, n, t)
         spent += [labelled, mixed, possible, pairs]
-        if found.isEmpty():
+        new = found.count()
+        if not new:
             break
+        last = new < YIELD * pairs.count()  # most of the buckets' other members are not linked to any pivot
         done = done.union(pairs.select(F.least("a", "b"), F.greatest("a", "b"), F.col("b")))
         spent.append(found)
         links = links.union(found)
@@ -324,11 +347,9 @@ def near_duplicates(docs: DataFrame, n: int = 4, t: float = 0.85) -> DataFrame:
                    & ~F.arrays_overlap("x.low", "y.low"))
             .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct())
     rest = stage(rest.join(done.drop("pivot"), ["a", "b"], "left_anti"), "rest")
-    release(open_, labelled, mixed, links, keys, *spent)
-    possible = _possible(rest, sigs, t)
-    release(rest, sigs)
-    more = _verified(possible, texts, n, t)
-    release(possible, texts)
+    release(open_, labelled, mixed, links, keys, sigs, *spent)
+    more = _verified(rest, texts, n, t)
+    release(rest, texts)
     merged = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     # a component's name is the smallest doc_id of its classes
     named = classes.join(merged.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
